@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from harvestry.functions.text import collapse, pick, strip
+from harvestry.functions.text import collapse, let, pick, strip
 
 FULL_DATE = r"^(\d{4})-(\d{1,2})-(\d{1,2})$"
 FULL_TIME = r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
@@ -13,13 +13,13 @@ FULL_TIME = r"^(\d{4})-(\d{1,2})-(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
 
 def parsed_date(c: Column | str) -> Column:
     """Date of ``y-m-d`` text with or without a time; null for anything else."""
-    text = strip(c)
-    shaped = text.rlike(FULL_DATE) | text.rlike(FULL_TIME)
-    day = F.try_to_date(F.substring_index(F.regexp_replace(text, r"\s+", " "), " ", 1), "yyyy-M-d")
-    clock = F.regexp_extract(text, FULL_TIME, 4).try_cast("int") < 24
-    minute = F.regexp_extract(text, FULL_TIME, 5).try_cast("int") < 60
-    second = F.regexp_extract(text, FULL_TIME, 6).try_cast("int") < 62
-    return F.when(shaped & (text.rlike(FULL_DATE) | (clock & minute & second)), day)
+    def parse(text: Column) -> Column:
+        day = F.try_to_date(F.substring_index(F.regexp_replace(text, r"\s+", " "), " ", 1), "yyyy-M-d")
+        part = lambda group: F.regexp_extract(text, FULL_TIME, group).try_cast("int")
+        timed = text.rlike(FULL_TIME) & (part(4) < 24) & (part(5) < 60) & (part(6) < 62)
+        return F.when(text.rlike(FULL_DATE) | timed, day)
+
+    return let(strip(c), parse)
 
 
 def iso_date(c: Column | str) -> Column:
@@ -28,9 +28,9 @@ def iso_date(c: Column | str) -> Column:
 
 
 def month_text(c: Column | str) -> Column:
-    text = F.coalesce(strip(c), F.lit(""))
-    month, year = pick(text, r"(\d{4}-\d{2})"), pick(text, r"(\d{4})")
-    return F.when(month != "", month).when(year != "", year).otherwise(text)
+    """``yyyy-MM`` when there is one, else a year, else the text."""
+    picks = lambda text: F.coalesce(*[F.nullif(pick(text, p), F.lit("")) for p in (r"(\d{4}-\d{2})", r"(\d{4})")], text)
+    return let(F.coalesce(strip(c), F.lit("")), picks)
 
 
 def trim_seconds(c: Column | str) -> Column:

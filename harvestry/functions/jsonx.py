@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from harvestry.functions.dates import month_text
-from harvestry.functions.text import col, strip
+from harvestry.functions.text import any_contains, col, let, mapped, strip
 
 RECORD_KEYS = ("pageList", "dataList", "items", "list", "doctorList", "data_list")
 
@@ -30,30 +30,26 @@ def _paths(path: str) -> list[str]:
 
 def get_path(v: Column, path: str, kind: str = "variant") -> Column:
     """Value at ``a.b.0``; null when absent. JSON null counts as absent."""
-    found = F.coalesce(*[F.try_variant_get(v, p, "variant") for p in _paths(path)])
-    found = F.when(~F.is_variant_null(found), found)
-    if kind == "variant":
-        return found
-    if kind == "json":
-        return F.to_json(found)
+    if kind in ("variant", "json"):
+        hits = F.array(*[F.try_variant_get(v, p, "variant") for p in _paths(path)])
+        found = F.try_element_at(F.filter(hits, lambda x: x.isNotNull() & ~F.is_variant_null(x)), F.lit(1))
+        return F.to_json(found) if kind == "json" else found
     return F.coalesce(*[F.try_variant_get(v, p, kind) for p in _paths(path)])
 
 
 def text_at(v: Column, *paths: str) -> Column:
     """First path with text, stripped; '' when none. Zero, false and '' are skipped like the source's ``or`` chains."""
-    picks = []
-    for path in paths:
-        value = get_path(v, path, "string")
-        picks.append(F.when(~value.isin("", "0", "false", "0.0"), value))
-    return F.coalesce(strip(F.coalesce(*picks)), F.lit(""))
+    values = F.array(*[get_path(v, path, "string") for path in paths])
+    hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull() & ~x.isin("", "0", "false", "0.0")), F.lit(1))
+    return F.coalesce(strip(hit), F.lit(""))
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.to_json(v).startswith("{"), F.lit(False))
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
 def is_list(v: Column) -> Column:
-    return F.coalesce(F.to_json(v).startswith("["), F.lit(False))
+    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
 
 
 def canonical_json(v: Column) -> Column:
@@ -61,22 +57,24 @@ def canonical_json(v: Column) -> Column:
     return F.to_json(v)
 
 
+EMPTY = "{}"
+
+
+def _first_that(candidates: Sequence[Column], test) -> Column:
+    """First candidate that passes the test, else an empty object."""
+    hits = F.filter(F.array(*candidates), lambda x: x.isNotNull() & test(x))
+    return F.coalesce(F.try_element_at(hits, F.lit(1)), F.parse_json(F.lit(EMPTY)))
+
+
 def response_data(v: Column, paths: Sequence[str] = ("responseObject.responseData", "responseData", "data")) -> Column:
     """First object or list among the envelope paths, else an empty object."""
-    picks = []
-    for path in paths:
-        value = get_path(v, path)
-        picks.append(F.when(is_object(value) | is_list(value), value))
-    return F.coalesce(*picks, F.parse_json(F.lit("{}")))
+    return let(v, lambda x: _first_that([get_path(x, p) for p in paths], lambda y: is_object(y) | is_list(y)))
 
 
 def detail_data(v: Column) -> Column:
     """The ``data_list`` object inside the response data, else the response data when it is an object."""
-    data = response_data(v)
-    inner = get_path(data, "data_list")
-    fallback = get_path(v, "data")
-    return F.coalesce(F.when(is_object(data) & is_object(inner), inner), F.when(is_object(data), data),
-                      F.when(is_object(fallback), fallback), F.parse_json(F.lit("{}")))
+    return let(F.struct(response_data(v).alias("data"), get_path(v, "data").alias("own")), lambda r: _first_that(
+        [F.when(is_object(r.data), get_path(r.data, "data_list")), r.data, r.own], is_object))
 
 
 def as_items(v: Column) -> Column:
@@ -87,34 +85,33 @@ def as_items(v: Column) -> Column:
 
 def records_of(v: Column, keys: Sequence[str] = RECORD_KEYS) -> Column:
     """Objects of the first list found under the known keys, else of a top-level list."""
-    data = response_data(v)
-    lists = [get_path(data, k) for k in keys]
-    chosen = F.coalesce(*[F.when(is_object(data) & is_list(x), x) for x in lists], F.when(is_list(data), data))
-    return as_items(chosen)
+    return let(response_data(v), lambda data: as_items(_first_that(
+        [F.when(is_object(data), get_path(data, k)) for k in keys] + [data], is_list)))
 
 
 def page_info(v: Column) -> Column:
     """Page number, size, totals and last flag with defaults 1, 0, 0, 0, false."""
-    info = F.coalesce(get_path(response_data(v), "pageInfo"), get_path(v, "data.pageInfo"))
-    number = lambda key, default: F.coalesce(F.nullif(get_path(info, key, "bigint"), F.lit(0).cast("bigint")), F.lit(default).cast("bigint"))
-    return F.struct(
-        number("currentPageNum", 1).alias("current_page_num"), number("pageSize", 0).alias("page_size"),
-        number("totalPageCount", 0).alias("total_page_count"), number("totalCount", 0).alias("total_count"),
-        F.coalesce(get_path(info, "lastPage", "boolean"), F.lit(False)).alias("last_page"),
-    )
+    def read(info: Column) -> Column:
+        number = lambda key, default: F.coalesce(F.nullif(get_path(info, key, "bigint"), F.lit(0).cast("bigint")), F.lit(default).cast("bigint"))
+        return F.struct(
+            number("currentPageNum", 1).alias("current_page_num"), number("pageSize", 0).alias("page_size"),
+            number("totalPageCount", 0).alias("total_page_count"), number("totalCount", 0).alias("total_count"),
+            F.coalesce(get_path(info, "lastPage", "boolean"), F.lit(False)).alias("last_page"))
+
+    return let(_first_that([get_path(response_data(v), "pageInfo"), get_path(v, "data.pageInfo")], is_object), read)
 
 
 def pick_path(v: Column, paths: Sequence[str]) -> Column:
     """First path that exists; a hit that is no object gives an empty object."""
     hit = F.coalesce(*[get_path(v, p) for p in paths])
-    return F.when(is_object(hit), hit).otherwise(F.parse_json(F.lit("{}")))
+    return _first_that([hit], is_object)
 
 
 def enveloped(c: Column | str, content: str = "content", records: str = "result.records", total: str = "result.totalcount") -> Column:
     """Payload whose content is JSON text again: struct of record array and total."""
     inner = parse_payload(get_path(parse_payload(c), content, "string"))
-    return F.struct(as_items(get_path(inner, records)).alias("records"),
-                    F.coalesce(get_path(inner, total, "bigint"), F.lit(0).cast("bigint")).alias("total"))
+    return let(inner, lambda v: F.struct(as_items(get_path(v, records)).alias("records"),
+                                         F.coalesce(get_path(v, total, "bigint"), F.lit(0).cast("bigint")).alias("total")))
 
 
 def flatten_list(v: Column, fields: Mapping[str, Sequence[str]], dates: Sequence[str] = ()) -> Column:
@@ -137,8 +134,6 @@ def join_objects(rows: Column, fields: Sequence[str]) -> Column:
 
 def parse_tags(tags: Column, level_markers: Sequence[str], ownership: Sequence[str], synonyms: Mapping[str, str]) -> Column:
     """First level-like tag (synonyms applied), first ownership tag, first other tag."""
-    from harvestry.functions.text import any_contains, mapped
-
     is_level = lambda x: any_contains(x, level_markers)
     is_owner = lambda x: any_contains(x, ownership)
     first = lambda arr: F.coalesce(F.try_element_at(arr, F.lit(1)), F.lit(""))

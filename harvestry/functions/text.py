@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -15,7 +16,7 @@ from pyspark.sql.types import StringType
 from harvestry.specs import words
 
 # Every character the source treats as white space. Java's \s covers ASCII only.
-SPACE = r"\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 CJK = r"\x{4e00}-\x{9fff}"
 
 
@@ -23,6 +24,15 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Compute ``value`` once and use it many times in ``body``.
+
+    A Column used in several branches is copied into each of them; nested functions would multiply
+    the copies. A lambda variable is a reference instead. ``body`` must stay free of Python UDFs.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def one_of(values: Sequence[str]) -> str:
     """Regex alternation that matches the values literally."""
     return "|".join(re.escape(v) for v in values)
@@ -158,8 +168,8 @@ def pick(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 def first_non_empty(*cols: Column | str, entities: bool = False) -> Column:
     """First argument with text left after normalising, else ''."""
-    normed = [norm_text(c, entities=entities) for c in cols]
-    return F.coalesce(*[F.when(n != "", n) for n in normed], F.lit(""))
+    normed = F.array(*[norm_text(c, entities=entities) for c in cols])
+    return F.coalesce(F.try_element_at(F.filter(normed, lambda n: n != ""), F.lit(1)), F.lit(""))
 
 
 def labeled_value(c: Column | str, label: str, entities: bool = True) -> Column:
@@ -170,7 +180,11 @@ def labeled_value(c: Column | str, label: str, entities: bool = True) -> Column:
 
 def first_pattern(c: Column | str, patterns: Sequence[str]) -> Column:
     """Ordered patterns; the first non-blank group wins."""
-    return first_non_empty(*[pick(c, "(?s)" + p) for p in patterns])
+    return let(col(c), lambda text: F.coalesce(*[_non_empty(collapse(pick(text, "(?s)" + p))) for p in patterns], F.lit("")))
+
+
+def _non_empty(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
 
 
 def section_text(c: Column | str, heading: str, stops: str, number: str = "") -> Column:
@@ -194,7 +208,7 @@ def strip_suffix_clause(c: Column | str) -> Column:
 
 
 def extract_party(c: Column | str) -> Column:
-    found = F.coalesce(*[F.when(pick(c, p) != "", pick(c, p)) for p in words.PARTY_PATTERNS], F.lit(""))
+    found = let(col(c), lambda text: F.coalesce(*[_non_empty(pick(text, p)) for p in words.PARTY_PATTERNS], F.lit("")))
     return strip_suffix_clause(F.substring_index(found, words.PARTY_CUT, 1))
 
 
@@ -214,15 +228,18 @@ def split_contact(c: Column | str) -> tuple[Column, Column]:
 
 def mapped(c: Column, table: Mapping[str, str], default: Column | None = None) -> Column:
     """Constant lookup table as a CASE; ``default`` on a miss (null when not given)."""
-    chain = reduce(lambda acc, kv: acc.when(c == kv[0], F.lit(kv[1])), table.items(), F.when(F.lit(False), ""))
-    return chain if default is None else chain.otherwise(default)
+    def chain(key: Column) -> Column:
+        return reduce(lambda acc, kv: acc.when(key == kv[0], F.lit(kv[1])), table.items(), F.when(F.lit(False), ""))
+
+    hit = let(c, chain)
+    return hit if default is None else F.coalesce(hit, default)
 
 
 def canonical_label(c: Column | str, table: Mapping[str, str] = words.FIELD_NAMES) -> Column:
     """Known labels to field names; others to a lower-case underscore form."""
-    name = F.regexp_replace(F.translate(collapse(c), "（）", "()"), "[：:]+$", "")
-    snake = F.regexp_replace(F.lower(name), f"[^0-9a-zA-Z{CJK}]+", "_")
-    return mapped(name, table, F.regexp_replace(snake, "^_+|_+$", ""))
+    snake = lambda name: F.regexp_replace(F.lower(name), f"[^0-9a-zA-Z{CJK}]+", "_")
+    clean = F.regexp_replace(F.translate(collapse(c), "（）", "()"), "[：:]+$", "")
+    return let(clean, lambda name: mapped(name, table, F.regexp_replace(snake(name), "^_+|_+$", "")))
 
 
 def prefixed_value(items: Column | str, prefixes: Sequence[str]) -> Column:
@@ -244,17 +261,15 @@ def split_title(c: Column | str, department: Column, titles: Sequence[str] = wor
 
 def contained_title(c: Column | str, titles: Sequence[str] = words.CONTAINED_TITLES) -> Column:
     """First title of the ordered list that the text contains."""
-    text = collapse(c)
-    return F.coalesce(*[F.when(text.contains(t), F.lit(t)) for t in titles], F.lit(""))
+    return let(collapse(c), lambda text: F.coalesce(*[F.when(text.contains(t), F.lit(t)) for t in titles], F.lit("")))
 
 
 def title_from_text(title: Column | str, intro: Column | str, alternatives: str = words.TITLE_ALTERNATIVES,
                     other: str = words.OTHER_TITLE) -> Column:
     """Title named in the heading, the heading itself, else a title named in the intro."""
-    head = collapse(title)
-    named = pick(head, f"({alternatives})")
-    return (F.when((head != "") & (head != other), F.when(named != "", named).otherwise(head))
-            .otherwise(pick(intro, f"({alternatives})")))
+    named = f"({alternatives})"
+    return let(collapse(title), lambda head: F.when(
+        (head != "") & (head != other), F.coalesce(_non_empty(pick(head, named)), head)).otherwise(pick(intro, named)))
 
 
 def gender_from_text(c: Column | str, markers: Sequence[str] = ("男", "女")) -> Column:
@@ -279,15 +294,14 @@ def guess_area(address: Column, name: Column, city: Column) -> Column:
 def org_from_intro(intro: Column, department: Column, fallback: Column,
                    leads: Sequence[str] = ("现就职于", "现任", "就职于")) -> Column:
     """Organisation named between a lead phrase and the row's own department."""
-    text, dept = collapse(intro), collapse(department)
-
-    def between(lead: str) -> Column:
-        start = F.locate(lead, text)
-        rest = F.substring(text, start + len(lead), F.length(text))
-        stop = F.call_function("locate", dept, rest, F.lit(2))
-        return F.when((dept != "") & (start > 0) & (stop > 1), collapse(F.substring(rest, F.lit(1), stop - 1)))
+    def between(row: Column, lead: str) -> Column:
+        start = F.locate(lead, row.text)
+        rest = F.substring(row.text, start + len(lead), F.length(row.text))
+        stop = F.call_function("locate", row.dept, rest, F.lit(2))
+        return F.when((row.dept != "") & (start > 0) & (stop > 1), collapse(F.substring(rest, F.lit(1), stop - 1)))
 
-    return F.coalesce(*[between(lead) for lead in leads], fallback)
+    both = F.struct(collapse(intro).alias("text"), collapse(department).alias("dept"))
+    return F.coalesce(let(both, lambda row: F.coalesce(*[between(row, lead) for lead in leads])), fallback)
 
 
 def split_names(c: Column | str) -> Column:
@@ -297,52 +311,52 @@ def split_names(c: Column | str) -> Column:
 
 def union_flag(c: Column | str, variant: str) -> Column:
     """1 when a win is shared. ``comma``: comma in the name; ``name``: comma or the union word; ``text``: mention, unless denied."""
-    text = collapse(c)
-    if variant == "comma":
-        hit = text.contains(",")
-    elif variant == "name":
-        hit = any_contains(text, (",", "，", words.UNION_WORD))
-    else:
-        raw = F.coalesce(col(c), F.lit(""))
-        hit = raw.contains(words.UNION_WORD) & ~any_contains(raw, words.UNION_DENIALS)
-    return F.when(hit, 1).otherwise(0)
+    rules = {
+        "comma": lambda text: text.contains(","),
+        "name": lambda text: any_contains(text, (",", "，", words.UNION_WORD)),
+        "text": lambda text: text.contains(words.UNION_WORD) & ~any_contains(text, words.UNION_DENIALS),
+    }
+    return let(collapse(c), lambda text: F.when(rules[variant](text), 1).otherwise(0))
 
 
 def classify_board(name: Column, rules: Sequence[tuple[Sequence[str], str]], default: str,
                    exact: Mapping[str, str] | None = None, module: Column | None = None,
                    module_rule: tuple[Sequence[str], Sequence[str], str] | None = None) -> Column:
     """Ordered keyword rules. Exact names win when given; a module-bound rule goes first when given."""
-    chain = F.when(F.lit(False), "")
-    if exact:
-        for label, board in exact.items():
-            chain = chain.when(name == label, board)
-    if module is not None and module_rule:
-        modules, keywords, board = module_rule
-        chain = chain.when(module.isin(*modules) & any_contains(name, keywords), board)
-    for keywords, board in rules:
-        chain = chain.when(any_contains(name, keywords), board)
-    return chain.otherwise(default)
+    def decide(text: Column) -> Column:
+        chain = F.when(F.lit(False), "")
+        for label, board in (exact or {}).items():
+            chain = chain.when(text == label, board)
+        if module is not None and module_rule:
+            modules, keywords, board = module_rule
+            chain = chain.when(module.isin(*modules) & any_contains(text, keywords), board)
+        for keywords, board in rules:
+            chain = chain.when(any_contains(text, keywords), board)
+        return chain.otherwise(default)
+
+    return let(name, decide)
 
 
 def announcement_code(c: Column | str, keywords: Sequence[str], hit: int) -> Column:
     """``hit`` when a keyword occurs, else the other one of 1 and 2."""
-    return F.when(any_contains(collapse(c), keywords), hit).otherwise(3 - hit)
+    return let(collapse(c), lambda text: F.when(any_contains(text, keywords), hit).otherwise(3 - hit))
 
 
 def normalize_method(c: Column | str, methods: Sequence[str] = words.PROCUREMENT_METHODS,
                      other: str = words.OTHER_METHOD) -> Column:
     """Exact name, else the first listed name it contains, else 'other'; blank stays blank."""
-    text = collapse(c)
-    chain = F.when(text == "", "").when(text.isin(*methods), text)
-    for method in methods:
-        chain = chain.when(text.contains(method), method)
-    return chain.otherwise(other)
+    def decide(text: Column) -> Column:
+        chain = F.when(text == "", "").when(text.isin(*methods), text)
+        for method in methods:
+            chain = chain.when(text.contains(method), method)
+        return chain.otherwise(other)
+
+    return let(collapse(c), decide)
 
 
 def trade_type_gate(module: Column, trade_type: Column, gated: Sequence[str], allowed: Sequence[str]) -> Column:
     """A whitelist that binds only some modules."""
-    kind = collapse(trade_type)
-    return F.when(module.isin(*gated) & ~kind.isin(*allowed), "").otherwise(kind)
+    return let(collapse(trade_type), lambda kind: F.when(module.isin(*gated) & ~kind.isin(*allowed), "").otherwise(kind))
 
 
 def bracket_pair(c: Column | str) -> tuple[Column, Column]:
@@ -356,21 +370,27 @@ def encode_body(c: Column | str) -> Column:
     return F.regexp_replace(F.base64(F.encode(body, "UTF-8")), "[\r\n]", "")
 
 
+BYTE_RUN_MIN = 50
+
+
 @F.pandas_udf(StringType())
-def _utf8_lenient(values: pd.Series) -> pd.Series:
-    return values.map(lambda b: bytes(b).decode("utf-8-sig", errors="ignore"), na_action="ignore")
+def _from_byte_lines(values: pd.Series) -> pd.Series:
+    def one(text):
+        stripped = filter(None, map(str.strip, text.splitlines()))
+        run = list(itertools.takewhile(lambda s: s.isdigit() and int(s) < 256, stripped))
+        return bytes(map(int, run)).decode("utf-8-sig", errors="ignore") if len(run) >= BYTE_RUN_MIN else text
+
+    return values.map(one, na_action="ignore")
+
 
+def decode_numeric_bytes(c: Column | str) -> Column:
+    """Text that is a list of byte values, one per line, back to the text it stands for.
 
-def decode_numeric_bytes(c: Column | str, at_least: int = 50) -> Column:
-    """Text that is a list of byte values, one per line, back to the text it stands for."""
+    Only texts that start with such a line go to Python; all others pass through as they are.
+    """
     raw = col(c)
-    lines = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), "\r\n|\n|\r"), strip), lambda x: x != "")
-    is_byte = lambda x: x.rlike("^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$")
-    # Position of the first line that is no byte value; everything before it is the byte run.
-    stop = F.array_position(F.transform(lines, lambda x: ~is_byte(x)), F.lit(True))
-    run = F.when(stop == 0, lines).otherwise(F.slice(lines, F.lit(1), F.greatest(stop - 1, F.lit(0)).cast("int")))
-    packed = F.unhex(F.array_join(F.transform(run, lambda x: F.lpad(F.hex(x.cast("bigint")), 2, "0")), ""))
-    return F.when(F.size(run) >= at_least, _utf8_lenient(F.when(F.size(run) >= at_least, packed))).otherwise(raw)
+    listed = raw.rlike(f"^[{SPACE}]*\\d{{1,3}}[{SPACE}]*(?:[\r\n]|$)")
+    return F.when(listed, _from_byte_lines(F.when(listed, raw))).otherwise(raw)
 
 
 def unit_before_year(c: Column | str) -> Column:
@@ -384,9 +404,9 @@ def string_bool(c: Column) -> Column:
 
 def safe_label(title: Column, owner: Column) -> Column:
     """Title without the leading owner name and separators."""
-    text = collapse(title)
-    cut = F.when((owner != "") & F.startswith(text, owner), strip(F.substring(text, F.length(owner) + 1, F.length(text))))
-    return F.regexp_replace(F.coalesce(cut, text), f"^[{SPACE}|/·、,-]+", "")
+    cut = let(collapse(title), lambda text: F.when(
+        (owner != "") & F.startswith(text, owner), strip(F.substring(text, F.length(owner) + 1, F.length(text)))).otherwise(text))
+    return F.regexp_replace(cut, f"^[{SPACE}|/·、,-]+", "")
 
 
 def safe_key(c: Column | str) -> Column:

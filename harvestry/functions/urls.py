@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from harvestry.functions.text import col, collapse, first_non_empty, mapped, pick
+from harvestry.functions.text import col, collapse, first_non_empty, let, mapped, pick
 
 URL_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 
@@ -66,10 +66,9 @@ def url_path_matches(c: Column | str, pattern: str) -> Column:
 
 def asset_url(c: Column | str, base: str, default_marker: str) -> Column:
     """'' for blank or the default picture, absolute otherwise."""
-    raw = collapse(c)
-    rooted = F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(raw, "^/+", ""))
-    return (F.when((raw == "") | raw.contains(default_marker), "")
-            .when(raw.rlike("^https?://"), raw).otherwise(rooted))
+    rooted = lambda raw: F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(raw, "^/+", ""))
+    return let(collapse(c), lambda raw: F.when((raw == "") | raw.contains(default_marker), "")
+               .when(raw.rlike("^https?://"), raw).otherwise(rooted(raw)))
 
 
 def prefix_category(c: Column | str, table: Mapping[str, str], sep: str = "_") -> Column:
@@ -97,8 +96,8 @@ def page_count_from_text(c: Column | str, pattern: str) -> Column:
 
 def site_url(c: Column | str) -> Column:
     """http scheme and a trailing slash; '' stays ''."""
-    plain = F.regexp_replace(collapse(c), "(?i)^https://", "http://")
-    return F.when(plain == "", "").when(plain.endswith("/"), plain).otherwise(F.concat(plain, F.lit("/")))
+    return let(F.regexp_replace(collapse(c), "(?i)^https://", "http://"),
+               lambda url: F.when((url == "") | url.endswith("/"), url).otherwise(F.concat(url, F.lit("/"))))
 
 
 def object_key(record_id: Column, url: Column, mime: Column, prefix: str) -> Column:
@@ -109,7 +108,7 @@ def object_key(record_id: Column, url: Column, mime: Column, prefix: str) -> Col
              if (e := mimetypes.guess_extension(m))}
     kind = F.lower(F.trim(F.substring_index(F.coalesce(mime, F.lit("")), ";", 1)))
     by_mime = mapped(kind, kinds, F.lit(".jpg"))
-    name = F.concat(record_id.cast("string"), F.when(ext != "", ext).otherwise(by_mime))
+    name = F.concat(record_id.cast("string"), F.coalesce(F.nullif(ext, F.lit("")), by_mime))
     clean = prefix.strip().strip("/")
     return F.concat(F.lit(clean + "/"), name) if clean else name
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.functions.text import any_contains, collapse, is_blank, norm_text, one_of, strip, strip_edge_noise
+from harvestry.functions.text import any_contains, collapse, is_blank, let, norm_text, one_of, strip, strip_edge_noise
 from harvestry.specs import words
 
 
@@ -80,20 +80,21 @@ def keep_or_reject(df: DataFrame, rules: Sequence[tuple[Column, str]], name: str
 
 
 def is_placeholder_name(name: Column, word: str = words.PLACEHOLDER_PERSON_WORD) -> Column:
-    text = strip_edge_noise(name)
-    return (text == "") | text.contains(word) | text.rlike(r"^\d+$") | (F.length(text) < 2)
+    return let(strip_edge_noise(name), lambda text: text.contains(word) | text.rlike(r"^\d+$") | (F.length(text) < 2))
 
 
 def is_viable_entity_name(name: Column, keywords: Sequence[str] = words.ENTITY_KEYWORDS,
                           placeholders: Sequence[str] = words.PLACEHOLDER_ENTITY_NAMES,
                           suspicious: Sequence[str] | None = None) -> Column:
     """Worth resolving: long enough, has letters, no decorations, holds a domain keyword; the strict form bars suspicious words."""
-    text = strip_edge_noise(name)
-    sound = (F.length(text) >= 2) & ~text.rlike(r"^\d+$") & any_contains(text, keywords)
-    if suspicious is not None:
-        return sound & ~any_contains(F.lower(text), [w.lower() for w in suspicious])
-    return (sound & ~text.isin(*placeholders) & text.rlike("[A-Za-z\\x{4e00}-\\x{9fff}]")
-            & ~text.rlike(f"[{words.DECORATIVE_CHARS}]"))
+    def judge(text: Column) -> Column:
+        sound = (F.length(text) >= 2) & ~text.rlike(r"^\d+$") & any_contains(text, keywords)
+        if suspicious is not None:
+            return sound & ~any_contains(F.lower(text), [w.lower() for w in suspicious])
+        return (sound & ~text.isin(*placeholders) & text.rlike("[A-Za-z\\x{4e00}-\\x{9fff}]")
+                & ~text.rlike(f"[{words.DECORATIVE_CHARS}]"))
+
+    return let(strip_edge_noise(name), judge)
 
 
 def all_blank(names: Sequence[str]) -> Column:
@@ -158,13 +159,15 @@ def block_event_id(body: Column) -> Column:
 
 def is_noise_text(text: Column, help_url: str = words.NOISE_HELP_PATH, login_path: str = words.NOISE_LOGIN_PATH) -> Column:
     """Page furniture; a keep-marker anywhere in the text overrides everything."""
+    def judge(r: Column) -> Column:
+        prefixed = reduce(lambda a, b: a | b, [r.low.startswith(p.lower()) for p in words.NOISE_PREFIXES])
+        return (F.when((r.value == "") | any_contains(r.value, words.KEEP_TEXT_MARKERS), False)
+                .when(r.value.startswith(words.NOISE_BREADCRUMB) | r.value.isin(*words.NOISE_EXACT_TEXTS) | prefixed, True)
+                .when(r.low.contains(help_url), True)
+                .otherwise(r.low.startswith("http") & r.low.contains(login_path)))
+
     value = collapse(text)
-    low = F.lower(value)
-    prefixed = reduce(lambda a, b: a | b, [low.startswith(p.lower()) for p in words.NOISE_PREFIXES])
-    return (F.when((value == "") | any_contains(value, words.KEEP_TEXT_MARKERS), False)
-            .when(value.startswith(words.NOISE_BREADCRUMB) | value.isin(*words.NOISE_EXACT_TEXTS) | prefixed, True)
-            .when(low.contains(help_url), True)
-            .otherwise(low.startswith("http") & low.contains(login_path)))
+    return let(F.struct(value.alias("value"), F.lower(value).alias("low")), judge)
 
 
 def is_blank_detail(module: Column, kind: Column, title: Column, labels: Column, n_result_rows: Column, *texts: Column,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,9 @@ def pinned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: rows and partition layout stay fixed even when executors are lost."""
     prepare_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, for tables handed from one job to the next."""
+    prepare_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
