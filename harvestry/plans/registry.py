@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-FAMILIES = ("sources", "shaping", "joining", "rollups", "quality", "ordering", "text", "urls", "money")
+FAMILIES = (
+    "sources", "shaping", "joining", "rollups", "quality", "ordering", "text", "urls", "money", "nested", "pages", "records", "streams",
+)
 
 
 class Tables:
