@@ -1,27 +1,26 @@
-"""HTML columns. Patterns run in the JVM; only nested structure goes through one small Arrow-batched parser."""
+"""HTML columns. Patterns run in the JVM; only tables with nested or unclosed parts go through one small Arrow-batched parser."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
-from harvestry.functions.text import canonical_label, col, collapse, join_lines, let, one_of, pick, strip, strip_tags
+from harvestry.functions.text import OTHER_ENTITY, any_contains, basic_entities, canonical_label, col, collapse, join_lines, let, one_of, pick, strip, strip_tags
 from harvestry.functions.urls import url_path
 from harvestry.specs import words
 
 HREF = r"""(?i)href\s*=\s*["']([^"']+)["']"""
 ANCHOR = r"""(?is)<a\b[^>]*href\s*=\s*['"][^'"]+['"][^>]*>.*?</a>"""
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-TABLES = StructType([
-    StructField("tables", ArrayType(ArrayType(ArrayType(StringType())))),
-    StructField("parts", ArrayType(StructType([StructField("after", BooleanType()), StructField("text", StringType())]))),
-])
+TABLES = ArrayType(ArrayType(ArrayType(StringType())))
+PARTS = ArrayType(StructType([StructField("after", BooleanType()), StructField("text", StringType())]))
 
 
 class _Grid(HTMLParser):
@@ -75,100 +74,90 @@ class _Grid(HTMLParser):
         return {"tables": flat, "parts": parts}
 
 
+def _parsed(html: str, what: str):
+    parser = _Grid()
+    parser.feed(html)
+    parser.close()
+    return parser.result()[what]
+
+
 @F.pandas_udf(TABLES)
-def _grid(values: pd.Series) -> pd.DataFrame:
-    out = []
-    for html in values:
-        if html is None:
-            out.append({"tables": [], "parts": []})
-            continue
-        parser = _Grid()
-        parser.feed(html)
-        parser.close()
-        out.append(parser.result())
-    return pd.DataFrame(out, columns=["tables", "parts"])
-
-
-class _Cut(HTMLParser):
-    """Offsets of the first element that fits a selector: ``tag``, ``.class`` or ``#id``."""
-
-    def __init__(self, html, selector):
-        super().__init__(convert_charrefs=False)
-        self.html, self.selector, self.begin, self.end, self.depth, self.tag = html, selector, None, None, 0, None
-        starts = [0]
-        for line in html.split("\n"):
-            starts.append(starts[-1] + len(line) + 1)
-        self.starts = starts
-        self.feed(html)
-
-    def here(self):
-        line, column = self.getpos()
-        return self.starts[line - 1] + column
-
-    def fits(self, tag, attrs):
-        key, name = self.selector[0], self.selector[1:]
-        values = dict(attrs)
-        if key == ".":
-            return name in (values.get("class") or "").split()
-        return values.get("id") == name if key == "#" else tag == self.selector
+def _tables(values: pd.Series) -> pd.Series:
+    return values.map(lambda html: _parsed(html, "tables"), na_action="ignore")
 
-    def handle_starttag(self, tag, attrs):
-        if self.begin is None:
-            if self.fits(tag, attrs):
-                self.begin, self.tag = self.here(), tag
-                self.depth = 1
-        elif tag == self.tag and self.end is None:
-            self.depth += 1
 
-    def handle_endtag(self, tag):
-        if self.begin is not None and self.end is None and tag == self.tag:
-            self.depth -= 1
-            if self.depth == 0:
-                self.end = self.html.find(">", self.here()) + 1
+@F.pandas_udf(PARTS)
+def _parts(values: pd.Series) -> pd.Series:
+    return values.map(lambda html: _parsed(html, "parts"), na_action="ignore")
 
 
-def first_block(html: Column | str, selectors: Sequence[str]) -> Column:
-    """Source of the first element that fits the first fitting selector; the whole page when none does.
+def _opening(selector: str) -> str:
+    """Pattern of the start tag a selector means; group 1 is the tag name."""
+    name = re.escape(selector[1:])
+    if selector[0] == ".":
+        return rf"""(?is)<(\w+)\b[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|'(?:[^']*\s)?{name}(?:\s[^']*)?')[^>]*>"""
+    if selector[0] == "#":
+        return rf"""(?is)<(\w+)\b[^>]*\sid\s*=\s*["']{name}["'][^>]*>"""
+    return rf"(?is)<({re.escape(selector)})\b[^>]*>"
 
-    A bare tag that occurs once is cut in the JVM. Pages that need nesting counted go to the parser, others send it a null.
-    """
-    page = col(html)
 
-    def trace(selector: str) -> str:
-        return rf"(?i)<{selector}\b" if selector[0] not in ".#" else r"\Q" + selector[1:] + r"\E"
-
-    def once(selector: str) -> Column:
-        return F.size(F.regexp_extract_all(page, F.lit(trace(selector)), 0)) == 1
-
-    @F.pandas_udf(StringType())
-    def cut(values: pd.Series) -> pd.Series:
-        def one(text):
-            for selector in selectors:
-                found = _Cut(text, selector)
-                if found.begin is not None:
-                    return text[found.begin:found.end or len(text)]
-            return text
-        return values.map(one, na_action="ignore")
-
-    chain, blocked = F.when(F.lit(False), ""), F.lit(False)
-    for selector in selectors:
-        present = page.rlike(trace(selector))
-        if selector[0] not in ".#":
-            simple = once(selector) & ~blocked & ~page.contains("<!--")
-            chain = chain.when(simple, F.regexp_extract(page, rf"(?is)(<{selector}\b.*</{selector}\s*>)", 1))
-        blocked = blocked | present
-    direct = F.nullif(chain, F.lit(""))
-    return F.coalesce(direct, cut(F.when(direct.isNull() & blocked, page)), page)
+def _balanced(page: Column, selector: str) -> Column:
+    """The element from its start tag to the matching end tag, by counting its own tag; null when absent."""
+    start = let(page, lambda p: F.struct(p.alias("page"), F.regexp_extract(p, _opening(selector), 0).alias("head"), F.regexp_extract(p, _opening(selector), 1).alias("tag")))
+
+    def cut(r: Column) -> Column:
+        rest = F.substring(r["page"], F.call_function("locate", r["head"], r["page"]), F.length(r["page"]))
+        return let(F.call_function("split", rest, F.concat(F.lit("(?i)(?=</?"), r["tag"], F.lit("\\b)"))), until_closed)
+
+    def until_closed(pieces: Column) -> Column:
+        closes = lambda x: x.startswith("</")
+        none = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("stop"))
+
+        def step(acc: Column, x: Column) -> Column:
+            depth = acc["depth"] + F.when(closes(x), -1).otherwise(1)
+            seen = acc["seen"] + 1
+            return F.struct(depth.alias("depth"), seen.alias("seen"), F.when((acc["stop"] == 0) & (depth == 0), seen).otherwise(acc["stop"]).alias("stop"))
+
+        stop = F.aggregate(pieces, none, step)["stop"]
+        return let(stop, lambda n: F.when(n > 0, F.concat(F.array_join(F.slice(pieces, 1, n - 1), ""), F.regexp_extract(F.get(pieces, n - 1), "^[^>]*>", 0)))
+                   .otherwise(F.array_join(pieces, "")))
+
+    return let(start, lambda r: F.when(r["head"] != "", cut(r)))
+
+
+MASK = "\ue000"
+HIDDEN = r"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"
+
+
+def _masked(page: Column) -> Column:
+    """Page with the ``<`` of comments, scripts and styles swapped for a private character, so their text cannot pass for tags."""
+    def swap(p: Column) -> Column:
+        shown, hidden = F.split(p, HIDDEN), F.regexp_extract_all(p, F.lit(HIDDEN), 0)
+        return F.array_join(F.zip_with(shown, hidden, lambda a, b: F.concat(a, F.coalesce(F.translate(b, "<", MASK), F.lit("")))), "")
+
+    return let(page, lambda p: F.when(p.rlike(r"(?i)<!--|<script|<style"), swap(p)).otherwise(p))
+
+
+def first_block(html: Column | str, selectors: Sequence[str]) -> Column:
+    """Source of the first element that fits the first fitting selector (``tag``, ``.class``, ``#id``); the whole page when none does."""
+    page = col(html)
+    found = let(_masked(page), lambda p: F.coalesce(*[_balanced(p, s) for s in selectors]))
+    return F.coalesce(F.translate(found, MASK, "<"), page)
 
 
 def unwrap_nested_document(html: Column | str, shell_marks: Sequence[str] = ("链接地址", "gtqrlj", 'class="table2"', "class='table2'"),
                            placeholder: str = r"(?i)\$\(\s*0\s*,\s*#ca(?:data|id)\d+\s*\)") -> Column:
     """The inner document of a page that wraps a second one, when the shell looks like a known wrapper."""
     page = col(html)
-    inner = F.regexp_extract(page, r"(?is)<html\b.*?(<html\b.*</html>)", 1)
-    shell = F.regexp_extract(page, r"(?is)^(.*?<html\b.*?)<html\b", 1)
-    wrapper = shell.rlike(one_of(shell_marks)) | page.rlike(r"(?i)\$\(\s*0\s*,\s*#cadata\d+\s*\)")
-    return F.when((inner != "") & wrapper, F.regexp_replace(inner, placeholder, "")).otherwise(page)
+    nested = F.regexp_count(page, F.lit(r"(?i)<html\b")) > 1
+
+    def unwrap(p: Column) -> Column:
+        inner = F.regexp_extract(p, r"(?is)<html\b.*?(<html\b.*</html>)", 1)
+        shell = F.regexp_extract(p, r"(?is)^(.*?<html\b.*?)<html\b", 1)
+        wrapper = shell.rlike(one_of(shell_marks)) | p.rlike(r"(?i)\$\(\s*0\s*,\s*#cadata\d+\s*\)")
+        return F.when((inner != "") & wrapper, F.regexp_replace(inner, placeholder, "")).otherwise(p)
+
+    return F.when(nested, let(page, unwrap)).otherwise(page)
 
 
 # --- links -------------------------------------------------------------------
@@ -249,18 +238,15 @@ def attachments(files: Column | str, base: Column | str) -> Column:
 # --- text blocks ---------------------------------------------------------------
 def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"), entities: bool = True) -> Column:
     """Site title node, h1 or h2, ``<title>`` after its first dash."""
-    node = lambda text: [pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2) for c in classes]
-    heading = lambda text: pick(text, r"(?is)<(h[12])\b[^>]*>(.*?)</\1>", 2)
-    page_title = lambda text: let(strip_tags(pick(text, r"(?is)<title\b[^>]*>(.*?)</title>"), entities=False),
-                                  lambda x: F.when(x.contains("-"), pick(x, "(?s)^[^-]*-(.*)$")).otherwise(x))
-    plain = lambda c: strip_tags(c, " ", entities=False)
-    picks = let(col(html), lambda text: F.array(*[plain(n) for n in node(text)], plain(heading(text)), page_title(text)))
-    hit = F.coalesce(F.try_element_at(F.filter(picks, lambda x: x != ""), F.lit(1)), F.lit(""))
-    if not entities:
-        return hit
     from harvestry.functions.text import norm_text
 
-    return norm_text(hit)
+    plain = lambda c: F.nullif(strip_tags(c, " ", entities=False), F.lit(""))
+    node = lambda text, c: F.when(text.contains(c), plain(pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2)))
+    after_dash = lambda x: F.when(x.contains("-"), pick(x, "(?s)^[^-]*-(.*)$")).otherwise(x)
+    hit = let(col(html), lambda text: F.coalesce(
+        *[node(text, c) for c in classes], plain(pick(text, r"(?is)<(h[12])\b[^>]*>(.*?)</\1>", 2)),
+        let(strip_tags(pick(text, r"(?is)<title\b[^>]*>(.*?)</title>"), entities=False), lambda x: collapse(after_dash(x)))))
+    return norm_text(hit) if entities else hit
 
 
 def plain_lines(html: Column | str, entities: bool = True) -> Column:
@@ -272,6 +258,7 @@ def plain_lines(html: Column | str, entities: bool = True) -> Column:
 NOISE_NODE_TAGS = "p|div|li|span|td"
 GREETING = "尊敬的用户您好！"
 BUTTON_VALUES = ("澄清答疑", "我要参与")
+NOISE_TRACES = tuple(x.lower() for x in (words.NOISE_BREADCRUMB, GREETING, *words.NOISE_EXACT_TEXTS, *words.NOISE_PREFIXES, words.NOISE_HELP_PATH, words.NOISE_LOGIN_PATH))
 
 
 def noise_pattern() -> str:
@@ -283,44 +270,75 @@ def noise_pattern() -> str:
     return rf"<({NOISE_NODE_TAGS})\b[^>]*+>\s*{keep}(?:(?:{starts})[^<]*|(?:{exact})\s*)</\1\s*>"
 
 
-CLEAN_STEPS: tuple[tuple[str, str], ...] = (
-    (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
-    (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
-    (r"(?is)<link\b[^>]*/?>", ""),
-    (r"(?is)<!--(?:(?!-->).)*关闭本页(?:(?!-->).)*-->", ""),
-    (rf"(?is)<input\b[^>]*value=['\"](?:{one_of(BUTTON_VALUES)})['\"][^>]*/?>", ""),
-    (r"(?is)<li\b[^>]*class=['\"][^'\"]*\bbggg\b[^'\"]*['\"][^>]*>\s*变更公告\s*</li>", ""),
-    (r"(?is)<(\w+)\b[^>]*onclick=['\"]window\.close[^'\"]*['\"][^>]*>\s*关闭本页\s*</\1>", ""),
-    (r"(?is)<a\b[^>]*href\s*=\s*['\"][^'\"]*(?:\.pdf|\.doc|\.docx|\.xls|\.xlsx|\.zip|\.rar|\.7z|download|attach|file|fj)[^'\"]*['\"][^>]*>.*?</a\s*>", ""),
-    (r"(?is)<a\b[^>]*>\s*PDF版招标文件.*?</a\s*>", ""),
-    (r"(?is)</?a\b[^>]*>", ""),
-)
-UNHIDE_STEPS: tuple[tuple[str, str], ...] = (
-    (r"(?i)(<[^>]*style\s*=\s*(['\"])[^'\"]*?)(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*;?\s*", "$1"),
-    (r"(?i)\s+style\s*=\s*(['\"])[\s;]*\1", ""),
-    (r"(?i)(<[^>]*?)\s+hidden(?:\s*=\s*['\"][^'\"]*['\"])?(?=[\s/>])", "$1"),
-    (r"(?i)(<[^>]*class\s*=\s*['\"](?:[^'\"]*\s)?)hide(?=[\s'\"])", "$1"),
-    (r"(?i)\s+class\s*=\s*(['\"])\s*\1", ""),
+FILE_TRACES = (".pdf", ".doc", ".xls", ".zip", ".rar", ".7z", "download", "attach", "file", "fj")
+FILE_MARKS = r"\.pdf|\.doc|\.docx|\.xls|\.xlsx|\.zip|\.rar|\.7z|download|attach|file|fj"
+# (traces, pattern, replacement): a page that holds none of the lower-case traces skips the step.
+CLEAN_STEPS: tuple[tuple[tuple[str, ...], str, str], ...] = (
+    (("<script", "<style", "<link"), r"(?is)<(script|style)\b.*?</\1\s*>|<link\b[^>]*>", ""),
+    (("关闭本页",), r"(?is)<!--(?:(?!-->).)*关闭本页(?:(?!-->).)*-->|<(\w+)\b[^>]*onclick=['\"]window\.close[^'\"]*['\"][^>]*>\s*关闭本页\s*</\1>", ""),
+    (BUTTON_VALUES, rf"(?is)<input\b[^>]*value=['\"](?:{one_of(BUTTON_VALUES)})['\"][^>]*/?>", ""),
+    (("变更公告",), r"(?is)<li\b[^>]*class=['\"][^'\"]*\bbggg\b[^'\"]*['\"][^>]*>\s*变更公告\s*</li>", ""),
+    (FILE_TRACES, rf"(?is)<a\b[^>]*href\s*=\s*['\"][^'\"]*(?:{FILE_MARKS})[^'\"]*['\"][^>]*>.*?</a\s*>", ""),
+    (("pdf版招标文件",), r"(?is)<a\b[^>]*>\s*PDF版招标文件.*?</a\s*>", ""),
+    (("<a", "</a"), r"(?is)</?a\b[^>]*>", ""),
+    # Twice: a tag emptied by the first pass may leave its parent as a bare furniture tag.
+    (NOISE_TRACES, noise_pattern(), ""),
+    (NOISE_TRACES, noise_pattern(), ""),
+    (("display", "visibility"), r"(?i)(<[^>]*style\s*=\s*(['\"])[^'\"]*?)(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*;?\s*", "$1"),
+    (("style",), r"(?i)\s+style\s*=\s*(['\"])[\s;]*\1", ""),
+    (("hidden",), r"(?i)(<[^>]*?)\s+hidden(?:\s*=\s*['\"][^'\"]*['\"])?(?=[\s/>])", "$1"),
+    (("hide",), r"(?i)(<[^>]*class\s*=\s*['\"](?:[^'\"]*\s)?)hide(?=[\s'\"])", "$1"),
+    (("class",), r"(?i)\s+class\s*=\s*(['\"])\s*\1", ""),
 )
 
 
-def clean_html(html: Column | str, extra: Sequence[tuple[str, str]] = ()) -> Column:
+def clean_html(html: Column | str, extra: Sequence[tuple[tuple[str, ...], str, str]] = ()) -> Column:
     """Scripts, attachment anchors and furniture out, other anchors unwrapped, hidden content shown."""
-    text = unwrap_nested_document(html)
-    for pattern, new in (*CLEAN_STEPS, *extra):
-        text = F.regexp_replace(text, pattern, new)
-    # Twice: a tag emptied by the first pass may leave its parent as a bare furniture tag.
-    for _ in range(2):
-        text = F.regexp_replace(text, noise_pattern(), "")
-    for pattern, new in UNHIDE_STEPS:
-        text = F.regexp_replace(text, pattern, new)
-    return strip(text)
+    steps = (*CLEAN_STEPS, *extra)
+
+    def run(text: Column, low: Column, i: int) -> Column:
+        if i == len(steps):
+            return strip(text)
+        traces, pattern, new = steps[i]
+        done = F.when(any_contains(low, traces), F.regexp_replace(text, pattern, new)).otherwise(text)
+        return let(done, lambda t: run(t, low, i + 1))
+
+    # Steps only take text away, so traces looked up in the untouched page can never miss one.
+    return let(unwrap_nested_document(html), lambda page: let(F.lower(page), lambda low: run(page, low, 0)))
 
 
 # --- tables --------------------------------------------------------------------
-def parse_grid(html: Column | str) -> Column:
-    """Struct of raw tables and text pieces, from one parser pass. Pages without a table or text send a null."""
-    return _grid(col(html))
+def flat_tables(html: Column | str) -> Column:
+    """Every table as rows of cell texts, read by pattern; null when a table is nested, unclosed or holds rare entities."""
+    same = lambda t, a, b: F.regexp_count(t, F.lit(a)) == F.regexp_count(t, F.lit(b))
+    flat = lambda t: ((F.regexp_count(t, F.lit(r"(?i)<table\b")) == 1) & same(t, r"(?i)<tr\b", r"(?i)</tr\b") & same(t, r"(?i)<t[dh]\b", r"(?i)</t[dh]\b")
+                      & ~t.rlike("<!--|(?i)<script|" + OTHER_ENTITY))
+    cell = lambda c: basic_entities(F.regexp_replace(c, "<[^>]+>", " "))
+    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1), cell)
+    rows = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr\b.*?</tr\s*>"), 0), cells)
+
+    def read(p: Column) -> Column:
+        found = F.regexp_extract_all(p, F.lit(r"(?is)<table\b.*?</table\s*>"), 0)
+        count = F.regexp_count(p, F.lit(r"(?i)<table\b"))
+        return let(found, lambda f: F.when((F.size(f) == count) & F.forall(f, flat), F.transform(f, rows)))
+
+    return let(col(html), read)
+
+
+def parse_tables(df: DataFrame, html: str, name: str = "tables") -> DataFrame:
+    """Add every table of the page as rows of cell texts, blank ones included. Only irregular pages go to the parser."""
+    has = F.col(html).rlike("(?i)<table")
+    empty = F.array().cast("array<array<array<string>>>")
+    read = df.withColumn("_flat", F.when(has, flat_tables(html)).otherwise(empty))
+    parsed = _tables(F.when(F.col("_flat").isNull(), F.col(html)))
+    return read.withColumn(name, F.coalesce("_flat", parsed, empty)).drop("_flat")
+
+
+def parse_parts(html: Column | str) -> Column:
+    """Text pieces before and after the first table; only pages that have a table go to the parser."""
+    page = col(html)
+    whole = F.array(F.struct(F.lit(False).alias("after"), plain_lines(page, entities=False).alias("text")))
+    return F.coalesce(_parts(F.when(page.rlike(r"(?i)<table\b"), page)), F.filter(whole, lambda p: p["text"] != ""))
 
 
 def clean_rows(table: Column, keep_blank_cells: bool = False) -> Column:
@@ -386,10 +404,10 @@ LINE_LABELS = ("采购人", "采购单位", "采购单位名称", "招标人", "
                "中标单位", "中标人", "成交供应商", "中标供应商名称", "供应商名称", "中标金额", "中标金额(元)", "中标价", "成交金额", "成交价", "中标信息")
 
 
-def line_entries(lines: Column, labels: Sequence[str] = LINE_LABELS) -> Column:
-    """``label：value`` entries of plain text, one per known label."""
-    return let(lines, lambda text: F.filter(F.array(*[F.struct(F.lit(x).alias("key"), collapse(pick(text, rf"\Q{x}\E\s*[：:]\s*([^\n]+)")).alias("value")) for x in labels]),
-                                            lambda e: e["value"] != ""))
+def line_entries(lines: Column | str, labels: Sequence[str] = LINE_LABELS) -> Column:
+    """``label：value`` entries of plain text, one per known label. A plain substring test spares the pattern for absent labels."""
+    entry = lambda text, x: F.struct(F.lit(x).alias("key"), F.when(text.contains(x), collapse(pick(text, rf"\Q{x}\E\s*[：:]\s*([^\n]+)"))).alias("value"))
+    return let(col(lines), lambda text: F.filter(F.array(*[entry(text, x) for x in labels]), lambda e: e["value"].isNotNull() & (e["value"] != "")))
 
 
 def field_map(html: Column | str, tables: Column, lines: Column, span_rule: str = "last", labels: Sequence[str] = LINE_LABELS) -> Column:
@@ -420,15 +438,20 @@ def table_section(rows: Column, start: Sequence[str], stop: Sequence[str]) -> Co
     return F.when(F.size(rows) > 0, let(rows, cut)).otherwise(empty)
 
 
-def content_mix(grid: Column, title: Column) -> Column:
-    """Text before, head and body of the first table, text after. The title line is left out, blank body cells stay."""
-    kept = lambda after: F.array_join(F.filter(F.transform(F.filter(grid.parts, lambda p: p["after"] == after), lambda p: join_lines(p["text"], entities=False)),
-                                               lambda x: (x != "") & (x != title)), "\n")
-    first = F.transform(F.try_element_at(grid.tables, F.lit(1)), lambda row: F.transform(row, collapse))
-    body = F.filter(F.slice(first, 2, F.greatest(F.size(first), F.lit(1))), lambda r: F.exists(r, lambda c: c != ""))
-    no_table = F.array_join(F.filter(F.split(kept(F.lit(False)), "\n"), lambda x: x != title), "\n")
-    return F.struct(F.when(F.size(grid.tables) > 0, kept(F.lit(False))).otherwise(no_table).alias("before"), F.try_element_at(first, F.lit(1)).alias("head"),
-                    F.coalesce(body, F.array().cast("array<array<string>>")).alias("body"), kept(F.lit(True)).alias("after"))
+def content_mix(tables: Column, parts: Column, title: Column) -> Column:
+    """Text before, head and body of the first table, text after. The title is left out, blank body cells stay."""
+    def mix(r: Column) -> Column:
+        kept = lambda after: F.array_join(F.filter(F.transform(F.filter(r["parts"], lambda p: p["after"] == F.lit(after)), lambda p: join_lines(p["text"], entities=False)),
+                                                   lambda x: (x != "") & (x != r["title"])), "\n")
+        first = F.try_element_at(r["tables"], F.lit(1))
+        body = F.filter(F.slice(first, 2, F.greatest(F.size(first), F.lit(1))), lambda row: F.exists(row, lambda c: c != ""))
+        # Without a table the whole text is one piece, and the title is dropped line by line.
+        lines = F.array_join(F.filter(F.split(kept(False), "\n"), lambda x: x != r["title"]), "\n")
+        return F.struct(F.when(F.size(r["tables"]) > 0, kept(False)).otherwise(lines).alias("before"), F.try_element_at(first, F.lit(1)).alias("head"),
+                        F.coalesce(body, F.array().cast("array<array<string>>")).alias("body"), kept(True).alias("after"))
+
+    clean = F.transform(tables, lambda t: F.transform(t, lambda row: F.transform(row, collapse)))
+    return let(F.struct(clean.alias("tables"), parts.alias("parts"), title.alias("title")), mix)
 
 
 # --- script state and pictures ---------------------------------------------------

@@ -15,8 +15,8 @@ from pyspark.sql.types import StringType
 
 from harvestry.specs import words
 
-# Every character the source treats as white space. Java's \s covers ASCII only.
-SPACE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Every character the source treats as white space. Java's \s covers ASCII only; this class is two cheap tests per character.
+SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 CJK = r"\x{4e00}-\x{9fff}"
 
 
@@ -85,10 +85,20 @@ def _unescape(values: pd.Series) -> pd.Series:
     return values.map(html.unescape, na_action="ignore")
 
 
+BASIC_ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
+OTHER_ENTITY = "&(?!(?:nbsp|lt|gt|quot|#39|apos|amp);)[A-Za-z#]"
+
+
+def basic_entities(c: Column) -> Column:
+    """The everyday entities only; the ampersand goes last, so nothing is decoded twice."""
+    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), BASIC_ENTITIES.items(), c)
+
+
 def unescape_html(c: Column | str) -> Column:
-    """All HTML5 entities. Rows without ``&`` send only a null to Python."""
-    c = col(c)
-    return F.coalesce(_unescape(F.when(c.contains("&"), c)), c)
+    """All HTML5 entities. Rows with everyday entities stay in the JVM and send only a null to Python."""
+    rare = let(col(c), lambda x: F.when(x.rlike(OTHER_ENTITY), x))
+    plain = let(col(c), lambda x: F.when(x.contains("&"), basic_entities(x)).otherwise(x))
+    return F.coalesce(_unescape(rare), plain)
 
 
 def collapse(c: Column | str) -> Column:
@@ -123,11 +133,12 @@ def html_multiline(c: Column | str) -> Column:
 
 
 def join_lines(c: Column | str, entities: bool = True) -> Column:
-    """Every non-blank line, normalised, joined by a line break."""
+    """Every non-blank line, normalised, joined by a line break. Works on the whole text at once, not line by line."""
     text = F.coalesce(col(c), F.lit(""))
     text = unescape_html(text) if entities else text
-    lines = F.split(text, r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]")
-    return F.array_join(F.filter(F.transform(lines, collapse), lambda x: x != ""), "\n")
+    text = F.regexp_replace(text, r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]", "\n")
+    text = F.regexp_replace(text, f"[{SPACE}&&[^\n]]+", " ")
+    return F.regexp_replace(F.regexp_replace(text, r" ?\n[\n ]*", "\n"), r"^[\n ]+|[\n ]+$", "")
 
 
 def strip_tags(c: Column | str, sep: str = "", entities: bool = True) -> Column:

@@ -36,7 +36,7 @@ def absolute_url(base: Column | str, href: Column | str) -> Column:
     is_full = h.rlike(r"^https?://[^/?#]+(?:[/?#]|$)") & ~h.rlike(r"/\.{1,2}(?:/|$|[?#])")
     hard = ~(rooted | is_full)
     joined = _join(F.when(hard, b), F.when(hard, h))
-    return F.when(is_full, h).when(rooted, F.concat(origin, h)).otherwise(joined)
+    return F.when(col(href).isNull(), None).when(is_full, h).when(rooted, F.concat(origin, h)).otherwise(joined)
 
 
 def url_path(c: Column | str) -> Column:

@@ -37,9 +37,9 @@ def extract_attachments(pages: DataFrame, key: str, url: str = "url", html: str
 
 def extract_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(page, table, row, cells): every table's non-blank rows."""
-    grids = pages.select(key, mk.parse_grid(F.when(F.col(html).rlike("(?i)<table"), F.col(html))).alias("g"))
-    tables = grids.select(key, F.posexplode("g.tables").alias("table_no", "_t")).filter(F.size(mk.clean_rows(F.col("_t"))) > 0)
-    return tables.select(key, "table_no", F.posexplode(mk.clean_rows(F.col("_t"))).alias("row_no", "cells"))
+    found = mk.parse_tables(pages.select(key, html), html, "_tables")
+    tables = found.select(key, F.posexplode("_tables").alias("table_no", "_raw")).select(key, "table_no", mk.clean_rows(F.col("_raw")).alias("_rows"))
+    return tables.filter(F.size("_rows") > 0).select(key, "table_no", F.posexplode("_rows").alias("row_no", "cells"))
 
 
 def list_cards(pages: DataFrame, key: str, url: str = "url", html: str = "html", id_params: Sequence[str] = ("iid", "pid", "proCode", "code"),

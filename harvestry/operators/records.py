@@ -37,10 +37,10 @@ def common_context(pages: DataFrame, selectors: Sequence[str]) -> DataFrame:
     Fields come from the labelled map first, then text patterns, then the list row.
     """
     cut = pages.withColumn("main_html", mk.first_block("html", selectors))
-    parsed = cut.withColumns({"grid": mk.parse_grid("main_html"), "lines": mk.plain_lines("main_html"), "detail_title": mk.extract_title("main_html"),
+    parsed = mk.parse_tables(cut, "main_html").withColumns({"lines": mk.plain_lines("main_html"), "detail_title": mk.extract_title("main_html"),
                               "_files": mk.file_anchors("html")})
-    mapped = parsed.withColumns({"files": mk.attachments("_files", F.col("url")), "fields": mk.field_map("main_html", F.col("grid.tables"), F.col("lines"))}).drop("_files")
-    rows = mapped.withColumn("result_rows", F.flatten(F.transform("grid.tables", lambda t: mk.header_zip(mk.clean_rows(t), RESULT_HEADERS))))
+    mapped = parsed.withColumns({"files": mk.attachments("_files", F.col("url")), "fields": mk.field_map("main_html", F.col("tables"), F.col("lines"))}).drop("_files")
+    rows = mapped.withColumn("result_rows", F.flatten(F.transform("tables", lambda t: mk.header_zip(mk.clean_rows(t), RESULT_HEADERS))))
     field = lambda *names: [F.col("fields")[n] for n in names]
     result = lambda name: F.try_element_at("result_rows", F.lit(1))[name]
     return rows.withColumns({
@@ -106,7 +106,7 @@ def build_intention(context: DataFrame, site: Site, keep: Sequence[str] = ()) ->
     shared = _shared(site)
     return _record(context, keep, {
         **{k: shared[k] for k in ("provinceCode", "originalWebsiteAddress", "parentType")}, "cityId": F.lit(site.city_id), "cityName": F.lit(site.city_name), "procurementTitle": F.col("title"),
-        "releaseSource": unit_before_year("title"), "releaseDatetime": F.col("publish_time"), "releaseContentMix": mk.content_mix(F.col("grid"), F.col("title")), "fileInfo": F.col("files"),
+        "releaseSource": unit_before_year("title"), "releaseDatetime": F.col("publish_time"), "releaseContentMix": mk.content_mix(F.col("tables"), mk.parse_parts("main_html"), F.col("title")), "fileInfo": F.col("files"),
         "bidType": F.col("notice_type"), "webSource": F.lit(site.web_source)})
 
 

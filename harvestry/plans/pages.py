@@ -96,7 +96,7 @@ def x8(t):
 
 
 def grids(t):
-    return notice_pages(t).select("o_orderkey", "html", mk.parse_grid("html").alias("g"))
+    return mk.parse_tables(notice_pages(t).select("o_orderkey", "html"), "html")
 
 
 def shown(m):
@@ -105,7 +105,7 @@ def shown(m):
 
 @query("x9_pairs_from_rows", "select o_orderkey, '乙=9' as first_table, '联系人=王;采购人=甲' || o_custkey as second_table from orders")
 def x9(t):
-    pairs = lambda i: shown(mk.pairs_from_rows(mk.clean_rows(F.get("g.tables", F.lit(i)))))
+    pairs = lambda i: shown(mk.pairs_from_rows(mk.clean_rows(F.get("tables", F.lit(i)))))
     return grids(t).select("o_orderkey", pairs(0).alias("first_table"), pairs(1).alias("second_table"))
 
 
@@ -113,22 +113,22 @@ def x9(t):
 select o_orderkey, 'relation_company_name=公司 ' || o_custkey || ';render_money=' || o_orderstatus || ';中标单位=公司 ' || o_custkey || ';中标金额（元）=' || o_orderstatus || ';序号=1' as first_row,
   'relation_company_name=9;中标单位=9;序号=乙' as second_row from orders""")
 def x10(t):
-    z = grids(t).select("o_orderkey", mk.header_zip(mk.clean_rows(F.get("g.tables", F.lit(0))), ["中标单位", "成交供应商"]).alias("z"))
+    z = grids(t).select("o_orderkey", mk.header_zip(mk.clean_rows(F.get("tables", F.lit(0))), ["中标单位", "成交供应商"]).alias("z"))
     return z.select("o_orderkey", shown(F.get("z", F.lit(0))).alias("first_row"), shown(F.get("z", F.lit(1))).alias("second_row"))
 
 
 @query("x11_field_map", """
 select o_orderkey, 'JN2-' || o_orderkey as last_number, 'JN-' || o_orderkey as first_number, '甲' || o_custkey as unit, '0531-' || o_custkey as phone, '王' as contact from orders""")
 def x11(t):
-    g = grids(t).select("o_orderkey", "g", "html", mk.plain_lines("html").alias("lines"))
-    m = g.select("o_orderkey", mk.field_map("html", F.col("g.tables"), F.col("lines")).alias("a"), mk.field_map("html", F.col("g.tables"), F.col("lines"), "first").alias("b"))
+    g = grids(t).select("o_orderkey", "tables", "html", mk.plain_lines("html").alias("lines"))
+    m = g.select("o_orderkey", mk.field_map("html", F.col("tables"), F.col("lines")).alias("a"), mk.field_map("html", F.col("tables"), F.col("lines"), "first").alias("b"))
     return m.select("o_orderkey", F.col("a")["项目编号"].alias("last_number"), F.col("b")["项目编号"].alias("first_number"), F.col("a")["采购人"].alias("unit"),
                     F.col("a")["联系电话"].alias("phone"), F.col("a")["联系人"].alias("contact"))
 
 
 @query("x12_table_section", "select o_orderkey, '名称=村' || o_custkey || ';联系人=李' || o_orderkey as section from orders")
 def x12(t):
-    s = mk.table_section(mk.clean_rows(F.get("g.tables", F.lit(1))), ["项目实施主体", "基本情况"], ["流转（需求）标的基本情况", "流转(需求)标的基本情况"])
+    s = mk.table_section(mk.clean_rows(F.get("tables", F.lit(1))), ["项目实施主体", "基本情况"], ["流转（需求）标的基本情况", "流转(需求)标的基本情况"])
     return grids(t).select("o_orderkey", F.array_join(F.transform(s, lambda e: F.concat_ws("=", e.key, e.value)), ";").alias("section"))
 
 
@@ -153,7 +153,8 @@ def x13_notices(t):
 select o_orderkey, '公告-T' || o_orderkey as page_title_piece, '序号|中标单位|中标金额（元）' as head, '1|公司 ' || o_custkey || '|' || o_orderstatus || '/' || '|乙|9' as body, true as has_after from orders""")
 def x14(t):
     block = notice_pages(t).select("o_orderkey", mk.first_block("html", [".wrap", "body"]).alias("html"))
-    m = block.select("o_orderkey", mk.content_mix(mk.parse_grid("html"), F.concat(F.lit("标题 "), F.col("o_orderkey"))).alias("m"))
+    parsed = mk.parse_tables(block, "html").withColumn("parts", mk.parse_parts("html"))
+    m = parsed.select("o_orderkey", mk.content_mix(F.col("tables"), F.col("parts"), F.concat(F.lit("标题 "), F.col("o_orderkey"))).alias("m"))
     return m.select("o_orderkey", F.concat(F.lit("公告-T"), F.col("o_orderkey")).alias("page_title_piece"), F.array_join("m.head", "|").alias("head"),
                     F.array_join(F.transform("m.body", lambda r: F.array_join(r, "|")), "/").alias("body"), F.col("m.after").contains("联系电话").alias("has_after"))
 
@@ -163,7 +164,8 @@ select o_orderkey, 'JN-' || o_orderkey || chr(10) || '前言' || o_custkey as be
 def x14_text(t):
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     html = F.concat(F.lit("<div><h1>标题 "), o, F.lit("</h1><div>JN-"), o, F.lit("</div><div><p>前言"), c, F.lit("</p><table><tr><td>a</td></tr></table> 联系电话：0531-"), c, F.lit("</div><table><tr><td>z</td></tr></table><p>尾</p></div>"))
-    m = t.orders.select("o_orderkey", mk.content_mix(mk.parse_grid(html), F.concat(F.lit("标题 "), o)).alias("m"))
+    parsed = mk.parse_tables(t.orders.select("o_orderkey", html.alias("html")), "html").withColumn("parts", mk.parse_parts("html"))
+    m = parsed.select("o_orderkey", mk.content_mix(F.col("tables"), F.col("parts"), F.concat(F.lit("标题 "), o)).alias("m"))
     return m.select("o_orderkey", F.col("m.before").alias("before"), F.col("m.after").alias("after"))
 
 
