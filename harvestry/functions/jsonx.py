@@ -45,11 +45,11 @@ def text_at(v: Column, *paths: str) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
 
 
 def is_list(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
 
 
 def canonical_json(v: Column) -> Column:
@@ -115,15 +115,19 @@ def enveloped(c: Column | str, content: str = "content", records: str = "result.
 
 
 def flatten_list(v: Column, fields: Mapping[str, Sequence[str]], dates: Sequence[str] = ()) -> Column:
-    """List of objects to typed rows: aliases per field, month dates, all-blank rows dropped."""
+    """List of objects to typed rows: aliases per field, month dates, all-blank rows dropped. Each object is opened once."""
+    def text(item: Column, aliases: Sequence[str]) -> Column:
+        values = F.array(*[F.try_variant_get(F.try_element_at(item, F.lit(a)), "$", "string") for a in aliases])
+        hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull() & ~x.isin("", "0", "false", "0.0")), F.lit(1))
+        return F.coalesce(strip(hit), F.lit(""))
+
     def row(item: Column) -> Column:
-        out = []
-        for name, aliases in fields.items():
-            value = text_at(item, *aliases)
-            out.append((month_text(value) if name in dates else value).alias(name))
-        return F.struct(*out)
+        return F.struct(*[(month_text(text(item, aliases)) if name in dates else text(item, aliases)).alias(name) for name, aliases in fields.items()])
 
-    return F.filter(F.transform(as_items(v), row), lambda r: F.concat(*[r[n] for n in fields]) != "")
+    opened = F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.try_variant_get(x, "$", "map<string,variant>")), lambda m: m.isNotNull())
+    rows = F.filter(F.transform(opened, row), lambda r: F.concat(*[r[n] for n in fields]) != "")
+    none = F.array().cast(f"array<struct<{','.join(f'{n}:string' for n in fields)}>>")
+    return F.coalesce(rows, none)
 
 
 def join_objects(rows: Column, fields: Sequence[str]) -> Column:

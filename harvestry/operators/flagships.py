@@ -13,6 +13,7 @@ from harvestry.operators.joining import pending, resolve_entity
 from harvestry.operators.ordering import keep_first
 from harvestry.operators.rollups import clean_names
 from harvestry.operators.shaping import is_viable_entity_name, project
+from harvestry.session import pinned
 from harvestry.sources.readers import union_sources
 from harvestry.sources.writers import upsert
 
@@ -32,8 +33,10 @@ def entity_backfill(names: DataFrame, name: str, known: DataFrame, reference: Da
 
     ``known`` has ``entity_key, query_name, entity_name, resolved`` and the attributes.
     """
-    clean = clean_names(names, name, viable).filter("viable").select(F.col("normalized").alias("query_name")).distinct()
-    todo = pending(clean, "query_name", known, ["query_name", "entity_name"])
+    # Raw repeats go first: cleaning is the costly part, and distinct combines map-side.
+    clean = clean_names(names.select(name).distinct(), name, viable).filter("viable").select(F.col("normalized").alias("query_name")).distinct()
+    # Both are read several times below; pinned, each is computed once.
+    todo = pinned(pending(clean, "query_name", known, ["query_name", "entity_name"]))
     found = resolve_entity(todo, "query_name", reference, reference_name, [reference_id])
     text = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit(""))
     hit = F.col("resolved") == "Y"
@@ -41,7 +44,7 @@ def entity_backfill(names: DataFrame, name: str, known: DataFrame, reference: Da
         F.when(hit & (text(reference_id) != ""), text(reference_id)).otherwise(F.col("query_name")).alias("entity_key"), "query_name",
         F.when(hit, strip_edge_noise(F.col(reference_name))).otherwise(F.col("query_name")).alias("entity_name"), "resolved",
         *[F.when(hit, text(a)).otherwise("").alias(a) for a in attributes])
-    return upsert(known, items, ["entity_key"], ["query_name"])
+    return upsert(known, pinned(items), ["entity_key"], ["query_name"])
 
 
 def backfill_counts(entities: DataFrame) -> DataFrame:

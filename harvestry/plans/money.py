@@ -33,7 +33,7 @@ FORMAL_NUMERAL = numeral(FORMAL, "仟佰拾")
 @query("m1_chinese_int", """
 select o_orderkey, cast(floor(o_totalprice) as bigint) as formal, cast(floor(o_totalprice) as bigint) as plain, case when o_orderkey % 2 = 0 then 12 else 100000005 end as short from orders""")
 def m1(t):
-    n = t.orders.select("o_orderkey", F.floor("o_totalprice").alias("n"))
+    n = t.wide("orders").select("o_orderkey", F.floor("o_totalprice").alias("n"))
     return n.select("o_orderkey", money.chinese_int(F.expr(FORMAL_NUMERAL)).alias("formal"), money.chinese_int(F.expr(PLAIN_NUMERAL)).alias("plain"),
                     money.chinese_int(F.when(F.col("o_orderkey") % 2 == 0, "十二").otherwise("壹亿零伍")).alias("short"))
 
@@ -41,7 +41,7 @@ def m1(t):
 @query("m2_chinese_money", """
 select o_orderkey, cast(floor(o_totalprice) + case o_orderkey % 3 when 0 then 0.52 when 1 then 0.3 else 0 end as double) as amount from orders""")
 def m2(t):
-    n = t.orders.select("o_orderkey", F.floor("o_totalprice").alias("n"))
+    n = t.wide("orders").select("o_orderkey", F.floor("o_totalprice").alias("n"))
     tail = F.when(F.col("o_orderkey") % 3 == 0, "圆伍角贰分").when(F.col("o_orderkey") % 3 == 1, " 元叁角整").otherwise("元整")
     return n.select("o_orderkey", money.chinese_money(F.concat(F.lit("人民币"), F.expr(FORMAL_NUMERAL), tail)).cast("double").alias("amount"))
 
@@ -54,38 +54,38 @@ AMOUNT_SQL = AMOUNT.replace("as string", "as varchar")
 
 @query("m3_amount_text", f"select o_orderkey, coalesce({AMOUNT_VALUE} || '元', {AMOUNT_SQL}) as amount from orders")
 def m3(t):
-    return t.orders.select("o_orderkey", money.amount_text(F.expr(AMOUNT)).alias("amount"))
+    return t.wide("orders").select("o_orderkey", money.amount_text(F.expr(AMOUNT)).alias("amount"))
 
 
 @query("m4_amount_decimal", f"select o_orderkey, cast({AMOUNT_VALUE} as double) as amount from orders")
 def m4(t):
-    return t.orders.select("o_orderkey", money.amount_decimal(F.expr(AMOUNT)).cast("double").alias("amount"))
+    return t.wide("orders").select("o_orderkey", money.amount_decimal(F.expr(AMOUNT)).cast("double").alias("amount"))
 
 
 @query("m5_normalize_money", f"""
 select o_orderkey, coalesce({AMOUNT_VALUE} || '元', {AMOUNT_SQL}) as by_amount, coalesce({AMOUNT_VALUE} || '元', {AMOUNT_SQL}) as by_plain, coalesce({AMOUNT_VALUE} || '元', {AMOUNT_SQL}) as by_signs from orders""")
 def m5(t):
-    a = t.orders.select("o_orderkey", F.expr(AMOUNT).alias("a"))
+    a = t.wide("orders").select("o_orderkey", F.expr(AMOUNT).alias("a"))
     return a.select("o_orderkey", *[money.normalize_money("a", v).alias(f"by_{v}") for v in ("amount", "plain", "signs")])
 
 
 @query("m6_listing_price", """
 select o_orderkey, case when o_orderkey % 2 = 0 then (o_orderkey * 10000 + 5000) || '.0元' else o_orderkey || '.0元' end as price from orders""")
 def m6(t):
-    return t.orders.select("o_orderkey", money.listing_price_from_text(F.expr(NOTICE)).alias("price"))
+    return t.wide("orders").select("o_orderkey", money.listing_price_from_text(F.expr(NOTICE)).alias("price"))
 
 
 @query("m7_land_money", """
 select o_orderkey, case when o_orderkey % 5 = 0 then o_orderpriority else rtrim(rtrim(format('{:,.4f}', ((cast(cast(o_totalprice as decimal(14,2)) * 100 as bigint) + 50) // 100) / 10000.0), '0'), '.') || '万元' end as amount from orders""")
 def m7(t):
     raw = F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")).otherwise(F.col("o_totalprice").cast("decimal(14,2)").cast("string"))
-    return t.orders.select("o_orderkey", money.land_money(raw).alias("amount"))
+    return t.wide("orders").select("o_orderkey", money.land_money(raw).alias("amount"))
 
 
 @query("m8_budget_from_text", "select o_orderkey, o_custkey || '000.50元' as labelled, '7' || o_orderkey || '元' as first_amount from orders")
 def m8(t):
     loose = F.concat(F.lit("共 7"), F.col("o_orderkey"), F.lit(" 元，另 9元"))
-    return t.orders.select("o_orderkey", money.budget_from_text(F.expr(NOTICE)).alias("labelled"), money.budget_from_text(loose).alias("first_amount"))
+    return t.wide("orders").select("o_orderkey", money.budget_from_text(F.expr(NOTICE)).alias("labelled"), money.budget_from_text(loose).alias("first_amount"))
 
 
 @query("m9_range_text", """

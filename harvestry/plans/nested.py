@@ -22,7 +22,7 @@ def g1(t):
     even = F.col("event_id") % 2 == 0
     body = F.when(even, text_of('{"p":', F.col("props"), ',"a":[{"b":[0,"', F.col("event_type"), '"]}],"m":{"0":1}}')).otherwise(
         text_of('{"p":', F.col("props"), ',"a":{"b":null},"m":[0]}'))
-    v = t.events.select("event_id", jx.parse_payload(body).alias("v"))
+    v = t.wide("events").select("event_id", jx.parse_payload(body).alias("v"))
     return v.select("event_id", jx.get_path(F.col("v"), "p.k", "bigint").alias("k"), jx.get_path(F.col("v"), "a.0.b.1", "string").alias("nested"), jx.get_path(F.col("v"), "m.0", "string").alias("by_key"))
 
 
@@ -31,7 +31,7 @@ def order_payloads(t):
     k, data = F.col("o_orderkey") % 5, text_of('{"status":"', F.col("o_orderstatus"), '"}')
     body = (F.when(k == 0, text_of('{"responseObject":{"responseData":', data, '},"data":1}')).when(k == 1, text_of('{"responseObject":null,"responseData":', data, "}"))
             .when(k == 2, text_of('{"responseData":"x","data":{"data_list":', data, "}}")).when(k == 3, text_of('{"data":[', data, "]}")).otherwise(text_of("{bad", data)))
-    return t.orders.select("o_orderkey", jx.parse_payload(body).alias("v"))
+    return t.wide("orders").select("o_orderkey", jx.parse_payload(body).alias("v"))
 
 
 @query("g2_response_data", """
@@ -49,7 +49,7 @@ def g3(t):
     body = (F.when(n == 1, text_of('{"data":{"pageList":[', row, ',5]}}')).when(n == 2, text_of('{"data":{"items":[', row, ']}}'))
             .when(n == 3, text_of('{"responseData":[', row, ',null]}')).otherwise(text_of('{"responseObject":{"responseData":{"list":3,"data_list":[', row, ']}}}')))
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    rows = t.lineitem.select(*keys, jx.parse_payload(body).alias("v")).select(*keys, F.explode(jx.records_of(F.col("v"))).alias("r"))
+    rows = t.wide("lineitem").select(*keys, jx.parse_payload(body).alias("v")).select(*keys, F.explode(jx.records_of(F.col("v"))).alias("r"))
     read = rows.select(*keys, jx.text_at(F.col("r"), "id").alias("id"), jx.text_at(F.col("r"), "groupName").alias("name"))
     return read.filter((F.col("id") != "") & (F.col("name") != "") & (F.col("name") != "全部"))
 
@@ -60,7 +60,7 @@ def g4(t):
     k = F.col("o_orderkey") % 3
     info = text_of('{"currentPageNum":', F.col("o_custkey") + 1, ',"totalCount":', F.col("o_orderkey") + 1)
     body = (F.when(k == 0, text_of('{"responseData":{"pageInfo":', info, ',"pageSize":20,"lastPage":true}}}')).when(k == 1, text_of('{"responseData":[],"data":{"pageInfo":', info, ',"lastPage":false}}}')).otherwise("{}"))
-    p = t.orders.select("o_orderkey", jx.page_info(jx.parse_payload(body)).alias("p"))
+    p = t.wide("orders").select("o_orderkey", jx.page_info(jx.parse_payload(body)).alias("p"))
     return p.select("o_orderkey", "p.current_page_num", "p.page_size", "p.total_count", "p.last_page")
 
 
@@ -70,7 +70,7 @@ def g5(t):
     k, inner = F.col("o_orderkey") % 4, text_of('{"n":', F.col("o_custkey"), "}")
     body = (F.when(k == 0, text_of('{"final_result":', inner, ',"result":[]}')).when(k == 1, text_of('{"result":[{"extract_result":', inner, "}]}"))
             .when(k == 2, text_of('{"result":{"extract_result":', inner, "}}")).otherwise('{"result":"text"}'))
-    v = t.orders.select("o_orderkey", jx.parse_payload(body).alias("v"))
+    v = t.wide("orders").select("o_orderkey", jx.parse_payload(body).alias("v"))
     return v.select("o_orderkey", F.to_json(jx.pick_path(F.col("v"), ["final_result", "result.0.extract_result", "result.extract_result", "result"])).alias("picked"))
 
 
@@ -80,7 +80,7 @@ def g6(t):
     unit = F.when(F.col("l_linenumber") % 2 == 0, text_of('"unit":" U', F.col("l_suppkey"), '",')).otherwise(text_of('"unit":"","occupation":"O', F.col("l_partkey"), '",'))
     body = text_of('{"occupationList":[{', unit, '"startTime":"', F.date_format("l_shipdate", "yyyy-MM-dd"), '"},{"unit":" ","startTime":null},7]}')
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    v = t.lineitem.select(*keys, jx.parse_payload(body).alias("v"))
+    v = t.wide("lineitem").select(*keys, jx.parse_payload(body).alias("v"))
     rows = jx.flatten_list(jx.get_path(F.col("v"), "occupationList"), {"organization": ["unit", "occupation"], "start_date": ["startTime"], "end_date": ["endTime"]}, ["start_date", "end_date"])
     return v.select(*keys, F.explode(rows).alias("r")).select(*keys, "r.organization", "r.start_date")
 
@@ -108,7 +108,7 @@ def g9(t):
     person = lambda a, b, n, c: F.struct(a.alias("customerId"), b.alias("doctorId"), n.alias("name"), c.alias("company"))
     people = F.array(person(F.col("o_custkey").cast("string"), F.lit(""), F.col("o_orderstatus"), F.lit("x")), person(F.lit(" "), F.concat(F.lit("alt"), F.col("o_custkey")), F.lit(None), F.col("o_orderpriority")),
                      person(F.lit("0"), F.lit("9"), F.lit("zero"), F.lit("")))
-    resources = t.orders.select("o_orderkey", F.concat(F.lit("res "), F.col("o_orderkey")).alias("resource_name"), people.alias("people"))
+    resources = t.wide("orders").select("o_orderkey", F.concat(F.lit("res "), F.col("o_orderkey")).alias("resource_name"), people.alias("people"))
     return explode_participants(resources, "people", ["customerId", "doctorId"], {"name": ["name"], "company": ["company"]}, ["o_orderkey", "resource_name"])
 
 
@@ -158,14 +158,14 @@ def result_items():
 select o_orderkey, coalesce(i, 0) as item_no, case when i = 0 then 'co ' || o_custkey else o_orderpriority end as company, case when i = 0 then o_orderstatus when i = 1 then '9元' else '' end as money
 from (select *, unnest(case o_orderkey % 3 when 0 then [0, 1] when 1 then [0] else [null] end) as i from orders)""")
 def g13(t):
-    base = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("company"), F.lit("").alias("money"), result_items().alias("items"))
+    base = t.wide("orders").select("o_orderkey", F.col("o_orderpriority").alias("company"), F.lit("").alias("money"), result_items().alias("items"))
     return fan_out_results(base, "items", {"company": "company", "money": "money"}).withColumn("item_no", F.coalesce("item_no", F.lit(0)))
 
 
 @query("g13_first_result", """
 select o_orderkey, case when o_orderkey % 3 < 2 then 'co ' || o_custkey else o_orderpriority end as company, case when o_orderkey % 3 < 2 then o_orderstatus else '' end as money from orders""")
 def g13_first(t):
-    base = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("company"), F.lit("").alias("money"), result_items().alias("items"))
+    base = t.wide("orders").select("o_orderkey", F.col("o_orderpriority").alias("company"), F.lit("").alias("money"), result_items().alias("items"))
     return fan_out_results(base, "items", {"company": "company", "money": "money"}, "first").drop("item_no")
 
 
@@ -173,7 +173,7 @@ def g13_first(t):
 select o_orderkey, 'T' || o_orderkey as title, o_orderstatus as number, 'co ' || o_custkey || ':' || '5元' as result from orders""")
 def g14(t):
     body = text_of('{"招标名称":" T', F.col("o_orderkey"), '","项目编号":"', F.col("o_orderstatus"), '","结果":[{"中标人":"co ', F.col("o_custkey"), '","金额":"5元"},3]}')
-    r = t.orders.select("o_orderkey", jx.remap_keys(jx.parse_payload(body), {"招标名称": "title", "项目编号": "number"}, "结果", {"中标人": "company", "金额": "money"}).alias("r"))
+    r = t.wide("orders").select("o_orderkey", jx.remap_keys(jx.parse_payload(body), {"招标名称": "title", "项目编号": "number"}, "结果", {"中标人": "company", "金额": "money"}).alias("r"))
     return r.select("o_orderkey", "r.title", "r.number", F.array_join(F.transform("r.result", lambda x: F.concat_ws(":", x.company, x.money)), ",").alias("result"))
 
 

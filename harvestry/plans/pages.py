@@ -18,7 +18,7 @@ links as (select page_id, unnest(generate_series(0, len(hs) - 1)) as pos, unnest
 
 
 def notice_pages(t):
-    return t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", F.concat(F.lit("http://n.example.com/list/"), F.col("o_orderkey")).alias("url"), F.expr(NOTICE_PAGE).alias("html"))
+    return t.wide("orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.concat(F.lit("http://n.example.com/list/"), F.col("o_orderkey")).alias("url"), F.expr(NOTICE_PAGE).alias("html"))
 
 
 @query("x1_extract_links", f"with {LINKS} select page_id, pos, link from links")
@@ -62,7 +62,7 @@ def x5_furniture(t):
     html = F.concat(F.lit('<script>x()</script><div class="hide" style="display: none">正文'), F.col("o_custkey"),
                     F.lit('<p> 当前位置：首页 </p><a href="/f/download?x=1">附件</a><span><p>相关附件：</p></span><p>发布人：甲 关闭本页</p><a href="/n"><span hidden>y</span></a><input value="我要参与"><!-- 关闭本页 --></div>'))
     cleaned = mk.clean_html(html)
-    return t.orders.select("o_orderkey", F.regexp_replace(cleaned, "<span></span>", "").alias("html"))
+    return t.wide("orders").select("o_orderkey", F.regexp_replace(cleaned, "<span></span>", "").alias("html"))
 
 
 @query("x6_plain_text", f"""
@@ -84,7 +84,7 @@ def x7_cascade(t):
     k = F.col("o_orderkey") % 4
     html = (F.when(k == 0, F.concat(F.lit('<h1>no</h1><div class="a title_p"> <span>站</span> '), F.col("o_custkey"), F.lit("</div>"))).when(k == 1, F.expr(NOTICE_PAGE))
             .when(k == 2, F.concat(F.lit("<title>公告 - T"), F.col("o_orderkey"), F.lit("</title>"))).otherwise("<title>plain</title>"))
-    return t.orders.select("o_orderkey", mk.extract_title(html).alias("title"))
+    return t.wide("orders").select("o_orderkey", mk.extract_title(html).alias("title"))
 
 
 @query("x8_extract_tables", """
@@ -146,7 +146,7 @@ select o_orderkey, 'http://n.example.com/d?pid=' || o_orderkey as link, '公告'
 def x13_notices(t):
     html = F.concat(F.lit('<ul><li><a title=" 公告'), F.col("o_custkey"), F.lit('" href="/d?pid='), F.col("o_orderkey"), F.lit('">[历下][询价] x</a><i>1997-05-28</i></li><li><a href="/e"></a></li><li>none</li><li><a href="/d?pid='),
                     F.col("o_orderkey"), F.lit('">again</a></li></ul>'))
-    return pg.list_cards(t.orders.select("o_orderkey", F.lit("http://n.example.com/l").alias("url"), html.alias("html")), "o_orderkey").drop("pos")
+    return pg.list_cards(t.wide("orders").select("o_orderkey", F.lit("http://n.example.com/l").alias("url"), html.alias("html")), "o_orderkey").drop("pos")
 
 
 @query("x14_content_mix", """
@@ -164,7 +164,7 @@ select o_orderkey, 'JN-' || o_orderkey || chr(10) || '前言' || o_custkey as be
 def x14_text(t):
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     html = F.concat(F.lit("<div><h1>标题 "), o, F.lit("</h1><div>JN-"), o, F.lit("</div><div><p>前言"), c, F.lit("</p><table><tr><td>a</td></tr></table> 联系电话：0531-"), c, F.lit("</div><table><tr><td>z</td></tr></table><p>尾</p></div>"))
-    parsed = mk.parse_tables(t.orders.select("o_orderkey", html.alias("html")), "html").withColumn("parts", mk.parse_parts("html"))
+    parsed = mk.parse_tables(t.wide("orders").select("o_orderkey", html.alias("html")), "html").withColumn("parts", mk.parse_parts("html"))
     m = parsed.select("o_orderkey", mk.content_mix(F.col("tables"), F.col("parts"), F.concat(F.lit("标题 "), o)).alias("m"))
     return m.select("o_orderkey", F.col("m.before").alias("before"), F.col("m.after").alias("after"))
 
@@ -173,7 +173,7 @@ def x14_text(t):
 select o_orderkey, cast(o_orderkey as varchar) as pid, 'A' || o_orderkey as id, 'n/m' as name, 'B' || o_custkey as kind, '' as none, 'e' as early, 'v' || o_custkey as active from orders""")
 def x15(t):
     html = F.concat(F.expr(NOTICE_PAGE), F.lit('<ul id="tabs"><a class="x">1</a><a class="tab on" data-id="v'), F.col("o_custkey"), F.lit('">2</a></ul>'))
-    h = t.orders.select("o_orderkey", html.alias("html"))
+    h = t.wide("orders").select("o_orderkey", html.alias("html"))
     s = h.select("o_orderkey", "html", mk.script_assignments("html", "x", mk.script_aliases("html")).alias("s"))
     return s.select("o_orderkey", mk.script_var("html", "pid").alias("pid"), *[F.col("s")[k].alias(k) for k in ("id", "name", "kind", "none", "early")], mk.active_attr("html", "tabs", "data-id").alias("active"))
 
@@ -220,7 +220,7 @@ def x19(t):
 select o_orderkey, lpad(cast(o_custkey as varchar), 6, '0') as area_code from orders where o_custkey % 100 <> 0""")
 def x19_areas(t):
     link = F.concat(F.lit("http://e.example.com/list_a"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lit(".html?x=1"))
-    return pg.leaf_area_links(t.orders.select("o_orderkey", link.alias("link")), r"^/list_a(\d{6})\.html$").select("o_orderkey", "area_code")
+    return pg.leaf_area_links(t.wide("orders").select("o_orderkey", link.alias("link")), r"^/list_a(\d{6})\.html$").select("o_orderkey", "area_code")
 
 
 @query("x20_discover_tasks", """

@@ -15,7 +15,7 @@ def event_records(t):
     n = F.col("event_id") % 10
     body = (F.when(n == 0, F.lit("{}")).when(n == 1, F.lit('{"a":{"k":null}}')).when(n == 2, F.lit('{"a":{"k":"  "}}')).when(n == 3, F.lit('{"a":{"k":[]}}'))
             .when(n == 4, F.lit('{"a":{"k":0}}')).otherwise(F.concat(F.lit('{"entity_type":"'), F.col("event_type"), F.lit('","a":{"k":'), k, F.lit("}}"))))
-    return t.events.select("event_id", parse_payload(body).alias("record"))
+    return t.wide("events").select("event_id", parse_payload(body).alias("record"))
 
 
 @query("v1_require", "select event_id, 'missing' as issue, 'a.k' as field from events where event_id % 10 in (0, 1)")
@@ -34,7 +34,7 @@ def order_records(t):
     c, flip = F.col("o_custkey") % 40, F.col("o_orderkey") % 2 == 0
     key = F.when(flip, F.concat(F.lit('{"x":'), c, F.lit(',"y":1}'))).otherwise(F.concat(F.lit('{"y":1,"x":'), c, F.lit("}")))
     status = F.when(F.col("o_orderkey") % 9 == 0, F.lit("null")).otherwise(F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"')))
-    return t.orders.select("o_orderkey", parse_payload(F.concat(F.lit('{"id":'), key, F.lit(',"s":'), status, F.lit("}"))).alias("record"))
+    return t.wide("orders").select("o_orderkey", parse_payload(F.concat(F.lit('{"id":'), key, F.lit(',"s":'), status, F.lit("}"))).alias("record"))
 
 
 @query("v3_unique_by", """
@@ -75,7 +75,7 @@ def v6(t):
 with r as (select distinct event_id // 50 as page, user_id from events), s as (select a.page, count(*) as shared from r a join r b on b.page = a.page - 1 and b.user_id = a.user_id group by 1)
 select page, count(*) as keys, coalesce(any_value(shared), 0) as shared from r left join s using (page) group by 1""")
 def v7(t):
-    return ql.page_overlap(t.events.select(F.expr("event_id div 50").alias("page"), "user_id"), "page", "user_id")
+    return ql.page_overlap(t.wide("events").select(F.expr("event_id div 50").alias("page"), "user_id"), "page", "user_id")
 
 
 @query("v7_coverage", """
@@ -92,5 +92,5 @@ def v8(t):
     n, k = F.col("event_id") % 6, F.get_json_object("props", "$.k")
     body = (F.when(n == 0, F.lit('{"code":4998}')).when(n == 1, F.lit('{"code":0,"msg":"系统错误"}')).when(n == 2, F.lit("{}"))
             .otherwise(F.concat(F.lit('{"code":0,"result":{"page":'), k, F.lit("}}"))))
-    out = ql.page_mismatch(t.events.select("event_id", "user_id", body.alias("body")), F.col("user_id"), parse_payload("body"), "result.page", 4998, "系统错误")
+    out = ql.page_mismatch(t.wide("events").select("event_id", "user_id", body.alias("body")), F.col("user_id"), parse_payload("body"), "result.page", 4998, "系统错误")
     return out.select("event_id", "retry_reason")

@@ -26,7 +26,7 @@ GATED = f"case when o_custkey % 3 = 1 and o_orderkey % 2 = 1 then '' else {TRADE
 
 
 def context(t):
-    pages = t.orders.select("o_orderkey", F.concat(F.lit("http://n.example.com/list/"), F.col("o_orderkey")).alias("url"), F.expr(NOTICE_PAGE).alias("html"), F.lit("list title").alias("title"),
+    pages = t.wide("orders").select("o_orderkey", F.concat(F.lit("http://n.example.com/list/"), F.col("o_orderkey")).alias("url"), F.expr(NOTICE_PAGE).alias("html"), F.lit("list title").alias("title"),
                             F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_time"), F.lit("L1").alias("project_no"), F.expr(MODULE).alias("module"), F.expr(NOTICE_TYPE).alias("notice_type"), F.expr(TRADE_TYPE).alias("trade_type"))
     return rc.common_context(pages, [".wrap", "body"])
 

@@ -7,6 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harvestry.session import spread
+
+TEXT_TABLES = ("documents", "pages", "conversations")
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -22,7 +25,12 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(table) if name in TEXT_TABLES else table
+
+    def wide(self, name: str) -> DataFrame:
+        """A table about to meet costly per-row work."""
+        return spread(getattr(self, name))
 
 
 def query(name: str, sql: str | None = None):

@@ -105,7 +105,7 @@ with n as (select o_orderkey, {NOTICE} as x from orders),
 s as (select o_orderkey, substr(x, strpos(x, '采购人信息') + 5, strpos(x, chr(10) || '2、') - strpos(x, '采购人信息') - 5) as s1, substr(x, strpos(x, '项目联系方式') + 6) as s3 from n)
 select o_orderkey, regexp_extract(s1, '名 称：([^\\n]+)', 1) as unit, regexp_extract(s3, '项目联系人：([^\\n]+)', 1) as contact, regexp_extract(s3, '电 话：([0-9]+)', 1) as phone from s""".replace("\\\\", "\\"))
 def h11(t):
-    x = t.orders.select("o_orderkey", F.expr(NOTICE).alias("x"))
+    x = t.wide("orders").select("o_orderkey", F.expr(NOTICE).alias("x"))
     return x.select("o_orderkey", tx.section_value("x", "采购人信息", r"名\s*称", "[23]", "1").alias("unit"),
                     tx.section_value("x", "项目联系方式", r"(?:项\s*目\s*联\s*系\s*人|联\s*系\s*人)", "[45]", "3", r"([^\n，,；; ]+)").alias("contact"),
                     tx.section_value("x", "项目联系方式", words.PHONE_LABELS, "[45]", "3", words.PHONE_CHARS).alias("phone"))
@@ -117,7 +117,7 @@ select o_orderkey, case o_orderkey % 4 when 0 then 'JN-' || o_orderkey when 1 th
   case when o_orderkey % 5 = 0 then '0531-' || o_custkey else '1390000' || (1000 + o_custkey % 9000) end as phone,
   case when o_orderkey % 5 = 0 and o_orderkey % 3 <> 0 then '赵一' when o_orderkey % 3 = 0 then '王' else '孙' || o_orderkey end as contact from orders""")
 def h12(t):
-    x = t.orders.select("o_orderkey", F.expr(NOTICE).alias("x"))
+    x = t.wide("orders").select("o_orderkey", F.expr(NOTICE).alias("x"))
     return x.select("o_orderkey", tx.extract_project_no("x").alias("project_no"), tx.extract_party("x").alias("party"), tx.extract_phone("x").alias("phone"), tx.extract_contact("x").alias("contact"))
 
 

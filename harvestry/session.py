@@ -46,3 +46,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder, for tables handed from one job to the next."""
     prepare_checkpoints(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work when the input has fewer partitions than the session has cores.
+
+    A few unsplit files would leave a cluster idle. Inputs with enough partitions pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
