@@ -84,12 +84,14 @@ def validation_report(df: DataFrame, record: str, position: str, checks: Checks)
     issues = validate(df, record, position, checks)
     sample = (issues.orderBy(position, "rank", "issue").limit(checks.report_limit)
               .agg(F.array_sort(F.collect_list(F.struct(position, "rank", "issue", "field"))).alias("first_issues")))
-    totals = df.agg(F.count("*").alias("records"), F.lit(1).alias("_one"))
-    found = issues.agg(F.count("*").alias("_found"), F.lit(1).alias("_one"))
+    totals = df.agg(F.count("*").alias("records"))
+    found = issues.agg(F.count("*").alias("_found"))
+    # Three one-row tables meet in an aggregate, not in a join.
+    stacked = totals.unionByName(found, allowMissingColumns=True).unionByName(sample, allowMissingColumns=True)
+    one = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("records", "_found", "first_issues")])
     short = F.when(F.col("records") < checks.min_records, 1).otherwise(0)
-    return (totals.join(found, "_one").join(sample.withColumn("_one", F.lit(1)), "_one")
-            .select("records", (F.col("_found") + short).alias("issues"), (F.col("_found") + short == 0).alias("ok"),
-                    F.greatest(F.col("_found") + short - checks.report_limit, F.lit(0)).alias("more"), "first_issues"))
+    return one.select("records", (F.col("_found") + short).alias("issues"), (F.col("_found") + short == 0).alias("ok"),
+                      F.greatest(F.col("_found") + short - checks.report_limit, F.lit(0)).alias("more"), "first_issues")
 
 
 def min_records(df: DataFrame, n: int) -> DataFrame:

@@ -34,9 +34,10 @@ def candidate_summary(df: DataFrame, name: str, order: Sequence[str], viable=is_
                         F.count_if(~F.col("viable")).alias("filtered_count"), F.count_if(F.col("viable")).alias("_ok"))
     samples = (marked.filter(~F.col("viable")).orderBy(*order).limit(SAMPLE_SIZE)
                .agg(F.array_sort(F.collect_list(F.struct(*order, "raw", "normalized"))).alias("filtered_examples")))
-    joined = counts.withColumn("_one", F.lit(1)).join(samples.withColumn("_one", F.lit(1)), "_one")
-    return joined.select("raw_count", "candidate_count", "filtered_count",
-                         (F.col("_ok") - F.col("candidate_count")).alias("merged_count"), "filtered_examples")
+    # Two one-row tables meet in an aggregate, not in a join.
+    both = counts.unionByName(samples, allowMissingColumns=True).agg(*[F.first(c, ignorenulls=True).alias(c) for c in [*counts.columns, "filtered_examples"]])
+    return both.select("raw_count", "candidate_count", "filtered_count",
+                       (F.col("_ok") - F.col("candidate_count")).alias("merged_count"), "filtered_examples")
 
 
 def merge_fill(df: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], required: Sequence[str] = ()) -> DataFrame:
