@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from harvestry.operators import ledger as lg
 from harvestry.operators import ordering as od
+from harvestry.operators import sets
 from harvestry.plans.registry import query
 
 STATES = "case {c} when 'view' then 'pending' when 'click' then 'queued' when 'signup' then 'running' when 'error' then 'waiting_retry' else 'done' end"
@@ -105,20 +106,18 @@ def o4(t):
 
 @query("u1_union_distinct", "select c_nationkey as k from customer union select s_nationkey from supplier")
 def u1(t):
-    return t.customer.select(F.col("c_nationkey").alias("k")).union(t.supplier.select("s_nationkey")).distinct()
+    return sets.union_distinct(t.customer.select(F.col("c_nationkey").alias("k")), t.supplier.select("s_nationkey"))
 
 
 @query("u2_except_done", "select c_name from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 400000) order by c_name")
 def u2(t):
-    done = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return t.customer.join(done, "c_custkey", "left_anti").select("c_name").orderBy("c_name")
+    done = t.orders.filter("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return sets.except_done(t.customer, done, ["c_custkey"], ["c_name"]).select("c_name")
 
 
-@query("u3_ack", "select user_id, event_type from events group by 1, 2 having count(*) filter (value > 20) = 0")
+@query("u3_ack", "select user_id, event_type from events group by 1, 2 having count(*) filter (value > 60) = 0")
 def u3(t):
-    queue = t.events.select("user_id", "event_type").distinct()
-    done = t.events.filter("value > 20").select("user_id", "event_type").distinct()
-    return queue.join(done, ["user_id", "event_type"], "left_anti")
+    return sets.ack(t.events, t.events.filter("value > 60"), ["user_id", "event_type"])
 
 
 @query("u4_concat_dedupe", """
@@ -126,5 +125,5 @@ with l as (select page_id, ['/top', '/The'] || regexp_extract_all(html, 'href="(
 select page_id, array_to_string(list_transform(list_filter(generate_series(1, len(links)), lambda i: list_position(links, links[i]) = i), lambda i: links[i]), ' ') as links from l""")
 def u4(t):
     found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
-    both = F.array_distinct(F.concat(F.array(F.lit("/top"), F.lit("/The")), found))
+    both = sets.concat_dedupe(F.array(F.lit("/top"), F.lit("/The")), found)
     return t.pages.select("page_id", F.array_join(both, " ").alias("links"))

@@ -93,7 +93,7 @@ NOISE_PREFIXES = (
     "PDF版招标文件", "请点击“我要参与”登录济南公共资源交易中心网站",
     '请点击"我要参与"登录济南公共资源交易中心网站', "ca办理及相关咨询请点击",
 )
-NOISE_HELP_PATH = "/jnggzyca/index.jsp#nav-7"
+NOISE_HELP_PATH = "ca/index.jsp#nav-7"
 NOISE_LOGIN_PATH = "/new_flogin/login.do"
 BLANK_DETAIL_TASKS = (("土地矿产", "招标公告"), ("土地矿产", "结果公示"))
 BOILERPLATE_LINES = (
