@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,11 +29,16 @@ def build_session(app: str = "harvestry", **conf: str) -> SparkSession:
 
 
 def prepare_checkpoints(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only a session without one gets a local folder."""
+    """Use the folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session in one process (``local``) may go without: it gets a folder of its own. Elsewhere each executor would write to its own disk.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="harvestry-ckpt-"))
 
 

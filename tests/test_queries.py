@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from harvestry.plans import registry
 from tools.check_queries import TABLES, normal
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+registry.load_all()
+QUERIES, TWINS = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +24,10 @@ def test_every_query_has_a_twin():
     assert set(TWINS) == set(QUERIES)
 
 
+def test_entry_offers_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(TWINS) <= set(entry.oracle_sql())
+
+
 def test_names_carry_survey_ids():
     ids = {name.split("_")[0] for name in QUERIES}
     wanted = {"s": 7, "k": 6, "p": 20, "j": 13, "a": 12, "v": 8, "w": 6, "o": 4, "u": 4, "h": 33, "l": 10, "d": 4, "m": 9, "g": 15, "x": 21, "b": 10, "q": 7}
