@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from harvestry.llm import packing
+from harvestry.llm import decontam, jaccard, packing
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +33,15 @@ def query(name: str, sql: str | None = None):
 @query("op1_best_fit_packing")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file(), SEQUENCE_TOKENS)
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("places") > 0).alias("contaminated"), "longest", "longest_at")
+
+
+@query("op10_ngram_jaccard_join")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)
