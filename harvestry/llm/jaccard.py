@@ -9,8 +9,8 @@ Method. A document's set holds the 64-bit hashes of its distinct word n-grams. D
 * Verification: once per pair, on the full sets.
 
 Large groups of near copies never become all their pairs. First, in each list of a prefix n-gram and length band, everyone is paired with
-the first only; verified links give components. Then only pairs of *different* components that still share a prefix n-gram are verified, all
-of them, in blocks of bounded size. So every link either is in the result's components or joins two texts of one component already.
+one leader only; verified links give components. Further rounds take other leaders, and some rows before each. Then only pairs of *different* components that
+still share a prefix n-gram are verified, all of them, in blocks of bounded size. So every link either is in the result's components or joins two texts of one component already.
 
 Components are found by large-star and small-star rounds on the links, with tables in the shared folder between them; no link or component
 reaches the driver, which only sees the bucket counts and row counts.
@@ -22,6 +22,8 @@ set hashes collide would count as one class.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,10 @@ BUCKETS, PARTS = 1 << 18, 16
 BLOCK_ROWS = 4000
 #: Word hashes and sets that a task remembers; forgetting costs time only.
 REMEMBERED = 400_000
+#: For each of the first rounds: leaders that a text may meet, and how many rows before its own in the list it meets as well.
+STAR_ROUNDS = ((4, 0), (64, 4), (64, 8))
+#: Bits of the map of wanted ids (8 MB).
+MOST_BITS = 1 << 26
 SIGNED = "sig long, n int, doc_id long, bucket int, docs long, parts binary"
 
 
@@ -120,57 +126,61 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int
             yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (sigs, sizes, places))], names=["token", "sig", "n", "place"])
 
 
-def _band(n: np.ndarray, percent: int) -> np.ndarray:
-    """Lengths of one band pass the length filter among themselves."""
-    return np.floor(np.log(n) / np.log(100 / percent) + 1e-9).astype(np.int64)
-
-
 def _may_link(n1, p1, n2, p2, percent: int) -> np.ndarray:
     """Length and positional filter."""
     need = -(-percent * (n1.astype(np.int64) + n2) // (100 + percent))
     return (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (np.minimum(n1 - p1, n2 - p2) >= need)
 
 
-def _live(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by token, size and set: those whose list has another set, each with the first row of its length band as ``lead``."""
-    names = ["token", "sig", "n", "place", "lead", "ok"]
-    held = None  # the last row, whose successor is not known yet: token, sig, n, place, whether a predecessor shares its token, leader
-    lead_token = lead_band = lead = None
+def _live(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token and set: those whose list has another set, each once."""
+    held = None  # the last row, whose successor is not known yet, and whether the row before it shares its token
+    names = ["token", "sig", "n", "place"]
 
-    def give(rows, alive):
-        token, sig, n, place, leads = (c[alive] for c in rows)
-        ok = (leads[:, 0] != sig) & _may_link(leads[:, 1], leads[:, 2], n, place, percent)
-        return pa.record_batch([pa.array(token), pa.array(sig), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(leads[:, 0]), pa.array(ok)], names=names)
+    def give(columns, alive):
+        return pa.record_batch([pa.array(c[alive].astype(k)) for c, k in zip(columns, (np.int64, np.int64, np.int32, np.int32))], names=names)
 
     for batch in batches:
-        token, sig, n, place = (batch.column(k).to_numpy().astype(np.int64) for k in range(4))
-        if not len(token):
-            continue
+        columns = [batch.column(k).to_numpy().astype(np.int64) for k in range(4)]
         if held is not None:
-            token, sig, n, place = (np.concatenate([[h], c]) for h, c in zip(held[:4], (token, sig, n, place)))
-        fresh = np.ones(len(token), bool)  # the same set comes from several tasks
-        fresh[1:] = (token[1:] != token[:-1]) | (sig[1:] != sig[:-1])
-        token, sig, n, place = token[fresh], sig[fresh], n[fresh], place[fresh]
-        band = _band(n, percent)
-        starts = np.ones(len(token), bool)
-        starts[1:] = (token[1:] != token[:-1]) | (band[1:] != band[:-1])
-        if lead is not None and (lead_token, lead_band) == (token[0], band[0]):
-            starts[0] = False
-        at = np.maximum.accumulate(np.where(starts, np.arange(len(token)), -1))
-        leads = np.stack([sig, n, place], axis=1)[np.maximum(at, 0)]
-        if (at < 0).any():
-            leads[at < 0] = lead
-        same = token[1:] == token[:-1]
-        before = np.concatenate([[held is not None and held[4]], same])
+            columns = [np.concatenate([[h], c]) for h, c in zip(held[0], columns)]
+        if not len(columns[0]):
+            continue
+        fresh = np.ones(len(columns[0]), bool)  # the same set comes from several tasks
+        fresh[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+        columns = [c[fresh] for c in columns]
+        same = columns[0][1:] == columns[0][:-1]
+        before = np.concatenate([[held is not None and held[1]], same])
         alive = before.copy()
         alive[:-1] |= same
-        lead_token, lead_band, lead = token[-1], band[-1], leads[-1]
-        held = (token[-1], sig[-1], n[-1], place[-1], bool(before[-1]), leads[-1])
         alive[-1] = False  # it waits
+        held = [c[-1] for c in columns], bool(before[-1])
         if alive.any():
-            yield give((token, sig, n, place, leads), alive)
-    if held is not None and held[4]:
-        yield give(tuple(np.array([h]) for h in held[:4]) + (held[5][None, :],), np.array([True]))
+            yield give(columns, alive)
+    if held is not None and held[1]:
+        yield give([np.array([h]) for h in held[0]], np.array([True]))
+
+
+def _stars(batches: Iterator[pa.RecordBatch], before: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by token, length band and turn: each with the first of its band and with some before it, if their components differ and the filters let them pass."""
+    kept = np.zeros((0, 6), np.int64)  # the leader, then the last rows
+    for batch in batches:
+        fresh = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(6)], axis=1)  # token, band, sig, n, place, root
+        if not len(fresh):
+            continue
+        rows, old = np.concatenate([kept, fresh]), len(kept)
+        starts = np.ones(len(rows), bool)
+        starts[1:] = (rows[1:, :2] != rows[:-1, :2]).any(axis=1)
+        first = np.maximum.accumulate(np.where(starts, np.arange(len(rows)), 0))
+        own, found = np.arange(old, len(rows)), []
+        for others in (first[own], *(own - k for k in range(1, before + 1))):
+            mine, theirs = rows[own[others >= 0]], rows[others[others >= 0]]
+            ok = (mine[:, :2] == theirs[:, :2]).all(axis=1) & (mine[:, 5] != theirs[:, 5]) & _may_link(theirs[:, 3], theirs[:, 4], mine[:, 3], mine[:, 4], percent)
+            found.append(np.stack([np.minimum(mine[ok, 2], theirs[ok, 2]), np.maximum(mine[ok, 2], theirs[ok, 2])], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        last = len(rows) - 1
+        kept = rows[[int(first[last]), *range(max(int(first[last]) + 1, last - before + 1, 0), last + 1)]]
+        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -178,15 +188,15 @@ def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
     kept = None
 
     def pairs(block):
-        token, low, high, sig, n, place, root, part, lead, parts = block
+        _, low, high, sig, n, place, root, part, parts = block
         order = np.argsort(n, kind="stable")
-        low, high, sig, n, place, root, part, lead, parts = (c[order] for c in (low, high, sig, n, place, root, part, lead, parts))
+        sig, n, place, root, part, parts = (c[order] for c in (sig, n, place, root, part, parts))
         for k in range(len(sig)):  # each against the longer ones that the length filter admits
             stop = np.searchsorted(n, 100 * n[k] // percent, side="right")
             if stop <= k + 1:
                 continue
             others = slice(k + 1, stop)
-            ok = (root[others] != root[k]) & _may_link(n[k : k + 1], place[k : k + 1], n[others], place[others], percent) & (lead[others] != sig[k]) & (lead[k] != sig[others])
+            ok = (root[others] != root[k]) & _may_link(n[k : k + 1], place[k : k + 1], n[others], place[others], percent)
             if low[0] != high[0]:
                 ok &= part[others] != part[k]
             at = k + 1 + np.flatnonzero(ok)
@@ -202,8 +212,8 @@ def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"])
 
     for batch in batches:
-        columns = [batch.column(k).to_numpy().astype(np.int64) for k in range(9)]
-        columns.append(np.frombuffer(b"".join(batch.column(9).to_pylist()), "<i4").reshape(-1, PARTS).astype(np.int64))
+        columns = [batch.column(k).to_numpy().astype(np.int64) for k in range(8)]
+        columns.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), "<i4").reshape(-1, PARTS).astype(np.int64))
         if kept is not None:
             columns = [np.concatenate(c) for c in zip(kept, columns)]
         if not len(columns[0]):
@@ -235,6 +245,24 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.record_batch([pa.array([s for s, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], names=["sig", "hashes"])
 
 
+def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` that may have a wanted id, before they are shuffled: a bitmap of at most ``MOST_BITS`` hashed ids. A full one only lets more through."""
+    bits = min(MOST_BITS, 1 << max(10, (8 * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    map_ = np.zeros(bits // 64, np.uint64)
+    words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("v"))
+    for word, value in words.collect():
+        map_[word] = np.int64(value).astype(np.uint64)
+    shared = texts.sparkSession.sparkContext.broadcast(map_)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            yield batch.filter(pa.array((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)).select([0, 1])
+
+    return texts.select("doc_id", "text", place.alias("place")).mapInArrow(sift, "doc_id long, text string")
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root`` of every node of the undirected ``links(a, b)``: large-star and small-star until nothing changes."""
     def star(edges: DataFrame, large: bool) -> DataFrame:
@@ -277,30 +305,47 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     for bucket, n in signed.where("bucket is not null").groupBy("bucket").agg(F.sum("docs")).collect():  # at most BUCKETS rows
         counts[bucket] = n
     rarity = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-    prefixes = texts.select("doc_id", "text").mapInArrow(lambda b: _prefixes(b, rarity, size, percent), "token long, sig long, n int, place int")
-    live = stored(prefixes.repartition("token").sortWithinPartitions("token", "n", "sig").mapInArrow(lambda b: _live(b, percent), "token long, sig long, n int, place int, lead long, ok boolean"), "live")
+    prefixes = texts.mapInArrow(lambda b: _prefixes(b, rarity, size, percent), "token long, sig long, n int, place int")
+    live = stored(prefixes.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(_live, "token long, sig long, n int, place int"), "live")
     rows = signed.where("bucket is null and n > 0")
     classes = stored(rows.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parts").alias("parts")), "classes")
-    # The full sets of those that share a prefix n-gram with another; each is made once, from the text of one row of its class.
-    wanted = live.select("sig").distinct().join(classes.select("sig", "doc_id"), "sig").select("doc_id", "sig")
-    ids = wanted.select(F.col("doc_id").alias("id")).distinct()
-    chosen = texts.join(ids, texts["doc_id"].eqNullSafe(ids["id"])).select("doc_id", "text")
-    sets = stored(chosen.mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary").join(wanted.select("sig"), "sig", "left_semi").dropDuplicates(["sig"]), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    tested: list[DataFrame] = []
+    links: list[DataFrame] = []
+
+    def verify(pairs: DataFrame) -> None:
+        """Keep the linked ones of ``pairs`` that are new; each set is made from the text of one row of its class."""
+        for old in tested:
+            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        tested.append(pairs := stored(pairs, "pairs"))
+        wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
+        chosen = _sieved(texts, wanted).join(wanted.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text")
+        sets = stored(chosen.mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary"), "sets").dropDuplicates(["sig"])
         one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a")
         both = one.join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
-        return stored(both.mapInArrow(lambda b: _verify(b, percent), "a long, b long"), "verified")
-
-    first = verified(live.where("ok").select(F.col("sig").alias("a"), F.col("lead").alias("b")).distinct())
-    roots = components(first)
-    placed = stored(live.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "placed")
-    mixed = placed.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("k")).where("r1 <> r2").select("token", F.ceil(F.col("k") / BLOCK_ROWS).cast("int").alias("blocks"))
-    parted = placed.join(stored(mixed, "mixed"), "token").join(classes.select("sig", "parts"), "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+        links.append(stored(both.mapInArrow(lambda b: _verify(b, percent), "a long, b long"), "verified"))
+
+    def rooted() -> DataFrame:
+        """Live rows with their component so far, in lists that hold more than one."""
+        known = live.withColumn("root", F.col("sig"))
+        if links:
+            roots = components(functools.reduce(DataFrame.union, links))
+            known = live.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+        known = stored(known, "placed")
+        mixed = known.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("k")).where("r1 <> r2")
+        return known.join(stored(mixed.select("token", F.ceil(F.col("k") / BLOCK_ROWS).cast("int").alias("blocks")), "mixed"), "token")
+
+    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")  # lengths of one band pass the length filter among themselves
+    for number, (leaders, before) in enumerate(STAR_ROUNDS):
+        # In each list the first by a hash leads; which hash depends on the list, so a text meets several leaders in a round.
+        turn = F.xxhash64("sig", F.pmod("token", F.lit(leaders)), F.lit(number))
+        stars = rooted().select("token", band.alias("band"), "sig", "n", "place", "root", turn.alias("turn"))
+        verify(stars.repartition("token").sortWithinPartitions("token", "band", "turn").mapInArrow(lambda b, before=before: _stars(b, before, percent), "a long, b long").distinct())
+    parted = rooted().join(classes.select("sig", "parts"), "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     spread = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = spread.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "sig", "n", "place", "root", "part", "lead", "parts")
-    rest = blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(lambda b: _cross(b, percent), "a long, b long").distinct()
-    return rows.union(signed.where("bucket is null and n = 0")).select("sig", "n", "doc_id"), first.union(verified(rest))
+    blocks = spread.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "sig", "n", "place", "root", "part", "parts")
+    verify(blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(lambda b: _cross(b, percent), "a long, b long").distinct())
+    return rows.union(signed.where("bucket is null and n = 0")).select("sig", "n", "doc_id"), functools.reduce(DataFrame.union, links)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

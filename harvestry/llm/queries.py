@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import decontam, jaccard, packing
+from harvestry.llm import decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 SEQUENCE_TOKENS = 2048
+#: Scores from which a document counts as toxic, and as good.
+TOXIC, GOOD = 0.3, 0.7
 
 
 def tokenizer_file() -> str:
@@ -35,6 +37,23 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file(), SEQUENCE_TOKENS)
 
 
+@query("op3_toxicity_lexicon")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = toxicity.toxicity_scores(docs, toxicity.learn(docs, table(spark, folder, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
+
+
+@query("op4_host_reputation")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return hostrep.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return mainhtml.extract(table(spark, folder, "pages"))
+
+
 @query("op6_benchmark_decontamination")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -42,6 +61,25 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("places") > 0).alias("contaminated"), "longest", "longest_at")
 
 
+@query("op7_personal_data")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans_of(table(spark, folder, "documents"))
+    counts = (F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS))
+    return found.select("doc_id", *counts, F.sha2(pii.shown(F.col("base")), 256).alias("base_sha256"), pii.shown(F.col("spans")).alias("spans"))
+
+
+@query("op8_line_quality_rules")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = linerules.judged(table(spark, folder, "documents"), least_words=50, most_repeated=50, least_kept=0.5)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_chars")
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
 @query("op10_ngram_jaccard_join")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)
