@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import stored
@@ -43,7 +43,7 @@ REMEMBERED = 400_000
 STAR_ROUNDS = ((4, 0), (64, 4), (64, 8))
 #: Bits of the map of wanted ids (8 MB).
 MOST_BITS = 1 << 26
-SIGNED = "sig long, n int, doc_id long, bucket int, docs long, parts binary"
+SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long, parts binary"
 
 
 class WordHashes(dict):
@@ -89,20 +89,24 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tup
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    names, kinds = ["sig", "n", "doc_id", "bucket", "docs", "parts"], (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+    """A row for each text, and at the end one for each bucket that its task met."""
+    names, kinds = ["sig", "n", "doc_id", "text_hash", "bucket", "docs", "parts"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
     counts = np.zeros(BUCKETS, np.int64)
-    for ids, texts in _slices(batches):
-        rows = []
-        for doc_id, text in zip(ids, texts):
-            own = shingle_set(text, size)
-            counts += np.bincount(_bucket(own), minlength=BUCKETS) if len(own) > BUCKETS // 8 else 0
-            if len(own) <= BUCKETS // 8:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            ids, texts, hashes = (batch.slice(at, 1000).column(k) for k in range(3))
+            sigs, sizes, parts = [], [], []
+            for text in texts.to_pylist():
+                own = shingle_set(text, size)
                 np.add.at(counts, _bucket(own), 1)
-            parts = np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PARTS).astype("<i4").tobytes()
-            rows.append((_signature(own), len(own), doc_id, None, None, parts))
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                parts.append(np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PARTS).astype("<i4").tobytes())
+                sigs.append(_signature(own))
+                sizes.append(len(own))
+            n = len(sigs)
+            yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), ids, hashes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(parts, pa.binary())], names=names)
     full = np.flatnonzero(counts)
-    yield pa.record_batch([pa.nulls(len(full), t) if k < 3 or k == 5 else pa.array(full if k == 3 else counts[full], t) for k, t in enumerate(kinds)], names=names)
+    known = {"bucket": full, "docs": counts[full]}
+    yield pa.record_batch([pa.array(known[c], k) if c in known else pa.nulls(len(full), k) for c, k in zip(names, kinds)], names=names)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -245,22 +249,33 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         yield pa.record_batch([pa.array([s for s, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], names=["sig", "hashes"])
 
 
-def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` that may have a wanted id, before they are shuffled: a bitmap of at most ``MOST_BITS`` hashed ids. A full one only lets more through."""
-    bits = min(MOST_BITS, 1 << max(10, (8 * wanted.count()).bit_length()))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    map_ = np.zeros(bits // 64, np.uint64)
-    words = wanted.select(place.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("v"))
+def _bits(keys: DataFrame) -> int:
+    return min(MOST_BITS, 1 << max(10, (8 * keys.count()).bit_length()))
+
+
+def _bitmap(keys: DataFrame, place: Column, bits: int):
+    """Broadcast map of the places that ``keys`` have; its size is bounded by ``MOST_BITS``."""
+    shown = np.zeros(bits // 64, np.uint64)
+    words = keys.select(place.alias("p")).groupBy((F.col("p") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p % 64 as int)))").alias("v"))
     for word, value in words.collect():
-        map_[word] = np.int64(value).astype(np.uint64)
-    shared = texts.sparkSession.sparkContext.broadcast(map_)
+        shown[word] = np.int64(value).astype(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(shown)
+
+
+def _sift(batches: Iterator[pa.RecordBatch], shared, there: bool) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column is a place in the map, or is not."""
+    for batch in batches:
+        at = batch.column(batch.num_columns - 1).to_numpy()
+        yield batch.filter(pa.array(((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1) == there))
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)).select([0, 1])
 
-    return texts.select("doc_id", "text", place.alias("place")).mapInArrow(sift, "doc_id long, text string")
+def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` that may have a wanted id, before they are shuffled. A full map only lets more through."""
+    bits = _bits(wanted)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    map_ = _bitmap(wanted, place, bits)
+    placed = texts.select("doc_id", "text", place.alias("place"))
+    return placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).select("doc_id", "text")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -294,7 +309,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
-    return stored(_texts(docs).mapInArrow(lambda b: _sign(b, size), SIGNED), "signed")
+    """Set key, size, parts, id and text hash of every row, and the tasks' bucket counts (where ``bucket`` is not null)."""
+    return stored(_texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: _sign(b, size), SIGNED), "signed")
 
 
 def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -345,16 +361,47 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     spread = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocks = spread.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "sig", "n", "place", "root", "part", "parts")
     verify(blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(lambda b: _cross(b, percent), "a long, b long").distinct())
-    return rows.union(signed.where("bucket is null and n = 0")).select("sig", "n", "doc_id"), functools.reduce(DataFrame.union, links)
+    return rows.union(signed.where("bucket is null and n = 0")).select("sig", "n", "doc_id", "text_hash"), functools.reduce(DataFrame.union, links)
+
+
+def _rooted(signed: DataFrame, links: DataFrame) -> DataFrame:
+    """``sig, root, doc_id, text_hash`` of each class; the latter two are its least row, null ids last."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("text_hash"))).alias("least")
+    classes = signed.where("n > 0").groupBy("sig").agg(least)
+    joined = classes.join(components(links).withColumnRenamed("node", "sig"), "sig", "left")
+    return stored(joined.select("sig", F.coalesce("root", "sig").alias("root"), "least"), "rooted")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (smallest id of its component)."""
     signed, links = linked(docs, size, percent)
-    roots = components(links)
-    classes = signed.where("n > 0").groupBy("sig").agg(F.min("doc_id").alias("least"))
-    rooted = stored(classes.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("sig", "component_id"), "named")
+    rooted = _rooted(signed, links)
+    first = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = stored(rooted.join(stored(first, "first"), "root").select("sig", F.col("first.doc_id").alias("component_id")), "named")
     full = signed.where("n > 0").join(named, "sig").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     return full.union(signed.where("n = 0").select("doc_id", F.lit(0).cast("long"), F.col("doc_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component of ``docs``, unchanged: that of the smallest id. Rows without words all stay.
+
+    Most rows are known to stay from a bitmap of the others; only rows that may go are shuffled and looked up.
+    """
+    signed, links = linked(docs, size, percent)
+    rooted = _rooted(signed, links)
+    first = stored(rooted.groupBy("root").agg(F.min("least").alias("first")), "first")
+    staying = stored(rooted.join(first, "root").where("least <=> first").select("sig", F.col("first.doc_id").alias("k_id"), F.col("first.text_hash").alias("k_hash")), "staying")
+    rows = stored(signed.where("n > 0").groupBy("sig", "doc_id", "text_hash").agg(F.count("*").alias("copies")), "rows")
+    stays = F.coalesce(F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("text_hash") == F.col("k_hash")), F.lit(False))
+    suspects = stored(rows.join(staying, "sig", "left").withColumn("_stays", stays).where("copies > 1 or not _stays")
+                      .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_stays"), "suspects")
+    marked = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
+    bits = _bits(suspects)
+    map_ = _bitmap(suspects, F.pmod(F.xxhash64("_id", "_hash"), F.lit(bits)), bits)
+    placed = marked.withColumn("_place", F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("_hash")), F.lit(bits)))
+    known = placed.mapInArrow(lambda b: _sift(b, map_, False), placed.schema).select(*docs.columns)
+    asked = placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).drop("_place").withColumn("_id", F.col("doc_id").cast("long"))
+    found = asked.alias("d").join(suspects.alias("s"), F.col("d._id").eqNullSafe(F.col("s._id")) & (F.col("d._hash") == F.col("s._hash")), "left")
+    turn = F.row_number().over(Window.partitionBy("d._id", "d._hash").orderBy(F.lit(1)))
+    kept = found.withColumn("_turn", turn).where("_stays is null or _stays and _turn = 1")
+    return known.union(kept.select(*(F.col(f"d.{c}") for c in docs.columns)))

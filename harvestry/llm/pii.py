@@ -102,6 +102,22 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _base_of(kind: str, spans: Column) -> Column:
+    number = KINDS.index(kind)
+    valid = F.filter(spans, lambda s: _valid(kind, s["match"]))
+    return F.transform(valid, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end")))
+
+
+def _likely_of(kind: str, spans: Column, base: Column, text: Column) -> Column:
+    number = KINDS.index(kind)
+
+    def described(s: Column) -> Column:
+        known = F.exists(base, lambda b: _overlap(s, b) & (b["kind"] == number))
+        return F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), known.alias("known"), F.array(*_traits(kind, text, s)).alias("traits"))
+
+    return F.transform(spans, described)
+
+
 def candidates(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``base`` spans (start, kind, end) and ``likely`` ones (also their traits and whether they are ``known`` base spans) of every row."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -113,11 +129,9 @@ def candidates(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     df = df.select("*", *(F.when(guards[k](F.col("_t")), F.regexp_extract_all("_t", F.lit(p), F.lit(0))).otherwise(empty).alias(f"_m_{n}") for n, (p, k) in patterns.items()))
     df = df.select("*", *(F.when(F.size(f"_m_{n}") > 0, F.split("_t", p, -1)).alias(f"_p_{n}") for n, (p, _) in patterns.items()))
     df = df.select(*keep, "_t", *(_spans(F.col(f"_m_{n}"), F.col(f"_p_{n}")).alias(n) for n in patterns))
-    base = [F.transform(F.filter(f"b_{k}", lambda s, k=k: _valid(k, s["match"])), lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"))) for i, k in enumerate(KINDS)]
-    df = df.select(*keep, "_t", *(f"l_{k}" for k in KINDS), F.sort_array(F.concat(*base)).alias("base"))
-    known = lambda s, i: F.exists("base", lambda b: _overlap(s, b) & (b["kind"] == i))
-    likely = [F.transform(f"l_{k}", lambda s, i=i, k=k: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"), known(s, i).alias("known"),
-                          F.array(*_traits(k, F.col("_t"), s)).alias("traits"))) for i, k in enumerate(KINDS)]
+    base = F.concat(*(_base_of(k, F.col(f"b_{k}")) for k in KINDS))
+    df = df.select(*keep, "_t", *(f"l_{k}" for k in KINDS), F.sort_array(base).alias("base"))
+    likely = (_likely_of(k, F.col(f"l_{k}"), F.col("base"), F.col("_t")) for k in KINDS)
     return df.select(*keep, "base", F.concat(*likely).alias("likely"))
 
 
@@ -208,6 +222,11 @@ def find_spans(found: DataFrame, model: Model) -> DataFrame:
     return chosen.withColumn("spans", F.sort_array(F.concat("base", added))).drop("_free", "_over", "_ranked")
 
 
+def of_kind(spans: Column, kind: str) -> Column:
+    number = KINDS.index(kind)
+    return F.filter(spans, lambda s: s["kind"] == number)
+
+
 def shown(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     names = F.array(*(F.lit(k) for k in KINDS))
