@@ -34,7 +34,7 @@ def line_passes(line: Column) -> Column:
     symbols = F.length(line) - _without(line, SYMBOLS + "~^_=+{}[]\\@")
     shouts = F.length(line) - _without(line, "!?")
     cells = F.length(line) - _without(line, "|»›→•")
-    capitals = (F.upper(line) == line) & (F.lower(line) != line) & (n > 12)
+    capitals = line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}") & (n > 12)
     punctuation = (symbols * 10 > n) | (shouts * 12 > n) & (shouts > 2) | capitals | ~line.rlike(r"[\p{L}\p{N}]")
     navigation = (cells >= 3) | F.lower(line).rlike(MENU)
     return ~(punctuation | navigation | F.lower(line).rlike(BOILERPLATE))

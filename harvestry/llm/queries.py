@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity
+from harvestry.llm import decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity, twins
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,7 +44,7 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
-@query("op4_host_reputation")
+@query("op4_host_reputation", twins.HOST_REPUTATION)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return hostrep.judge(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
@@ -54,11 +54,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return mainhtml.extract(table(spark, folder, "pages"))
 
 
-@query("op6_benchmark_decontamination")
+@query("op6_benchmark_decontamination", twins.DECONTAMINATION)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("places") > 0).alias("contaminated"), "longest", "longest_at")
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("places") > 0).alias("contaminated"))
 
 
 @query("op7_personal_data")
@@ -68,7 +68,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.shown(F.col("base")), 256).alias("base_sha256"), pii.shown(F.col("spans")).alias("spans"))
 
 
-@query("op8_line_quality_rules")
+@query("op8_line_quality_rules", twins.LINE_RULES)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = linerules.judged(table(spark, folder, "documents"), least_words=50, most_repeated=50, least_kept=0.5)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "left_chars")
@@ -80,6 +80,6 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
 
 
-@query("op10_ngram_jaccard_join")
+@query("op10_ngram_jaccard_join", twins.JACCARD)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)

@@ -2,8 +2,9 @@
 
 Folding lower-cases, replaces letters that look like Latin ones, reads digits and signs before a letter as the letters they stand for
 (``1d10t``), and makes everything else a space. The lexicon is learned from at most about ``MOST_ROWS`` labelled rows: words, and word
-beginnings, whose document frequency is much higher under label 1; the weight is the smoothed log odds ratio. Exception phrases are
-patterns of the same automaton; what they cover does not count. The score is a logistic function of the weight per 100 words.
+beginnings, whose document frequency is higher under label 1 by more than chance among so many terms explains; the weight is the smoothed
+log odds ratio. Exception phrases are patterns of the same automaton; what they cover does not count. The score is a logistic function of
+the weight per 100 words and of the number of hits.
 
 Counting is a Spark aggregation; only the lexicon of at most ``MOST_TERMS`` and the features of the labelled sample reach the driver.
 
@@ -13,6 +14,7 @@ score is the smoothed share of label 1 (0.5 without any). Repeated rows agree; n
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import held_out
+from harvestry.llm.common import held_out, stored
 from harvestry.llm.quality import labelled
 
-MOST_ROWS, MOST_TERMS, LEAST_DOCS, LEAST_WEIGHT, STEMS = 20_000, 20_000, 5, 2.5, range(4, 7)
+MOST_ROWS, MOST_TERMS, LEAST_DOCS, LEAST_WEIGHT, SURPRISE, STEMS = 20_000, 20_000, 4, 2.0, 0.75, range(4, 7)
 
 # Look-alikes of Latin letters, digits and signs that stand for letters, and harmless phrases.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһӏԛԝвкмнтαορυνικτεɑɡ", "aeopcyxijsdhlqwbkmhtaopuvikteag"))
@@ -137,9 +139,13 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "toxic", most_rows:
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     lexicon = Lexicon({})
     if n1 and n0:
+        counted = stored(sample.mapInArrow(_count, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST_DOCS), "terms")
+        n, share = F.col("n1") + F.col("n0"), n1 / (n1 + n0)
         weight = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
-        counted = sample.mapInArrow(_count, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-        best = counted.where(F.col("n1") >= LEAST_DOCS).withColumn("weight", weight).where(F.col("weight") >= LEAST_WEIGHT).orderBy(F.desc("weight"), F.desc("n1"), "term").limit(MOST_TERMS)
+        # Log likelihood ratio against the common share; at the log of the number of terms, chance alone would yield about one.
+        surprise = F.col("n1") * F.log(F.col("n1") / (n * share)) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / (n * (1 - share)))).otherwise(0.0)
+        telling = counted.where(F.col("n1") >= LEAST_DOCS).withColumn("weight", weight).where((F.col("weight") >= LEAST_WEIGHT) & (surprise >= SURPRISE * math.log(max(2, counted.count()))))
+        best = telling.orderBy(F.desc("weight"), F.desc("n1"), "term").limit(MOST_TERMS)
         lexicon.weights = {r["term"]: r["weight"] for r in best.select("term", "weight").collect()}
     fitted = sample.mapInArrow(lambda b: _featured(b, lexicon, "label"), "label int, density double, hits double").collect()
     lexicon.curve = _curve(np.array([r[1:] for r in fitted], float).reshape(-1, 2), np.array([r[0] for r in fitted], float))
