@@ -5,7 +5,8 @@ Method. A document's set holds the 64-bit hashes of its distinct word n-grams. D
   order that all documents share gives right results; a rare-first one gives short lists.
 * Prefix filter: two sets of Jaccard similarity t share an n-gram among the first n - ceil(t n) + 1 of each.
 * Length filter: t n1 <= n2. Positional filter: what stands after the shared places cannot make up the overlap.
-* Suffix filter: sets are cut by hash range into ``PARTS``; the overlap is at most the sum of the smaller part sizes.
+* Suffix filter: sets are cut by hash into small parts, of which a bitmap tells the filled ones. The overlap is at most the number of parts that
+  both fill, plus what shares a part with another in the one that has less of it.
 * Verification: once per pair, on the full sets.
 
 Large groups of near copies never become all their pairs. First, in each list of a prefix n-gram and length band, everyone is paired with
@@ -34,16 +35,16 @@ from pyspark.sql import functions as F
 
 from harvestry.llm.common import stored
 
-BUCKETS, PARTS = 1 << 18, 16
+BUCKETS = 1 << 18
 #: Rows of one n-gram's list that meet in one block.
 BLOCK_ROWS = 4000
 #: Word hashes and sets that a task remembers; forgetting costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: For each of the first rounds: leaders that a text may meet, and how many rows before its own in the list it meets as well.
-STAR_ROUNDS = ((4, 0), (64, 4), (64, 8))
+STAR_ROUNDS = ((4, 0), (64, 4), (64, 8), (64, 8))
 #: Bits of the map of wanted ids (8 MB).
 MOST_BITS = 1 << 26
-SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long, parts binary"
+SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long"
 
 
 class WordHashes(dict):
@@ -82,7 +83,7 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tuple[list, list]]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 300) -> Iterator[tuple[list, list]]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows).column(0).to_pylist(), batch.slice(at, rows).column(1).to_pylist()
@@ -90,25 +91,34 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[tup
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """A row for each text, and at the end one for each bucket that its task met."""
-    names, kinds = ["sig", "n", "doc_id", "text_hash", "bucket", "docs", "parts"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+    names, kinds = ["sig", "n", "doc_id", "text_hash", "bucket", "docs"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            ids, texts, hashes = (batch.slice(at, 1000).column(k) for k in range(3))
-            sigs, sizes, parts = [], [], []
+        for at in range(0, batch.num_rows, 300):
+            ids, texts, hashes = (batch.slice(at, 300).column(k) for k in range(3))
+            sigs, sizes = [], []
             for text in texts.to_pylist():
                 own = shingle_set(text, size)
                 np.add.at(counts, _bucket(own), 1)
-                parts.append(np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=PARTS).astype("<i4").tobytes())
                 sigs.append(_signature(own))
                 sizes.append(len(own))
             n = len(sigs)
-            yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), ids, hashes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.array(parts, pa.binary())], names=names)
+            yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), ids, hashes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=names)
     full = np.flatnonzero(counts)
     known = {"bucket": full, "docs": counts[full]}
     yield pa.record_batch([pa.array(known[c], k) if c in known else pa.nulls(len(full), k) for c, k in zip(names, kinds)], names=names)
 
 
+def _rare_first(own: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """By bucket count, then by hash: one sort on both where their leading bits tell all apart."""
+    common = rarity[_bucket(own)]
+    key = (np.minimum(common, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (own >> np.uint64(24))
+    order = np.argsort(key)
+    if common.max() >= (1 << 24) - 1 or (key[order[1:]] == key[order[:-1]]).any():
+        order = np.lexsort((own, common))
+    return own[order]
+
+
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int) -> Iterator[pa.RecordBatch]:
     rarity, seen = shared.value, set()
     for _, texts in _slices(batches):
@@ -121,8 +131,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int
                 seen.clear()
             seen.add(sig)
             first = len(own) - -(-percent * len(own) // 100) + 1
-            common = rarity[_bucket(own)]
-            tokens.append(own[np.lexsort((own, common))[:first]])
+            tokens.append(_rare_first(own, rarity)[:first])
             sigs.append(np.full(first, sig, np.int64))
             sizes.append(np.full(first, len(own), np.int32))
             places.append(np.arange(first, dtype=np.int32))
@@ -188,48 +197,61 @@ def _stars(batches: Iterator[pa.RecordBatch], before: int, percent: int) -> Iter
 
 
 def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within each block (token, low, high); rows come sorted by block."""
-    kept = None
-
-    def pairs(block):
-        _, low, high, sig, n, place, root, part, parts = block
-        order = np.argsort(n, kind="stable")
-        sig, n, place, root, part, parts = (c[order] for c in (sig, n, place, root, part, parts))
-        for k in range(len(sig)):  # each against the longer ones that the length filter admits
-            stop = np.searchsorted(n, 100 * n[k] // percent, side="right")
-            if stop <= k + 1:
-                continue
-            others = slice(k + 1, stop)
-            ok = (root[others] != root[k]) & _may_link(n[k : k + 1], place[k : k + 1], n[others], place[others], percent)
-            if low[0] != high[0]:
-                ok &= part[others] != part[k]
-            at = k + 1 + np.flatnonzero(ok)
-            if len(at):
-                over = np.minimum(parts[at], parts[k]).sum(axis=1)  # the suffix filter
-                at = at[(100 + percent) * over >= percent * (n[at] + n[k])]
-            if len(at):
-                yield np.minimum(sig[at], sig[k]), np.maximum(sig[at], sig[k])
-
-    def of(block):
-        found = list(pairs(block))
-        if found:
-            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names=["a", "b"])
-
+    """Pairs of different components within each block (token, low, high) that the filters let pass; rows come sorted by block."""
+    kept = np.zeros((0, 8), np.int64)  # rows of the last block, which may go on
     for batch in batches:
-        columns = [batch.column(k).to_numpy().astype(np.int64) for k in range(8)]
-        columns.append(np.frombuffer(b"".join(batch.column(8).to_pylist()), "<i4").reshape(-1, PARTS).astype(np.int64))
-        if kept is not None:
-            columns = [np.concatenate(c) for c in zip(kept, columns)]
-        if not len(columns[0]):
+        fresh = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(8)], axis=1)  # token, low, high, sig, n, place, root, part
+        if not len(fresh):
             continue
-        cuts = np.flatnonzero((columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1]) | (columns[2][1:] != columns[2][:-1])) + 1
-        edges = [0, *cuts.tolist()]
-        for a, b in zip(edges, edges[1:]):
-            if b > a + 1:
-                yield from of([c[a:b] for c in columns])
-        kept = [c[edges[-1] :] for c in columns]
-    if kept is not None:
-        yield from of(kept)
+        rows, old = np.concatenate([kept, fresh]), len(kept)
+        starts = np.ones(len(rows), bool)
+        starts[1:] = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+        first = np.maximum.accumulate(np.where(starts, np.arange(len(rows)), 0))
+        ahead = np.arange(old, len(rows)) - first[old:]  # rows of its block before each new row
+        for own in np.split(np.arange(old, len(rows)), np.flatnonzero(np.diff(np.cumsum(ahead) // 1_000_000)) + 1):
+            before = own - first[own]
+            mine = np.repeat(own, before)
+            theirs = np.arange(len(mine)) - np.repeat(np.cumsum(before) - before, before) + first[mine]
+            ok = rows[mine, 6] != rows[theirs, 6]
+            mine, theirs = mine[ok], theirs[ok]
+            ok = _may_link(rows[mine, 4], rows[mine, 5], rows[theirs, 4], rows[theirs, 5], percent) & ((rows[mine, 1] == rows[mine, 2]) | (rows[mine, 7] != rows[theirs, 7]))
+            x, y = rows[mine[ok], 3], rows[theirs[ok], 3]
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+            yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        kept = rows[first[-1] :]
+
+
+def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of 8 to 16 bits for each n-gram of a set."""
+    for batch in batches:
+        out, sizes = [], []
+        for value in batch.column("hashes"):
+            own = np.frombuffer(value.as_buffer(), np.uint64)
+            bits = 1 << (8 * len(own)).bit_length()
+            filled = np.zeros(bits, np.uint8)
+            filled[(own % np.uint64(bits)).astype(np.int64)] = 1
+            out.append(np.packbits(filled).tobytes())
+            sizes.append(len(own))
+        yield pa.record_batch([batch.column("sig"), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], names=["sig", "size", "map"])
+
+
+def overlap_bound(x: np.ndarray, n1: int, y: np.ndarray, n2: int) -> int:
+    """What two sets can share at most, by their packed bitmaps; the larger one is folded to the size of the smaller."""
+    while len(x) != len(y):
+        long = x if len(x) > len(y) else y
+        half = long[: len(long) // 2] | long[len(long) // 2 :]
+        x, y = (half, y) if long is x else (x, half)
+    ones = lambda m: int(np.bitwise_count(m).sum())
+    return ones(x & y) + min(n1 - ones(x), n2 - ones(y))
+
+
+def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = []
+        for n1, one, n2, two in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4).to_pylist(), batch.column(5)):
+            most = overlap_bound(np.frombuffer(one.as_buffer(), np.uint8), n1, np.frombuffer(two.as_buffer(), np.uint8), n2)
+            keep.append((100 + percent) * most >= percent * (n1 + n2))
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -324,20 +346,24 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     prefixes = texts.mapInArrow(lambda b: _prefixes(b, rarity, size, percent), "token long, sig long, n int, place int")
     live = stored(prefixes.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(_live, "token long, sig long, n int, place int"), "live")
     rows = signed.where("bucket is null and n > 0")
-    classes = stored(rows.groupBy("sig").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parts").alias("parts")), "classes")
+    classes = stored(rows.groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "classes")
 
     tested: list[DataFrame] = []
     links: list[DataFrame] = []
 
     def verify(pairs: DataFrame) -> None:
         """Keep the linked ones of ``pairs`` that are new; each set is made from the text of one row of its class."""
-        for old in tested:
-            pairs = pairs.join(old, ["a", "b"], "left_anti")
+        if tested:
+            pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
         chosen = _sieved(texts, wanted).join(wanted.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text")
         sets = stored(chosen.mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary"), "sets").dropDuplicates(["sig"])
-        one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a")
+        maps = stored(sets.mapInArrow(_maps, "sig long, size int, map binary"), "maps")
+        one = pairs.join(maps.select(F.col("sig").alias("a"), F.col("size").alias("n1"), F.col("map").alias("x")), "a")
+        both = one.join(maps.select(F.col("sig").alias("b"), F.col("size").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")
+        likely = stored(both.mapInArrow(lambda b: _plausible(b, percent), "a long, b long"), "likely")
+        one = likely.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a")
         both = one.join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
         links.append(stored(both.mapInArrow(lambda b: _verify(b, percent), "a long, b long"), "verified"))
 
@@ -357,9 +383,9 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
         turn = F.xxhash64("sig", F.pmod("token", F.lit(leaders)), F.lit(number))
         stars = rooted().select("token", band.alias("band"), "sig", "n", "place", "root", turn.alias("turn"))
         verify(stars.repartition("token").sortWithinPartitions("token", "band", "turn").mapInArrow(lambda b, before=before: _stars(b, before, percent), "a long, b long").distinct())
-    parted = rooted().join(classes.select("sig", "parts"), "sig").withColumn("part", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
+    parted = rooted().withColumn("part", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     spread = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocks = spread.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "sig", "n", "place", "root", "part", "parts")
+    blocks = spread.select("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "sig", "n", "place", "root", "part")
     verify(blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high").mapInArrow(lambda b: _cross(b, percent), "a long, b long").distinct())
     return rows.union(signed.where("bucket is null and n = 0")).select("sig", "n", "doc_id", "text_hash"), functools.reduce(DataFrame.union, links)
 
