@@ -25,8 +25,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.llm.common import stored
+
 MIN_RUN = 8
 SHARD_BYTES = 16_000_000
+#: Hosts of more than one shard that may be broadcast.
+MOST_BROADCAST = 50_000
 HOST = r"^[^:]*://([^/?#]*)"
 
 # Elements and the words in class, id and role that mark what is not main text.
@@ -179,7 +183,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """Per row: ``page_id, url, text, n_chars``."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     narrow = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host)
-    large = narrow.groupBy("host").agg(F.ceil(F.sum(F.coalesce(F.length("html"), F.lit(0)).cast("long")) / SHARD_BYTES).cast("int").alias("shards")).where("shards > 1")
+    large = stored(narrow.groupBy("host").agg(F.ceil(F.sum(F.coalesce(F.length("html"), F.lit(0)).cast("long")) / SHARD_BYTES).cast("int").alias("shards")).where("shards > 1"), "large_hosts")
+    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large  # beyond that, pages meet it by a shuffle
     dealt = narrow.join(large, "host", "left").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1))).cast("int")).select("page_id", "url", "host", "shard", "html")
     packed = dealt.mapInArrow(_pages, "page_id long, url string, host string, shard int, packed binary")
     return packed.groupBy("host", "shard").applyInArrow(_shard, "page_id long, url string, text string, n_chars long")
