@@ -92,7 +92,8 @@ def reputation(hosts: DataFrame) -> DataFrame:
     rest = shrunk(F.col("ks") - F.col("kd"), F.col("ns") - F.col("nd"), F.lit(mean), s0)
     prior = shrunk(F.col("kd") - F.col("k"), F.col("nd") - F.col("n"), rest, s1)
     share, weight = shrunk(F.col("k"), F.col("n"), prior, s2), F.col("n") + s2
-    return joined.select("host", share.alias("share"), (share - Z * F.sqrt(share * (1 - share) / (weight + 1))).alias("low"))
+    low = share - Z * F.sqrt(share * (1 - share) / (weight + 1)) if whole["n"] else F.lit(0.0)
+    return joined.select("host", share.alias("share"), low.alias("low"))
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=RULES, most_bad: float = 0.4) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.common import held_out, stored
 
 MOST_ROWS, BINS, DEPTH, TREES, RATE, SHRINK = 20_000, 64, 4, 80, 0.15, 1.0
+STATISTICS = 24
 
 
 def _bytes(marks: str) -> list[int]:
@@ -32,7 +33,7 @@ def statistics(text: str | None) -> list[float]:
     """Shares and means that describe the whole text's form; nothing of its meaning."""
     words = text.split() if text else []
     if not words:
-        return [0.0] * 24
+        return [0.0] * STATISTICS
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     seen = np.bincount(raw, minlength=256)
     chars, n, lines = len(text), len(words), [x for x in text.split("\n") if x.strip()]
@@ -108,7 +109,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(batches: Iterator[pa.RecordBatch], model: Trees) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = np.array(batch.column("stats").to_pylist(), float).reshape(batch.num_rows, -1)
+        rows = np.array(batch.column("stats").to_pylist(), float).reshape(batch.num_rows, STATISTICS)
         yield pa.record_batch([batch.column("doc_id"), pa.array(model.score(rows))], names=["doc_id", "score"])
 
 
@@ -124,7 +125,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, column: str = "quality")
     described = stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_describe, "doc_id long, stats array<double>"), "statistics")
     # The sample is bounded, so it may be broadcast and come to the driver.
     sample = described.join(F.broadcast(labelled(labels, column)), "doc_id").select("label", "stats").collect()
-    rows = np.array([r["stats"] for r in sample], float).reshape(len(sample), -1)
+    rows = np.array([r["stats"] for r in sample], float).reshape(len(sample), STATISTICS)
     model = fit(rows, np.array([r["label"] for r in sample], float))
     scored = described.mapInArrow(lambda b: _score(b, model), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")

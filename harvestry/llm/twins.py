@@ -27,7 +27,7 @@ s as (select m, coalesce((select s from strengths where level = 0), 1000.0) as s
 prior as (select h.host, h.n, h.k, s2, (d.k - h.k + s1 * ((u.k - d.k + s0 * m) / (u.n - d.n + s0))) / (d.n - h.n + s1) as p
   from hosts h join domains d using (suffix, domain) join suffixes u using (suffix), s),
 share as (select host, (k + s2 * p) / (n + s2) as q, n + s2 as w from prior),
-low as (select host, q - 1.6449 * sqrt(q * (1 - q) / (w + 1)) as l from share)
+low as (select host, case when exists (select 1 from hosts where n > 0) then q - 1.6449 * sqrt(q * (1 - q) / (w + 1)) else 0 end as l from share)
 select page_id, host, path,
   case when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/en/1') then 'example.org/en/1'
        when (host = 'example.org' or host like '%.example.org') and starts_with(path, '/es/') then 'example.org/es/'
