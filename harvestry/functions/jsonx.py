@@ -37,10 +37,19 @@ def get_path(v: Column, path: str, kind: str = "variant") -> Column:
     return F.coalesce(*[F.try_variant_get(v, p, kind) for p in _paths(path)])
 
 
+def _truthy(v: Column) -> Column:
+    """Value as text; null for '', and for zero and false unless they are texts themselves."""
+    def choose(r: Column) -> Column:
+        dull = r["s"].isin("0", "false", "0.0") & (F.schema_of_variant(r["v"]) != "STRING")
+        return F.when((r["s"] != "") & ~dull, r["s"])
+
+    return let(F.struct(v.alias("v"), F.try_variant_get(v, "$", "string").alias("s")), choose)
+
+
 def text_at(v: Column, *paths: str) -> Column:
     """First path with text, stripped; '' when none. Zero, false and '' are skipped like the source's ``or`` chains."""
-    values = F.array(*[get_path(v, path, "string") for path in paths])
-    hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull() & ~x.isin("", "0", "false", "0.0")), F.lit(1))
+    values = F.array(*[_truthy(get_path(v, path)) for path in paths])
+    hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull()), F.lit(1))
     return F.coalesce(strip(hit), F.lit(""))
 
 
@@ -117,8 +126,8 @@ def enveloped(c: Column | str, content: str = "content", records: str = "result.
 def flatten_list(v: Column, fields: Mapping[str, Sequence[str]], dates: Sequence[str] = ()) -> Column:
     """List of objects to typed rows: aliases per field, month dates, all-blank rows dropped. Each object is opened once."""
     def text(item: Column, aliases: Sequence[str]) -> Column:
-        values = F.array(*[F.try_variant_get(F.try_element_at(item, F.lit(a)), "$", "string") for a in aliases])
-        hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull() & ~x.isin("", "0", "false", "0.0")), F.lit(1))
+        values = F.array(*[_truthy(F.try_element_at(item, F.lit(a))) for a in aliases])
+        hit = F.try_element_at(F.filter(values, lambda x: x.isNotNull()), F.lit(1))
         return F.coalesce(strip(hit), F.lit(""))
 
     def row(item: Column) -> Column:

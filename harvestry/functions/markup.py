@@ -467,33 +467,70 @@ def active_attr(html: Column | str, container: str, attribute: str, default: str
     return F.when(found != "", strip(found)).otherwise(default)
 
 
-LITERAL = r"""\s*("(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'|[^,"'\[\]{}()]+)\s*"""
+#: A whole quoted string, a bracket, a separator, or a run of anything else; possessive, so long literals need no stack.
+SCRIPT_TOKEN = r"""(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"?|'[^'\\]*+(?:\\.[^'\\]*+)*+'?|[(\[{]|[)\]}]|[,;]|[^"'()\[\]{},;]++"""
+
+
+def split_script(c: Column, separator: str) -> Column:
+    """Script text cut at the separators that stand in no string and no bracket."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), F.array().cast("array<string>").alias("done"))
+
+    def step(state: Column, token: Column) -> Column:
+        cut = (state["depth"] == 0) & (token == separator)
+        depth = state["depth"] + F.when(token.isin("(", "[", "{"), 1).when(token.isin(")", "]", "}"), -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(cut, "").otherwise(F.concat(state["open"], token)).alias("open"),
+                        F.when(cut, F.concat(state["done"], F.array(strip(state["open"])))).otherwise(state["done"]).alias("done"))
+
+    return F.aggregate(F.regexp_extract_all(c, F.lit(SCRIPT_TOKEN), F.lit(0)), start, step, lambda s: F.concat(s["done"], F.array(strip(s["open"]))))
+
+
+def script_value(c: Column) -> Column:
+    """Struct of the text before the first ``;`` in no string and no bracket, and whether there is one."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("value"), F.lit(False).alias("closed"))
+
+    def step(state: Column, token: Column) -> Column:
+        closed = state["closed"] | (state["depth"] == 0) & (token == ";")
+        depth = state["depth"] + F.when(token.isin("(", "[", "{"), 1).when(token.isin(")", "]", "}"), -1).otherwise(0)
+        return F.struct(depth.alias("depth"), F.when(closed, state["value"]).otherwise(F.concat(state["value"], token)).alias("value"), closed.alias("closed"))
+
+    return F.aggregate(F.regexp_extract_all(c, F.lit(SCRIPT_TOKEN), F.lit(0)), start, step)
 
 
 def script_aliases(html: Column | str, call: str = r"(?s)window\.[A-Z_]+=\(function\((.*?)\)\{.*?\}\((.*?)\)\);?\s*</script>") -> Column:
-    """Parameter names of a wrapping function to the arguments it is called with."""
+    """Parameter names of a wrapping function to the arguments it is called with, place by place."""
     names = F.transform(F.split(pick(html, call, 1), ","), strip)
-    values = F.transform(F.regexp_extract_all(pick(html, call, 2), F.lit(LITERAL), 1), strip)
+    values = split_script(pick(html, call, 2), ",")
     return let(F.struct(names.alias("n"), values.alias("v")), lambda r: first_wins(F.filter(
         F.transform(r.n, lambda n, i: F.struct(n.alias("key"), F.get(r.v, i).alias("value"))), lambda e: (e["key"] != "") & e["value"].isNotNull())))
 
 
 def unquote(c: Column) -> Column:
-    plain = F.regexp_replace(c, r"""^["'](.*)["']$""", "$1")
+    plain = F.regexp_replace(c, r"""(?s)^["'](.*)["']$""", "$1")
     plain = F.replace(F.replace(plain, F.lit("\\u002F"), F.lit("/")), F.lit('\\"'), F.lit('"'))
     return F.when(c.isin("null", "void 0", "undefined"), "").otherwise(F.replace(plain, F.lit("\\n"), F.lit("\n")))
 
 
 def script_assignments(html: Column | str, owner: str, aliases: Column) -> Column:
-    """``owner.key=value;`` statements as a map; bare names are looked up among the aliases, later statements win."""
-    pattern = rf"""\b\Q{owner}\E\.(\w+)\s*=\s*("(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'|[^;]+);"""
-    found = F.regexp_extract_all(col(html), F.lit(pattern), 0)
+    """``owner.key=value;`` statements as a map; values end at the ``;`` outside strings and brackets, and what stands inside a value is no
+    statement. Bare names are looked up among the aliases, later statements win."""
+    head = rf"\b\Q{owner}\E\.(?=\w+\s*=)"
+    pieces = F.split(col(html), head, -1)
+    none = F.array().cast("array<struct<key:string,raw:string>>")
+    start = F.struct(F.lit(None).cast("string").alias("key"), F.lit("").alias("open"), none.alias("done"))
+
+    def step(state: Column, piece: Column) -> Column:
+        fresh = state["key"].isNull()
+        key = F.when(fresh, F.regexp_extract(piece, r"^(\w+)", 1)).otherwise(state["key"])
+        text = F.when(fresh, F.regexp_replace(piece, r"^\w+\s*=", "")).otherwise(F.concat(state["open"], F.lit(owner + "."), piece))
+        return let(F.struct(key.alias("key"), text.alias("text"), script_value(text).alias("v")), lambda r: F.struct(
+            F.when(~r["v"]["closed"], r["key"]).alias("key"), F.when(~r["v"]["closed"], r["text"]).otherwise("").alias("open"),
+            F.when(r["v"]["closed"], F.concat(state["done"], F.array(F.struct(r["key"].alias("key"), strip(r["v"]["value"]).alias("raw"))))).otherwise(state["done"]).alias("done")))
+
+    found = F.aggregate(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), start, step, lambda s: s["done"])
 
     def build(r: Column) -> Column:
-        def one(s: Column) -> Column:
-            raw = strip(F.regexp_extract(s, pattern, 2))
-            return F.struct(F.regexp_extract(s, pattern, 1).alias("key"), let(raw, lambda x: unquote(F.coalesce(F.try_element_at(r.a, x), x))).alias("value"))
-        return last_wins(F.transform(r.f, one))
+        value = lambda raw: unquote(F.coalesce(F.try_element_at(r.a, raw), raw))
+        return last_wins(F.transform(r.f, lambda e: F.struct(e["key"].alias("key"), let(e["raw"], value).alias("value"))))
 
     return let(F.struct(found.alias("f"), aliases.alias("a")), build)
 

@@ -185,7 +185,8 @@ def first_non_empty(*cols: Column | str, entities: bool = False) -> Column:
 
 def labeled_value(c: Column | str, label: str, entities: bool = True) -> Column:
     """Text after the label, past blanks and tags, up to the next tag or line end."""
-    pattern = rf"(?i)\Q{label}\E(?:[{SPACE}]|&nbsp;|<[^>]+>)*([^<\r\n]+)"
+    # Possessive, so that any number of blanks needs no stack; blanks alone are an empty value.
+    pattern = rf"(?i)\Q{label}\E(?:(?:[{SPACE}]|&nbsp;|<[^>]+>)*+([^<\r\n]+)|(?=(?:<[^>]+>)*+(?:[{SPACE}]|&nbsp;)))"
     return norm_text(pick(c, pattern), entities=entities)
 
 

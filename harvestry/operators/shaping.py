@@ -19,8 +19,8 @@ def project(df: DataFrame, mapping: Mapping[str, str], required: Sequence[str] =
                       else F.lit("").alias(dst) for dst, src in mapping.items()])
     for name in required:
         if strict:
-            message = F.lit(f"missing {name}")
-            out = out.withColumn(name, F.when(F.col(name) == "", F.raise_error(message).cast("string")).otherwise(F.col(name)))
+            # A condition on kept rows: pruning columns, or counting, cannot drop it.
+            out = out.filter(F.when(F.col(name) == "", F.raise_error(F.lit(f"missing {name}")).cast("boolean")).otherwise(True))
         else:
             out = out.filter(F.col(name) != "")
     return out

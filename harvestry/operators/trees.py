@@ -6,29 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.operators.ordering import keep_first
-from harvestry.session import pinned
+from harvestry.session import scratch_path
 
-MAX_DEPTH = 64
 
+def flatten_tree(nodes: DataFrame, node: str, parent: str, order: str) -> DataFrame:
+    """Every node below the roots once, with depth and a path of (order, node) that sorts in preorder.
 
-def flatten_tree(nodes: DataFrame, node: str, parent: str, order: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Every node below the roots once, with depth and a path that sorts in preorder.
-
-    One join per level; each level is pinned, so lineage stays short and a lost executor costs one level.
-    A tree deeper than ``max_depth`` (or a cycle) is an error, never a silent cut.
+    One join per level; each level is written to the shared folder, so lineage stays short and a lost executor costs one level. Trees may
+    have any depth. A row whose node already stands on its own path (a cycle) is left out.
     """
-    step = F.concat(F.lpad(F.col(order).cast("string"), 12, "0"), F.lit("."), F.col(node).cast("string"))
-    level = pinned(nodes.filter(F.col(parent).isNull()).select(F.col(node), step.alias("path"), F.lit(0).alias("depth")))
-    links = nodes.filter(F.col(parent).isNotNull()).select(F.col(node), F.col(parent), step.alias("_step"))
-    levels = [level]
-    while not level.isEmpty():
-        if len(levels) > max_depth:
-            raise ValueError(f"tree deeper than {max_depth}")
+    spark, folder = nodes.sparkSession, scratch_path(nodes.sparkSession, "tree")
+    step = F.array(F.struct(F.col(order).alias("order"), F.col(node).alias("node")))
+    level = nodes.filter(F.col(parent).isNull()).select(F.col(node), step.alias("path"), F.lit(0).alias("depth"))
+    links, schema, written = nodes.filter(F.col(parent).isNotNull()).select(F.col(node), F.col(parent), step.alias("_step")), level.schema, []
+    while True:
+        written.append(f"{folder}/{len(written)}")
+        level.write.parquet(written[-1])
+        level = spark.read.schema(schema).parquet(written[-1])
+        if level.isEmpty():
+            break
         above = level.select(F.col(node).alias(parent), F.col("path").alias("_above"), "depth")
-        level = pinned(links.join(above, parent).select(node, F.concat_ws("/", "_above", "_step").alias("path"), (F.col("depth") + 1).alias("depth")))
-        levels.append(level)
-    out = levels[0]
-    for extra in levels[1:]:
-        out = out.unionByName(extra)
+        below = links.join(above, parent).filter(~F.array_contains(F.col("_above")["node"], F.col(node)))
+        level = below.select(node, F.concat("_above", "_step").alias("path"), (F.col("depth") + 1).alias("depth"))
+    out = spark.read.schema(schema).parquet(*written)
     usable = out.filter(F.col(node).isNotNull() & (F.col(node).try_cast("bigint") > 0))
     return keep_first(usable, [node], ["path"])

@@ -51,7 +51,7 @@ def g3(t):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
     rows = t.wide("lineitem").select(*keys, jx.parse_payload(body).alias("v")).select(*keys, F.explode(jx.records_of(F.col("v"))).alias("r"))
     read = rows.select(*keys, jx.text_at(F.col("r"), "id").alias("id"), jx.text_at(F.col("r"), "groupName").alias("name"))
-    return read.filter((F.col("id") != "") & (F.col("name") != "") & (F.col("name") != "全部"))
+    return read.filter(~F.col("id").isin("", "0") & (F.col("name") != "") & (F.col("name") != "全部"))
 
 
 @query("g4_page_info", """

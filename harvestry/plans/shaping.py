@@ -173,7 +173,7 @@ def p17(t):
 select doc_id, doc_id % 7 in (0, 1, 2, 5, 6) as noise from documents""")
 def p18(t):
     k = F.col("doc_id") % 7
-    line = (F.when(k == 0, F.concat(F.lit("当前位置：首页 > "), F.substring("text", 1, 20))).when(k == 1, " 关闭本页 ").when(k == 2, F.concat(F.lit("CA办理及相关咨询请点击"), F.col("source")))
+    line = (F.when(k == 0, F.concat(F.lit("当前位置：首页 > "), F.col("text"))).when(k == 1, " 关闭本页 ").when(k == 2, F.concat(F.lit("CA办理及相关咨询请点击"), F.col("source")))
             .when(k == 3, "当前位置 发布人：甲").when(k == 5, F.concat(F.lit("see x.example.com/helpca/index.jsp#nav-7 "), F.col("lang")))
             .when(k == 6, "HTTP://x/new_flogin/login.do?a").otherwise(F.col("text")))
     return t.documents.select("doc_id", sh.is_noise_text(line).alias("noise"))

@@ -14,13 +14,12 @@ PATH = r"regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1)"
 
 
 @query("l1_absolute_url", f"""
-select page_id, {BASE} || '/list/' || page_id || '.html' as rooted, case page_id % 3 when 0 then 'https://x.example.com/a?b=1' when 1 then {BASE} || regexp_extract({PATH}, '^(.*/)', 1) || 'next.html' else {BASE} || regexp_replace({PATH}, '[^/]+/[^/]*$', '') || 'up.html' end as mixed from pages
-where {PATH} like '/%/%'""")
+with p as (select page_id, {BASE} as base, case when {PATH} = '' then '/' else regexp_replace({PATH}, '[^/]*$', '') end as dir from pages)
+select page_id, base || '/list/' || page_id || '.html' as rooted, case page_id % 3 when 0 then 'https://x.example.com/a?b=1' when 1 then base || dir || 'next.html' else base || case when dir = '/' then '/' else regexp_replace(dir, '[^/]+/$', '') end || 'up.html' end as mixed from p""")
 def l1(t):
     k = F.col("page_id") % 3
     href = F.when(k == 0, " https://x.example.com/a?b=1").when(k == 1, "next.html").otherwise("../up.html")
-    base = t.pages.filter(urls.url_path("url").like("/%/%"))
-    return base.select("page_id", urls.absolute_url("url", F.concat(F.lit("/list/"), F.col("page_id"), F.lit(".html"))).alias("rooted"), urls.absolute_url("url", href).alias("mixed"))
+    return t.pages.select("page_id", urls.absolute_url("url", F.concat(F.lit("/list/"), F.col("page_id"), F.lit(".html"))).alias("rooted"), urls.absolute_url("url", href).alias("mixed"))
 
 
 @query("l2_asset_url", f"""

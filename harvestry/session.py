@@ -55,9 +55,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work when the input has fewer partitions than the session has cores.
+    """Deal few large splits over all cores, where the session asks for it by ``spark.harvestry.spread``; else ``df`` as it is.
 
-    A few unsplit files would leave a cluster idle. Inputs with enough partitions pass through without a shuffle.
+    It shuffles whole rows, so it is for single unsplit files on one machine and off unless set.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    if spark.conf.get("spark.harvestry.spread", "false") != "true":
+        return df
+    cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,8 +13,9 @@ from harvestry.functions.text import is_blank, strip
 RECORD_LISTS = ("records", "items", "data")
 
 
-def _must(ok: Column, value: Column, message: str) -> Column:
-    return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast("variant"))
+def _must(ok: Column, message: str) -> Column:
+    """A condition that holds or fails the job; as a filter it stays even if no column is read."""
+    return F.when(ok, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
 
 
 def read_records(spark: SparkSession, path: str, lines: bool | None = None) -> DataFrame:
@@ -30,12 +31,12 @@ def read_records(spark: SparkSession, path: str, lines: bool | None = None) -> D
         raise ValueError("input is empty")
     parsed = F.try_parse_json(strip(F.col("value")))
     if lines:
-        return text.select(_must(is_object(parsed), parsed, "line is not a JSON object").alias("record"))
+        return text.filter(_must(is_object(parsed), "line is not a JSON object")).select(parsed.alias("record"))
     lists = [get_path(parsed, k) for k in RECORD_LISTS]
     all_objects = lambda v: F.coalesce(F.size(as_items(v)) == F.size(F.try_variant_get(v, "$", "array<variant>")), F.lit(False))
     chosen = F.when(is_list(parsed), parsed).otherwise(F.coalesce(*[F.when(is_list(x) & all_objects(x), x) for x in lists]))
-    checked = _must(is_list(chosen) & all_objects(chosen), chosen, "no list of objects in the file")
-    return text.select(checked.alias("v")).select(F.explode(as_items(F.col("v"))).alias("record"))
+    checked = text.filter(_must(is_list(chosen) & all_objects(chosen), "no list of objects in the file"))
+    return checked.select(chosen.alias("v")).select(F.explode(as_items(F.col("v"))).alias("record"))
 
 
 def read_delimited(spark: SparkSession, path: str, encoding: str = "GB18030", schema: str | None = None) -> DataFrame:

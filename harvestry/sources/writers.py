@@ -102,10 +102,13 @@ def safe_replace(df: DataFrame, path: str, expected: int, backup: str | None = N
     written = spark.read.parquet(temp).count()
     if written != expected:
         raise RuntimeError(f"count check failed: expected {expected}, wrote {written}")
-    if fs.exists(target) and not fs.rename(target, old):
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
         raise RuntimeError(f"could not move {path} to {backup}")
     if not fs.rename(new, target):
-        raise RuntimeError(f"could not move {temp} to {path}")
+        if had and not fs.rename(old, target):
+            raise RuntimeError(f"could not move {temp} to {path}; the old data is at {backup}")
+        raise RuntimeError(f"could not move {temp} to {path}; the old data is back")
     return written
 
 
