@@ -41,7 +41,7 @@ BLOCK_ROWS = 4000
 #: Word hashes and sets that a task remembers; forgetting costs time only.
 REMEMBERED = 150_000
 #: For each of the first rounds: leaders that a text may meet, and how many rows before its own in the list it meets as well.
-STAR_ROUNDS = ((4, 0), (64, 4), (64, 8), (64, 8))
+STAR_ROUNDS = ((4, 0), (64, 8))
 #: Bits of the map of wanted ids (8 MB).
 MOST_BITS = 1 << 26
 SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long"
@@ -272,7 +272,7 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 
 def _bits(keys: DataFrame) -> int:
-    return min(MOST_BITS, 1 << max(10, (8 * keys.count()).bit_length()))
+    return min(MOST_BITS, 1 << max(10, (32 * keys.count()).bit_length()))
 
 
 def _bitmap(keys: DataFrame, place: Column, bits: int):
@@ -292,7 +292,7 @@ def _sift(batches: Iterator[pa.RecordBatch], shared, there: bool) -> Iterator[pa
 
 
 def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` that may have a wanted id, before they are shuffled. A full map only lets more through."""
+    """Rows of ``texts`` that have a wanted id, and few others. A full map lets more through, which then join with nothing."""
     bits = _bits(wanted)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     map_ = _bitmap(wanted, place, bits)
@@ -303,12 +303,12 @@ def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root`` of every node of the undirected ``links(a, b)``: large-star and small-star until nothing changes."""
     def star(edges: DataFrame, large: bool) -> DataFrame:
-        both = stored(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b") if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b"), "star")
+        """Hang neighbours on the smallest one of a neighbourhood: those above the node, or those below it and the node. ``least`` is written
+        before it is joined, so that a node with very many links can be split."""
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
         least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        moved = both.join(least, "a")
-        if large:  # neighbours above hang on the smallest of the neighbourhood
-            return moved.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
+        moved = both.join(least, "a").where("b > a" if large else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        return stored((moved if large else moved.union(least.select("a", F.col("m").alias("b")))).distinct(), "links")
 
     def state_of(edges: DataFrame):
         return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
@@ -316,7 +316,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     last = state_of(edges)
     for _ in range(rounds):
-        edges = stored(star(star(edges, True).distinct(), False).distinct(), "links")
+        edges = star(star(edges, True), False)
         if (state := state_of(edges)) == last:
             break
         last = state
@@ -352,13 +352,12 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     links: list[DataFrame] = []
 
     def verify(pairs: DataFrame) -> None:
-        """Keep the linked ones of ``pairs`` that are new; each set is made from the text of one row of its class."""
+        """Keep the linked ones of ``pairs`` that are new; sets are made again from the texts of the classes' first rows."""
         if tested:
             pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-        chosen = _sieved(texts, wanted).join(wanted.select(F.col("doc_id").alias("id")).distinct(), F.col("doc_id").eqNullSafe(F.col("id"))).select("doc_id", "text")
-        sets = stored(chosen.mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary"), "sets").dropDuplicates(["sig"])
+        sets = stored(_sieved(texts, wanted).mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary").dropDuplicates(["sig"]), "sets")
         maps = stored(sets.mapInArrow(_maps, "sig long, size int, map binary"), "maps")
         one = pairs.join(maps.select(F.col("sig").alias("a"), F.col("size").alias("n1"), F.col("map").alias("x")), "a")
         both = one.join(maps.select(F.col("sig").alias("b"), F.col("size").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")
