@@ -188,7 +188,7 @@ def test_line_rules(docs, rows):
 
 
 def test_line_verdicts(spark):
-    good = "\n".join(" ".join(f"Word{k * j} and other{k + j}" for j in range(9)) + ", I hope." for k in range(8))
+    good = "\n".join(" ".join(f"Word{k}x{j} and other{k}y{j}" for j in range(9)) + ", I hope." for k in range(8))
     bad = ["HERE!! ALL!! WORDS!! ARE!! LOUD!! " * 15 + str(k) for k in range(3)]
     texts = [good, good + "\nHome\n© 2020 All rights reserved\n" + "a | b | c | d", "\n".join(bad), "\n".join(f"cell{k} | cell | other{k} | more{k * k}" for k in range(30)), "word%%% other### third&&& " * 20 + "end", None, "short"]
     got = linerules.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
