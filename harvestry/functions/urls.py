@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import mimetypes
 from collections.abc import Mapping, Sequence
-from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -123,21 +123,24 @@ def canonical_request(url: Column, method: Column | None = None, meta: Column |
     return F.to_json(F.struct(*parts), {"ignoreNullFields": "true"})
 
 
+def _decoded(c: Column) -> Column:
+    """Form-decoded text; broken escapes stay as they are."""
+    return F.coalesce(F.try_url_decode(c), F.translate(c, "+", " "))
+
+
+def _encoded(c: Column) -> Column:
+    """Form encoding in which ``~`` stays and ``*`` is escaped."""
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def set_query_param(c: Column | str, values: Mapping[str, Column]) -> Column:
-    """Add or replace query parameters, keep the others in place. Blank values change nothing."""
-    keys = list(values)
-
-    @F.pandas_udf(StringType())
-    def rewrite(urls: pd.Series, params: pd.DataFrame) -> pd.Series:
-        out = []
-        for url, row in zip(urls, params.itertuples(index=False)):
-            if url is None:
-                out.append(None)
-                continue
-            parts = urlsplit(url)
-            query = dict(parse_qsl(parts.query, keep_blank_values=True))
-            query.update({k: v for k, v in zip(keys, row) if v})
-            out.append(urlunsplit(parts._replace(query=urlencode(query))))
-        return pd.Series(out)
-
-    return rewrite(col(c), F.struct(*[collapse(v).alias(k) for k, v in values.items()]))
+    """Add or replace query parameters, keep the others in place; of repeated ones the last value counts. Blank values change nothing."""
+    url = col(c)
+    field = lambda x: F.struct(_decoded(F.substring_index(x, "=", 1)).alias("k"), _decoded(pick(x, r"(?s)^[^=]*=(.*)$", 1)).alias("v"))
+    old = F.transform(F.filter(F.split(pick(url, r"^[^?#]*\?([^#]*)", 1), "&"), lambda x: x != ""), field)
+    new = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.coalesce(collapse(v), F.lit("")).alias("v")) for k, v in values.items()]), lambda e: e["v"] != "")
+    last = lambda entries, key: F.element_at(F.filter(entries, lambda e: e["k"] == key), -1)["v"]
+    query = let(F.concat(old, new), lambda e: F.array_join(F.transform(F.array_distinct(F.transform(e, lambda x: x["k"])), lambda k: F.concat(_encoded(k), F.lit("="), _encoded(last(e, k)))), "&"))
+    scheme, base, fragment = pick(url, r"^([A-Za-z][A-Za-z0-9+.\-]*:)?", 1), pick(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?([^?#]*)", 1), pick(url, r"(?s)#(.+)$", 1)
+    marked = lambda mark, part: F.when(part != "", F.concat(F.lit(mark), part)).otherwise("")
+    return F.when(url.isNotNull(), F.concat(F.lower(scheme), base, let(query, lambda q: marked("?", q)), marked("#", fragment)))

@@ -95,3 +95,19 @@ def test_failed_swap_puts_the_old_data_back(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError, match="old data is back"):
         writers.safe_replace(spark.range(5), target, 5)
     assert spark.read.parquet(target).count() == 3
+
+
+def test_query_parameters(one):
+    from urllib.parse import parse_qsl, urlencode, urlsplit, urlunsplit
+
+    from harvestry.functions.urls import set_query_param
+
+    for url in ("HTTP://x.org/a?b=1&c=%E4%BD%A0+z&b=2&d&=e#f", "http://x.org", "http://x.org/?#", "?a=%zz&~*=~*", "x?b=9", ""):
+        parts = urlsplit(url)
+        want = urlunsplit(parts._replace(query=urlencode(dict(parse_qsl(parts.query, keep_blank_values=True)) | {"b": "n w", "é": "ü&"})))
+        assert one(set_query_param("u", {"b": F.lit(" n  w "), "none": F.lit(" "), "é": F.lit("ü&")}), u=url) == want
+
+
+def test_long_comments_need_no_stack(one):
+    assert one(markup.clean_html("h"), h="<p>a</p><!--" + "x-" * 200_000 + "关闭本页 -->b") == "<p>a</p>b"
+    assert "y" in one(markup.clean_html("h"), h="<!-- x -->y<p>关闭本页</p>")
