@@ -41,7 +41,7 @@ BLOCK_ROWS = 4000
 #: Word hashes and sets that a task remembers; forgetting costs time only.
 REMEMBERED = 150_000
 #: For each of the first rounds: leaders that a text may meet, and how many rows before its own in the list it meets as well.
-STAR_ROUNDS = ((4, 0), (64, 8))
+STAR_ROUNDS = ((4, 0), (64, 6), (64, 8))
 #: Bits of the map of wanted ids (8 MB).
 MOST_BITS = 1 << 26
 SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long"
@@ -221,18 +221,12 @@ def _cross(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         kept = rows[first[-1] :]
 
 
-def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bitmaps of 8 to 16 bits for each n-gram of a set."""
-    for batch in batches:
-        out, sizes = [], []
-        for value in batch.column("hashes"):
-            own = np.frombuffer(value.as_buffer(), np.uint64)
-            bits = 1 << (8 * len(own)).bit_length()
-            filled = np.zeros(bits, np.uint8)
-            filled[(own % np.uint64(bits)).astype(np.int64)] = 1
-            out.append(np.packbits(filled).tobytes())
-            sizes.append(len(own))
-        yield pa.record_batch([batch.column("sig"), pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], names=["sig", "size", "map"])
+def _map_of(own: np.ndarray) -> bytes:
+    """Bitmap of 8 to 16 bits for each n-gram of a set."""
+    bits = 1 << (8 * len(own)).bit_length()
+    filled = np.zeros(bits, np.uint8)
+    filled[(own % np.uint64(bits)).astype(np.int64)] = 1
+    return np.packbits(filled).tobytes()
 
 
 def overlap_bound(x: np.ndarray, n1: int, y: np.ndarray, n2: int) -> int:
@@ -266,9 +260,10 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for ids, texts in _slices(batches):
-        found = [(_signature(own), own.tobytes()) for own in (shingle_set(t, size) for t in texts)]
-        yield pa.record_batch([pa.array([s for s, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], names=["sig", "hashes"])
+    names, kinds = ["sig", "n", "hashes", "map"], (pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    for _, texts in _slices(batches):
+        found = [(_signature(own), len(own), own.tobytes(), _map_of(own)) for own in (shingle_set(t, size) for t in texts)]
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
 
 def _bits(keys: DataFrame) -> int:
@@ -291,13 +286,13 @@ def _sift(batches: Iterator[pa.RecordBatch], shared, there: bool) -> Iterator[pa
         yield batch.filter(pa.array(((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1) == there))
 
 
-def _sieved(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` that have a wanted id, and few others. A full map lets more through, which then join with nothing."""
+def _sieved(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` is among those of ``wanted``, and few others. A full map lets more through, which then join with nothing."""
     bits = _bits(wanted)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
     map_ = _bitmap(wanted, place, bits)
-    placed = texts.select("doc_id", "text", place.alias("place"))
-    return placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).select("doc_id", "text")
+    placed = rows.withColumn("_place", place)
+    return placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).drop("_place")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -310,19 +305,20 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         moved = both.join(least, "a").where("b > a" if large else "b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return stored((moved if large else moved.union(least.select("a", F.col("m").alias("b")))).distinct(), "links")
 
-    def state_of(edges: DataFrame):
-        return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1_000_003)).first()
+    def settled(edges: DataFrame) -> bool:
+        """Whether every node hangs on one root, and no root on another node."""
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up")).union(edges.select("b", F.lit(0)))
+        known = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+        return known.where("ups > 1 or ups = 1 and n > 1").isEmpty()
 
     edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-    last = state_of(edges)
     for _ in range(rounds):
-        edges = star(star(edges, True), False)
-        if (state := state_of(edges)) == last:
+        if settled(edges):
             break
-        last = state
+        edges = star(star(edges, True), False)
     else:
         raise RuntimeError("components did not settle")
-    own = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
+    own = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stored(own.union(own.select(F.col("root").alias("node"), "root")).distinct(), "roots")
 
 
@@ -357,13 +353,13 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
             pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-        sets = stored(_sieved(texts, wanted).mapInArrow(lambda b: _sets(b, size), "sig long, hashes binary").dropDuplicates(["sig"]), "sets")
-        maps = stored(sets.mapInArrow(_maps, "sig long, size int, map binary"), "maps")
-        one = pairs.join(maps.select(F.col("sig").alias("a"), F.col("size").alias("n1"), F.col("map").alias("x")), "a")
-        both = one.join(maps.select(F.col("sig").alias("b"), F.col("size").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")
+        sets = stored(_sieved(texts, "doc_id", wanted).mapInArrow(lambda b: _sets(b, size), "sig long, n int, hashes binary, map binary").dropDuplicates(["sig"]), "sets")
+        one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("map").alias("x")), "a")
+        both = one.join(sets.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")
         likely = stored(both.mapInArrow(lambda b: _plausible(b, percent), "a long, b long"), "likely")
-        one = likely.join(sets.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a")
-        both = one.join(sets.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
+        full = _sieved(sets.select("sig", "hashes"), "sig", likely.select(F.col("a").alias("sig")).union(likely.select("b")))
+        one = likely.join(full.select(F.col("sig").alias("a"), F.col("hashes").alias("x")), "a")
+        both = one.join(full.select(F.col("sig").alias("b"), F.col("hashes").alias("y")), "b").select("a", "b", "x", "y")
         links.append(stored(both.mapInArrow(lambda b: _verify(b, percent), "a long, b long"), "verified"))
 
     def rooted() -> DataFrame:

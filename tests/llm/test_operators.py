@@ -356,3 +356,11 @@ def test_trees_separate_what_one_cut_cannot():
     model = quality.fit(rows[:1500], labels[:1500])
     assert ((model.score(rows[1500:]) > 0.5) == (labels[1500:] > 0.5)).mean() > 0.95
     assert model.score(np.zeros((0, 3))).shape == (0,)
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    edges = [(k, k + 1) for k in range(25)] + [(100, k) for k in range(101, 130)] + [(200 + k, 200 + (k + 1) % 9) for k in range(9)] + [(7, 3), (300, 300)]
+    got = {r["node"]: r["root"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {**dict.fromkeys(range(26), 0), **dict.fromkeys(range(100, 130), 100), **dict.fromkeys(range(200, 209), 200)}
+    assert got == want
+    assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
