@@ -286,13 +286,16 @@ def _sift(batches: Iterator[pa.RecordBatch], shared, there: bool) -> Iterator[pa
         yield batch.filter(pa.array(((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1) == there))
 
 
-def _sieved(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose ``key`` is among those of ``wanted``, and few others. A full map lets more through, which then join with nothing."""
+def _sieved(rows: DataFrame, key: str, wanted: DataFrame, then=None, schema: str | None = None) -> DataFrame:
+    """Rows whose ``key`` is among those of ``wanted``, and few others; ``then`` goes on with them in the same Python worker. A full map lets more
+    through, which then join with nothing."""
     bits = _bits(wanted)
     place = F.pmod(F.xxhash64(key), F.lit(bits))
     map_ = _bitmap(wanted, place, bits)
     placed = rows.withColumn("_place", place)
-    return placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).drop("_place")
+    if then is None:
+        return placed.mapInArrow(lambda b: _sift(b, map_, True), placed.schema).drop("_place")
+    return placed.mapInArrow(lambda b: then(_sift(b, map_, True)), schema)
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -353,7 +356,8 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
             pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-        sets = stored(_sieved(texts, "doc_id", wanted).mapInArrow(lambda b: _sets(b, size), "sig long, n int, hashes binary, map binary").dropDuplicates(["sig"]), "sets")
+        made = _sieved(texts, "doc_id", wanted, lambda b: _sets(b, size), "sig long, n int, hashes binary, map binary")
+        sets = stored(made.dropDuplicates(["sig"]), "sets")
         one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("map").alias("x")), "a")
         both = one.join(sets.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")
         likely = stored(both.mapInArrow(lambda b: _plausible(b, percent), "a long, b long"), "likely")

@@ -102,8 +102,9 @@ class Lexicon:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
-            found[label].update(terms(text))
+        for at in range(0, batch.num_rows, 500):
+            for label, text in zip(batch.column("label").slice(at, 500).to_pylist(), batch.column("text").slice(at, 500).to_pylist()):
+                found[label].update(terms(text))
         names = list(found[0].keys() | found[1].keys())
         yield pa.record_batch([pa.array(names, pa.string()), *(pa.array([found[k][t] for t in names], pa.int64()) for k in (1, 0))], names=["term", "n1", "n0"])
 
@@ -162,8 +163,10 @@ def toxicity_scores(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 def _spare(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, most: float) -> Iterator[pa.RecordBatch]:
     automaton = lexicon.automaton()
     for batch in batches:
-        found = np.array([lexicon.features(t, automaton) for t in batch.column("text").to_pylist()]).reshape(-1, 2)
-        yield batch.filter(pa.array(lexicon.score(found) < most))
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            found = np.array([lexicon.features(t, automaton) for t in part.column("text").to_pylist()]).reshape(-1, 2)
+            yield part.filter(pa.array(lexicon.score(found) < most))
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:
