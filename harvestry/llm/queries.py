@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity, twins
+from harvestry.llm import chat, decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity, twins
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_file(), SEQUENCE_TOKENS)
 
 
+@query("op2_chat_formatting")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.format_chats(table(spark, folder, "conversations"))
+
+
 @query("op3_toxicity_lexicon")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from harvestry.llm import decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity
+from harvestry.llm import chat, decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity
 from harvestry.llm.queries import tokenizer_file
 
 KEY = lambda r: tuple((x is None, str(x)) for x in r)
@@ -364,3 +364,39 @@ def test_components_of_paths_stars_and_rings(spark):
     want = {**dict.fromkeys(range(26), 0), **dict.fromkeys(range(100, 130), 100), **dict.fromkeys(range(200, 209), 200)}
     assert got == want
     assert jaccard.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# Chats
+
+
+def test_chats(spark):
+    text = "System: You are kind.\nUser: Hi\nHow are you?\n### Assistant\nFine.\n\nThanks: a lot\n<|im_start|>user\nBye<|im_end|>"
+    given_ = [(1, 0, None, text, "c"), (1, 0, None, text, "c"), (1, 1, "user", None, "c"), (None, None, "odd", " \n", "c"), (2, 1, "assistant", "A plain line.", "c"), (3, 0, "user", "What?", "c"), (4, 2, "user", "x\n" * 20_000, "c")]
+    df = spark.createDataFrame(given_, "conv_id long, turn long, role string, text string, rendered string")
+    got = chat.format_chats(df).collect()
+    first = [r for r in got if r["conv_id"] == 1 and r["turn"] == 0]
+    assert len(got) == 7 and len(first) == 2 and first[0] == first[1]
+    assert first[0]["roles"] == "system,user,assistant,user" and first[0]["rendered"].startswith("<|system|>\nYou are kind.\n<|end|>\n<|user|>\nHi\nHow are you?\n<|end|>\n<|assistant|>\nFine.")
+    assert {(r["conv_id"], r["rendered"], r["n_turns"]) for r in got if not r["n_turns"]} == {(1, "", 0), (None, "", 0)}
+    assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_viterbi_is_the_best_path():
+    from itertools import product
+
+    chances = {f: np.log(v) for f, v in {"length2": np.array([0.1, 0.6, 0.2, 0.1]), "length1": np.array([0.1, 0.2, 0.6, 0.1]), "open": np.array([0.3, 0.2, 0.4, 0.1])}.items()}
+    for lines in product(("a", "bc", "User: bc", "bot: a"), repeat=4):
+        turns = chat.viterbi("\n".join(lines), 0, chances)
+        best = None
+        for path in product(range(4), repeat=4):
+            total = 0.0
+            for at, (line, role) in enumerate(zip(lines, path)):
+                mark, rest = chat.marker(line)
+                total += sum(chances[f][role] for f in chat.features(rest, 0, at == 0) if f in chances)
+                if mark:
+                    total += np.log(chat.TRUE_MARK if chat.ROLES[role] == mark else (1 - chat.TRUE_MARK) / 3)
+                if at:
+                    total += -np.log(4) if mark else np.log(chat.STAY if path[at - 1] == role else (1 - chat.STAY) / 3)
+            best = max(best or (-1e9, ()), (total, path))
+        want = [chat.ROLES[r] for at, r in enumerate(best[1]) if not at or r != best[1][at - 1] or chat.marker(lines[at])[0]]
+        assert [r for r, _ in turns] == want
