@@ -1,7 +1,7 @@
 """Chat formatting: a hidden Markov model over lines recovers who speaks, and turns are rendered in one canonical form.
 
 States are the roles. A line emits features: the speaker marker at its start, if any, and its length, ending and look; the first line also
-emits its row's turn number. A role's chances of each feature are counted over all rows by their given role (add-one smoothing); markers and staying in
+emits its row's turn number, and a role's share of rows is its chance to start. A role's chances of each feature are counted over all rows by their given role (add-one smoothing); markers and staying in
 a role have fixed chances. Viterbi picks the likeliest roles of a row's lines; neighbouring lines of a role make a turn. The given role serves to
 count only, never to decide. Each row is one transcript, so a conversation of any size is spread over all tasks and nothing is shuffled
 but at most ``len(ROLES) * MOST_FEATURES`` counts.
@@ -73,7 +73,7 @@ def viterbi(text: str | None, turn: int | None, chances: dict[str, np.ndarray])
             emitted = emitted + np.log(np.where(np.array(ROLES) == mark, TRUE_MARK, (1 - TRUE_MARK) / (k - 1)))
         ways = score[:, None] + (free if mark else stay)
         back.append(ways.argmax(axis=0))
-        score = (ways.max(axis=0) if len(back) > 1 else np.zeros(k)) + emitted
+        score = (ways.max(axis=0) if len(back) > 1 else chances.get("start", np.zeros(k))) + emitted
     state, path = int(score.argmax()), []
     for step in reversed(back):
         path.append(state)
@@ -105,6 +105,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
     counts: dict[str, np.ndarray] = {}
     for role, feature, n in counted.collect():  # one row for each role and feature
         counts.setdefault(feature, np.ones(len(ROLES)))[ROLES.index(role)] += n
-    total = sum((v for f, v in counts.items() if f.startswith("length")), np.ones(len(ROLES)))
-    chances = {f: np.log(v / total) for f, v in counts.items()}
+    of = lambda kind: sum((v for f, v in counts.items() if f.startswith(kind)), np.ones(len(ROLES)))
+    lines, starts = of("length"), of("turn")
+    chances = {f: np.log(v / (starts if f.startswith("turn") else lines)) for f, v in counts.items()} | {"start": np.log(starts / starts.sum())}
     return narrow.mapInArrow(lambda b: _format(b, chances), "conv_id long, turn long, role string, roles string, n_turns long, rendered string")

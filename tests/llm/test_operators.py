@@ -371,7 +371,7 @@ def test_components_of_paths_stars_and_rings(spark):
 
 def test_chats(spark):
     text = "System: You are kind.\nUser: Hi\nHow are you?\n### Assistant\nFine.\n\nThanks: a lot\n<|im_start|>user\nBye<|im_end|>"
-    given_ = [(1, 0, None, text, "c"), (1, 0, None, text, "c"), (1, 1, "user", None, "c"), (None, None, "odd", " \n", "c"), (2, 1, "assistant", "A plain line.", "c"), (3, 0, "user", "What?", "c"), (4, 2, "user", "x\n" * 20_000, "c")]
+    given_ = [(1, 0, None, text, "c"), (1, 0, None, text, "c"), (1, 1, "user", None, "c"), (None, None, "odd", " \n", "c"), (2, 1, "assistant", "A plain line.", "c"), (3, 0, "user", "What?", "c"), (4, 2, "odd", "x\n" * 20_000, "c")]
     df = spark.createDataFrame(given_, "conv_id long, turn long, role string, text string, rendered string")
     got = chat.format_chats(df).collect()
     first = [r for r in got if r["conv_id"] == 1 and r["turn"] == 0]
