@@ -42,6 +42,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return chat.format_chats(table(spark, folder, "conversations"))
 
 
+@query("op2_whole_conversations")
+def op2_whole(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.conversations(table(spark, folder, "conversations"))
+
+
 @query("op3_toxicity_lexicon")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")

@@ -400,3 +400,21 @@ def test_viterbi_is_the_best_path():
             best = max(best or (-1e9, ()), (total, path))
         want = [chat.ROLES[r] for at, r in enumerate(best[1]) if not at or r != best[1][at - 1] or chat.marker(lines[at])[0]]
         assert [r for r, _ in turns] == want
+
+
+def test_roles_come_from_the_whole_conversation(spark, monkeypatch):
+    """Lines that look alike are told apart by their neighbours, however a conversation is cut into chunks."""
+    given_ = [(c, t, ("user", "assistant")[t % 2], f"Line {t}." if t else "Who is it?") for c in range(12) for t in range(8)]
+    given_ += [(99, t, ("user", "assistant")[t % 2], "Same." if t else "Who is it?") for t in range(60)]
+    given_ += [(99, 7, "user", "Same."), (None, 1, "user", "Same."), (None, 1, "user", "Same."), (98, None, None, None), (98, 1, "odd", "Same.")]
+    df = spark.createDataFrame(given_, "conv_id long, turn long, role string, text string").repartition(3)
+    whole = chat.format_chats(df).collect()
+    assert len(whole) == len(given_) and all(r["roles"] == r["role"] for r in whole if r["conv_id"] is not None and r["conv_id"] < 98)
+    assert len({r["roles"] for r in whole if (r["conv_id"], r["turn"]) == (99, 7)}) == 1
+    monkeypatch.setattr(chat, "CHUNK_TURNS", 3)
+    same(chat.format_chats(df).collect(), whole)
+    pieces = sorted((r["piece"], r["rendered"]) for r in chat.conversations(df).where("conv_id = 99").collect())
+    assert len(pieces) > 19 and [p for p, _ in pieces] == list(range(len(pieces)))
+    seen = {r["turn"]: r["rendered"] for r in whole if r["conv_id"] == 99}
+    assert "".join(t for _, t in pieces) == "".join(seen[t] for t in sorted(seen))
+    assert chat.conversations(df.where("conv_id is null")).count() == 2 and chat.conversations(df.limit(0)).count() == 0
