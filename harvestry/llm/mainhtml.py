@@ -1,10 +1,12 @@
 """Main text of web pages: structure proposes blocks, host suffix arrays find the boilerplate among them.
 
 Method. Each page becomes a stream of text blocks. Structure settles what it can: scripts, forms, menus, adverts and comments go, blocks of
-the article element stay. The token streams of a host's pages are then laid end to end, with a mark of its own between pages, and their
+the article element stay. The token streams of a host's blocks are then laid end to end, with a mark of its own between blocks, and their
 suffixes are sorted by prefix doubling to a depth of ``MIN_RUN`` tokens. Neighbours that agree to that depth and lie on distinct pages make a
-long repeated substring. A block that structure left open goes if repeated substrings cover half of its tokens; unique runs stay. If that would
-leave nothing of a page, its least repeated open blocks stay, since the page then is a copy and not a frame.
+long repeated substring; a shorter block is one as a whole. A substring on ``frame_pages`` of the host's pages or more is frame: its tokens are cut
+out of blocks that structure left open, and the unique runs of each block stay. If that would leave nothing of a page, its least repeated blocks
+stay; if it would leave less than two windows, the blocks that are at most half as often repeated as the page's frame do, since the page then is
+a copy.
 
 Hosts are cut into shards of about ``SHARD_BYTES`` of html by page id, so that one host may hold any share of all pages. Text crosses the
 network once, compressed.
@@ -28,6 +30,10 @@ from pyspark.sql import functions as F
 from harvestry.llm.common import stored
 
 MIN_RUN = 8
+#: A run is frame from this share of a host's distinct pages, but at least and at most from so many.
+FRAME_PERCENT, LEAST_FRAME_PAGES, MOST_FRAME_PAGES = 2, 3, 30
+#: Fills blocks of fewer tokens than a window.
+END = "\n"
 SHARD_BYTES = 16_000_000
 #: Hosts of more than one shard that may be broadcast.
 MOST_BROADCAST = 50_000
@@ -124,8 +130,8 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*(part.column(c) for c in ("page_id", "url", "host", "shard")), pa.array(packed, pa.binary())], names=["page_id", "url", "host", "shard", "packed"])
 
 
-def covered(streams: list[list[str]], owners: list[int], depth: int = MIN_RUN) -> list[np.ndarray]:
-    """Per stream, how many distinct owners hold a repeated substring over each token; 0 for unique runs.
+def _held(streams: list[list[str]], owners: list[int], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Over all streams laid end to end, how many distinct owners hold the ``depth`` tokens that begin there; and where streams begin, and their sizes with a mark.
 
     The suffix array of all streams is sorted to ``depth`` tokens: ranks of 1, 2, 4, ... tokens, each from two of the half before.
     """
@@ -134,7 +140,7 @@ def covered(streams: list[list[str]], owners: list[int], depth: int = MIN_RUN) -
     rank, owner = np.zeros(int(sizes.sum()), np.int64), np.repeat(np.array(owners, np.int64), sizes)
     for k, (at, stream) in enumerate(zip(first, streams)):
         rank[at : at + len(stream)] = [known.setdefault(w, len(known)) for w in stream]
-        rank[at + len(stream)] = -1 - k  # ends the page and is like no other token
+        rank[at + len(stream)] = -1 - k  # ends the stream and is like no other token
     done = 1
     while done < depth and len(rank):
         step = min(done, depth - done)
@@ -142,31 +148,66 @@ def covered(streams: list[list[str]], owners: list[int], depth: int = MIN_RUN) -
         low = min(int(rank.min()), int(after.min()))
         _, rank = np.unique((rank - low) * (int(after.max()) - low + 1) + (after - low), return_inverse=True)
         done += step
-    out = np.zeros(len(rank), np.int64)
-    if len(rank):
-        order = np.lexsort((owner, rank))  # the suffix array: neighbours of one rank agree to the full depth
-        ranks, owners_ = rank[order], owner[order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (ranks[1:] != ranks[:-1]) | (owners_[1:] != owners_[:-1])
-        held = np.bincount(ranks[fresh], minlength=int(ranks[-1]) + 1)[rank]
-        count = np.where(held >= 2, held, 0)
-        for shift in range(min(depth, len(out))):  # each repeated window covers its tokens
-            out[shift:] = np.maximum(out[shift:], count[: len(count) - shift])
+    if not len(rank):
+        return np.zeros(0, np.int64), first, sizes
+    order = np.lexsort((owner, rank))  # the suffix array: neighbours of one rank agree to the full depth
+    ranks, owners_ = rank[order], owner[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (ranks[1:] != ranks[:-1]) | (owners_[1:] != owners_[:-1])
+    return np.bincount(ranks[fresh], minlength=int(ranks[-1]) + 1)[rank], first, sizes
+
+
+def _spread(held: np.ndarray, first: np.ndarray, sizes: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Per stream, the most owners of any window over each token; 0 for windows of one owner."""
+    out, count = np.zeros(len(held), np.int64), np.where(held >= 2, held, 0)
+    for shift in range(min(depth, len(out))):  # each repeated window covers its tokens
+        out[shift:] = np.maximum(out[shift:], count[: len(count) - shift])
     return [out[a : a + n - 1] for a, n in zip(first, sizes)]
 
 
+def covered(streams: list[list[str]], owners: list[int], depth: int = MIN_RUN) -> list[np.ndarray]:
+    """Per stream, how many distinct owners hold a repeated substring over each token; 0 for unique runs."""
+    return _spread(*_held(streams, owners, depth), depth)
+
+
+def _streams(pages: list[list[tuple[str, str]]], owners: list[int]) -> tuple[list[list[str]], list[int]]:
+    """Tokens of every block, filled up to a window's length, and whose they are."""
+    streams = [(w := text.split(" ")) + [END] * (MIN_RUN - len(w)) for page in pages for _, text in page]
+    return streams, [o for page, o in zip(pages, owners) for _ in page]
+
+
+def frame_pages(n_pages: int) -> int:
+    """From how many distinct pages a run belongs to the host's frame."""
+    return min(MOST_FRAME_PAGES, max(LEAST_FRAME_PAGES, -(-n_pages * FRAME_PERCENT // 100)))
+
+
+def _runs(over: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Borders of the runs of true values."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], over, [False]]).astype(np.int8)))
+    return zip(edges[::2].tolist(), edges[1::2].tolist())
+
+
+def _unique(kind: str, over: np.ndarray) -> np.ndarray:
+    """Which tokens of a block stay, by whether the host's frame covers them."""
+    return ~over if kind == "U" else np.full(len(over), kind == "A")
+
+
 def keep(pages: list[list[tuple[str, str]]], owners: list[int]) -> list[str]:
     """Main text of each page of a shard."""
     words = [[text.split(" ") for _, text in page] for page in pages]
-    found = covered([[w for block in page for w in block] for page in words], owners)
-    out = []
-    for page, split, counts in zip(pages, words, found):
-        ends = np.cumsum([len(b) for b in split]) if split else []
-        over = [counts[e - len(b) : e] for b, e in zip(split, ends)]
-        chosen = [kind == "A" or kind == "U" and (c > 0).mean() < 0.5 for (kind, _), c in zip(page, over)]
-        if not any(chosen) and (least := min((c.max() for (kind, _), c in zip(page, over) if kind == "U"), default=None)) is not None:
-            chosen = [kind == "U" and c.max() == least for (kind, _), c in zip(page, over)]
-        out.append("\n\n".join(text for (_, text), ok in zip(page, chosen) if ok))
+    found = iter(covered(*_streams(pages, owners)))
+    need, out = frame_pages(len(set(owners))), []
+    for page, split in zip(pages, words):
+        counts = [next(found)[: len(b)] for b in split]
+        stay = [_unique(kind, c >= need) for (kind, _), c in zip(page, counts)]
+        kept = sum(int(x.sum()) for x in stay)
+        if kept < 2 * MIN_RUN:  # maybe a copy: its story is repeated, but less than the frame
+            often = [float(np.median(c[c >= need])) if kind in "AU" and not x.any() and (c >= need).any() else None for (kind, _), c, x in zip(page, counts, stay)]
+            least, most = min((x for x in often if x is not None), default=None), max((int(c.max()) for c in counts), default=0)
+            if least is not None and (not kept or 2 * least <= most):
+                stay = [np.ones(len(c), bool) if o is not None and o <= (most / 2 if kept else least) else x for c, o, x in zip(counts, often, stay)]
+        texts = (text if x.all() else " ".join(w for w, ok in zip(b, x) if ok) for (_, text), b, x in zip(page, split, stay))
+        out.append("\n\n".join(t for t in texts if t))
     return out
 
 

@@ -242,6 +242,20 @@ def test_repeated_runs_go_where_structure_is_silent():
     assert mainhtml.keep([mainhtml.blocks(pages[0])] * 2, [4, 4])[0].count(frame) == 2  # one page twice is not repeated
 
 
+def told(name, n):
+    return " ".join(f"{name}{k}" for k in range(n))
+
+
+def test_covered_runs_are_cut_and_unique_runs_stay():
+    quote, frame, story = told("quote", 55), told("frame", 30), told("story", 60)
+    pages = [f"<body><div>{frame}</div><div>{told(f'own{k}x', 45)} {quote if k < 5 else ''}</div></body>" for k in range(8)]
+    got = mainhtml.keep([mainhtml.blocks(p) for p in pages], list(range(8)))
+    assert got == [told(f"own{k}x", 45) for k in range(8)]
+    pages = [f"<body><div>{frame}</div><div>{story if k < 3 else told(f'own{k}x', 60)}</div><p>By Author {k}</p></body>" for k in range(20)]
+    got = mainhtml.keep([mainhtml.blocks(p) for p in pages], list(range(20)))
+    assert got == [f"{story if k < 3 else told(f'own{k}x', 60)}\n\nBy Author {k}" for k in range(20)]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), min_size=1, max_size=5))
 def test_suffix_array_finds_what_brute_force_finds(streams):
