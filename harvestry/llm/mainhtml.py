@@ -1,10 +1,11 @@
 """Main text of web pages: structure proposes blocks, host suffix arrays find the boilerplate among them.
 
-Method. Each page becomes a stream of text blocks. Structure settles what it can: scripts, forms, menus, adverts and comments go, blocks of
-the article element stay. The token streams of a host's blocks are then laid end to end, with a mark of its own between blocks, and their
+Method. Each page becomes a stream of text blocks. Structure is one input: scripts, menus, footers, hidden text and comments go; blocks of the
+article element, guessed furniture (forms, class words, all outside an article) and open blocks are judged by their repeats. The token streams of a host's blocks are then laid end to end, with a mark of its own between blocks, and their
 suffixes are sorted by prefix doubling to a depth of ``MIN_RUN`` tokens. Neighbours that agree to that depth and lie on distinct pages make a
 long repeated substring; a shorter block is one as a whole. A substring on ``frame_pages`` of the host's pages or more is frame: its tokens are cut
-out of blocks that structure left open, and the unique runs of each block stay. If that would leave nothing of a page, its least repeated blocks
+out of blocks that structure left open, and the unique runs of each block stay. Inside the article only frames of more pages, of ``LONG_RUN`` tokens or
+whole blocks of ``MIN_RUN``, go; of guessed furniture unique runs of ``FURNITURE_RUN`` tokens stay, and a guess over four fifths of a page is dropped. If that would leave nothing of a page, its least repeated blocks
 stay; if it would leave less than two windows, the blocks that are at most half as often repeated as the page's frame do, since the page then is
 a copy.
 
@@ -32,6 +33,10 @@ from harvestry.llm.common import stored
 MIN_RUN = 8
 #: A run is frame from this share of a host's distinct pages, but at least and at most from so many.
 FRAME_PERCENT, LEAST_FRAME_PAGES, MOST_FRAME_PAGES = 2, 3, 30
+#: The same inside the article, where copied stories are likelier.
+ARTICLE_PERCENT, LEAST_ARTICLE_PAGES, MOST_ARTICLE_PAGES = 10, 10, 300
+#: Frames inside the article go from this length or as whole blocks; unique runs of guessed furniture stay from that length.
+LONG_RUN, FURNITURE_RUN = 24, 50
 #: Fills blocks of fewer tokens than a window.
 END = "\n"
 SHARD_BYTES = 16_000_000
@@ -48,6 +53,9 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 FURNITURE_WORDS = set("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer gdpr header login masthead menu modal nav navbar "
                       "navigation newsletter notice notification pager pagination popup promo promoted related replies reply rss search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar "
                       "widget complementary contentinfo alert alertdialog dialog".split())
+#: Tags and words that only hint at furniture, and words of others' text, which is unique by nature.
+GUESSED_TAGS = {"form", "fieldset", "label"}
+COMMENT_WORDS = {"comment", "comments", "reply", "replies", "disqus"}
 CARD_WORDS = {"comment", "comments", "reply", "replies", "related", "promo", "ad", "ads", "advert", "sponsored", "teaser", "card"}
 CONTENT_WORDS = {"article", "content", "main", "post", "entry", "story", "body", "text"}
 
@@ -56,34 +64,35 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[
 NOT_LETTERS = re.compile(r"[^a-z]+")
 
 
-def _element(tag: str, attributes: str, in_article: bool) -> tuple[bool, int]:
-    """Whether an element holds furniture; and how surely it holds the article (3 article, 2 main, 1 by its name)."""
+def _element(tag: str, attributes: str, in_article: bool) -> tuple[int, int]:
+    """Whether an element holds furniture (2 surely, 1 as a guess, 0 not); and how surely it holds the article (3 article, 2 main, 1 by its name)."""
     marks, hidden = set(), False
     for name, value in ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), value.strip("\"'").lower()
         hidden |= name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value) is not None
         marks.update(NOT_LETTERS.split(value) if name in ("class", "id", "role") else ())
     if tag in ("body", "html"):
-        return False, 0
+        return 0, 0
+    others = 2 if hidden or marks & COMMENT_WORDS else 0
     if tag in ("article", "main") or "main" in marks and "role" in attributes.lower():
-        return hidden or bool(marks & CARD_WORDS), 3 if tag == "article" else 2
+        return others or int(bool(marks & CARD_WORDS)), 3 if tag == "article" else 2
     if tag in FURNITURE_TAGS or hidden or tag == "header" and not in_article:
-        return True, 0
+        return others or (1 if tag in GUESSED_TAGS else 2), 0
     sure = 1 if tag in ("div", "section", "td") and marks & CONTENT_WORDS else 0
-    return bool(marks & FURNITURE_WORDS) and not sure and not (in_article and tag == "header"), sure
+    return (others or 1 if marks & FURNITURE_WORDS and not sure and not (in_article and tag == "header") else 0), sure
 
 
 def blocks(page: str | None) -> list[tuple[str, str]]:
-    """``(kind, text)`` in page order; kind A is main text, F furniture, U open."""
+    """``(kind, text)`` in page order; kind A is main text, F furniture, G furniture by a guess, U open."""
     out: list[list] = []  # furniture, level, text, share of link characters
-    stack: list[tuple[str, bool, int]] = []  # tag, furniture, level: both with those above
+    stack: list[tuple[str, int, int]] = []  # tag, furniture, level: both with those above
     parts: list[str] = []
     linked = links = 0
 
     def close() -> None:
         nonlocal linked
         if parts and (text := " ".join(entities.unescape("".join(parts)).split())):
-            _, furniture, level = stack[-1] if stack else ("", False, 0)
+            _, furniture, level = stack[-1] if stack else ("", 0, 0)
             out.append([furniture, level, text, linked / max(1, sum(map(len, parts)))])
         parts.clear()
         linked = 0
@@ -113,12 +122,15 @@ def blocks(page: str | None) -> list[tuple[str, str]]:
             elif tag not in VOID and not attributes.endswith("/"):
                 if tag == "p" and stack and stack[-1][0] == "p":
                     stack.pop()
-                _, furniture, level = stack[-1] if stack else ("", False, 0)
+                _, furniture, level = stack[-1] if stack else ("", 0, 0)
                 own, sure = _element(tag, attributes, level == 3)
-                stack.append((tag, furniture or own, max(level, sure)))
+                stack.append((tag, max(furniture, own), max(level, sure)))
     close()
+    size = [sum(len(text) for furniture, _, text, _ in out if furniture == guess) for guess in (0, 1)]
+    if size[1] > 4 * size[0]:  # a guess that takes nearly all of a page is none
+        out = [[0, 0, text, share] if furniture == 1 else [furniture, 0, text, share] for furniture, level, text, share in out]
     best = max((level for furniture, level, *_ in out if not furniture), default=0)
-    return [("F" if furniture or best >= 2 and level < best else "U" if level < best or best == 0 or share > 0.5 else "A", text) for furniture, level, text, share in out]
+    return [("F" if furniture == 2 else "G" if furniture or best >= 2 and level < best else "U" if level < best or best == 0 or share > 0.5 else "A", text) for furniture, level, text, share in out]
 
 
 def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +188,10 @@ def _streams(pages: list[list[tuple[str, str]]], owners: list[int]) -> tuple[lis
     return streams, [o for page, o in zip(pages, owners) for _ in page]
 
 
-def frame_pages(n_pages: int) -> int:
-    """From how many distinct pages a run belongs to the host's frame."""
+def frame_pages(n_pages: int, kind: str = "U") -> int:
+    """From how many distinct pages a run belongs to the host's frame, in blocks of a kind."""
+    if kind == "A":
+        return min(MOST_ARTICLE_PAGES, max(LEAST_ARTICLE_PAGES, -(-n_pages * ARTICLE_PERCENT // 100)))
     return min(MOST_FRAME_PAGES, max(LEAST_FRAME_PAGES, -(-n_pages * FRAME_PERCENT // 100)))
 
 
@@ -188,21 +202,30 @@ def _runs(over: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _unique(kind: str, over: np.ndarray) -> np.ndarray:
-    """Which tokens of a block stay, by whether the host's frame covers them."""
-    return ~over if kind == "U" else np.full(len(over), kind == "A")
+    """Which tokens of a block stay, by whether the host's frame covers them: inside the article long frames go, in guessed furniture long unique runs stay."""
+    if kind == "U":
+        return ~over
+    stay = np.full(len(over), kind == "A")
+    if kind == "A" and over.any():
+        for a, b in _runs(over):
+            stay[a:b] = not (b - a >= LONG_RUN or b - a == len(over) >= MIN_RUN)
+    elif kind == "G" and len(over) >= FURNITURE_RUN:
+        for a, b in _runs(~over):
+            stay[a:b] = b - a >= FURNITURE_RUN
+    return stay
 
 
 def keep(pages: list[list[tuple[str, str]]], owners: list[int]) -> list[str]:
     """Main text of each page of a shard."""
     words = [[text.split(" ") for _, text in page] for page in pages]
     found = iter(covered(*_streams(pages, owners)))
-    need, out = frame_pages(len(set(owners))), []
+    need, out = {kind: frame_pages(len(set(owners)), kind) for kind in "AFGU"}, []
     for page, split in zip(pages, words):
         counts = [next(found)[: len(b)] for b in split]
-        stay = [_unique(kind, c >= need) for (kind, _), c in zip(page, counts)]
+        stay = [_unique(kind, c >= need[kind]) for (kind, _), c in zip(page, counts)]
         kept = sum(int(x.sum()) for x in stay)
         if kept < 2 * MIN_RUN:  # maybe a copy: its story is repeated, but less than the frame
-            often = [float(np.median(c[c >= need])) if kind in "AU" and not x.any() and (c >= need).any() else None for (kind, _), c, x in zip(page, counts, stay)]
+            often = [float(np.median(c[c >= need[kind]])) if kind in "AU" and not x.any() and (c >= need[kind]).any() else None for (kind, _), c, x in zip(page, counts, stay)]
             least, most = min((x for x in often if x is not None), default=None), max((int(c.max()) for c in counts), default=0)
             if least is not None and (not kept or 2 * least <= most):
                 stay = [np.ones(len(c), bool) if o is not None and o <= (most / 2 if kept else least) else x for c, o, x in zip(counts, often, stay)]

@@ -256,6 +256,15 @@ def test_covered_runs_are_cut_and_unique_runs_stay():
     assert got == [f"{story if k < 3 else told(f'own{k}x', 60)}\n\nBy Author {k}" for k in range(20)]
 
 
+def test_repeats_judge_the_article_and_guessed_furniture():
+    notice, frame = told("notice", 50), told("menu", 20)
+    pages = [f"<nav>{frame}</nav><article><p>{told(f'own{k}x', 40)}</p><p>{notice}</p><p>Short line</p></article><div class='promo'>{told(f'more{k}x', 60)}</div><div class='promo'>Buy {k}</div><div class='comments'>{told(f'said{k}x', 60)}</div>" for k in range(12)]
+    assert mainhtml.keep([mainhtml.blocks(p) for p in pages], list(range(12))) == [f"{told(f'own{k}x', 40)}\n\nShort line\n\n{told(f'more{k}x', 60)}" for k in range(12)]
+    for start, end in (("<form>", "</form>"), ("<div class='has-sidebar'>", "</div>"), ("<article class='card'>", "</article>")):
+        page = f"<body><nav>{frame}</nav>{start}<p>A story</p><p>{told('word', 60)}</p>{end}</body>"
+        assert mainhtml.keep([mainhtml.blocks(page)], [0]) == [f"A story\n\n{told('word', 60)}"]
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), min_size=1, max_size=5))
 def test_suffix_array_finds_what_brute_force_finds(streams):
