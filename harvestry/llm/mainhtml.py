@@ -9,8 +9,10 @@ whole blocks of ``MIN_RUN``, go; of guessed furniture unique runs of ``FURNITURE
 stay; if it would leave less than two windows, the blocks that are at most half as often repeated as the page's frame do, since the page then is
 a copy.
 
-Hosts are cut into shards of about ``SHARD_BYTES`` of html by page id, so that one host may hold any share of all pages. Text crosses the
-network once, compressed.
+Hosts are cut into shards of about ``SHARD_BYTES`` of html by page id, so that one host may hold any share of all pages. What repeats is counted
+over the whole host: each shard counts its windows of ``MIN_RUN`` tokens (hashes of 48 bits taken as equal when they agree), (host, hash range)
+sums the distinct pages of all shards, and each shard gets back those of its windows that may be frame. Pages of such hosts cross the network
+twice, compressed; all others once.
 
 Defined results: a null or empty page has the empty text, and so has one without blocks. Null urls form a host of their own. Repeated rows
 each get their row and do not count as distinct pages where their page id and url agree. Other columns are ignored.
@@ -21,9 +23,11 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,7 +143,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
             packed = [press.compress("\n".join(k + t for k, t in blocks(p)).encode("utf-8", "surrogatepass")) for p in part.column("html").to_pylist()]
-            yield pa.record_batch([*(part.column(c) for c in ("page_id", "url", "host", "shard")), pa.array(packed, pa.binary())], names=["page_id", "url", "host", "shard", "packed"])
+            yield pa.record_batch([*(part.column(c) for c in ("page_id", "url", "host", "shard", "shards")), pa.array(packed, pa.binary())], names=["page_id", "url", "host", "shard", "shards", "packed"])
 
 
 def _held(streams: list[list[str]], owners: list[int], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,11 +219,36 @@ def _unique(kind: str, over: np.ndarray) -> np.ndarray:
     return stay
 
 
-def keep(pages: list[list[tuple[str, str]]], owners: list[int]) -> list[str]:
-    """Main text of each page of a shard."""
+def window_hashes(streams: list[list[str]]) -> np.ndarray:
+    """Hash of 48 bits of the ``MIN_RUN`` tokens that begin at each place of all streams and their end marks; -1 where fewer are left."""
+    known: dict[str, int] = {}
+    own, whole = [], []
+    for stream in streams:
+        for w in stream:
+            if w not in known:
+                known[w] = int.from_bytes(blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            own.append(known[w])
+        own.append(0)
+        whole += [True] * (len(stream) - MIN_RUN + 1) + [False] * MIN_RUN
+    tokens, total = np.array(own, np.uint64), np.zeros(len(own), np.uint64)
+    for k in range(min(MIN_RUN, len(own))):
+        total = total * np.uint64(0x9E3779B97F4A7C15)
+        total[: len(own) - k] += tokens[k:]
+    total ^= total >> np.uint64(29)
+    return np.where(np.array(whole, bool), (total * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(16)).astype(np.int64), -1)
+
+
+def keep(pages: list[list[tuple[str, str]]], owners: list[int], n_pages: int | None = None, known: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """Main text of each page of a shard; ``n_pages`` and ``known`` are the host's distinct pages, and its windows on several as (sorted hashes, distinct pages)."""
     words = [[text.split(" ") for _, text in page] for page in pages]
-    found = iter(covered(*_streams(pages, owners)))
-    need, out = {kind: frame_pages(len(set(owners)), kind) for kind in "AFGU"}, []
+    streams, of = _streams(pages, owners)
+    held, first, sizes = _held(streams, of, MIN_RUN)
+    if known is not None and len(known[0]):
+        hashes = window_hashes(streams)
+        at = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
+        held = np.maximum(held, np.where(known[0][at] == hashes, known[1][at], 0))
+    found = iter(_spread(held, first, sizes, MIN_RUN))
+    need, out = {kind: frame_pages(len(set(owners)) if n_pages is None else n_pages, kind) for kind in "AFGU"}, []
     for page, split in zip(pages, words):
         counts = [next(found)[: len(b)] for b in split]
         stay = [_unique(kind, c >= need[kind]) for (kind, _), c in zip(page, counts)]
@@ -234,12 +263,74 @@ def keep(pages: list[list[tuple[str, str]]], owners: list[int]) -> list[str]:
     return out
 
 
-def _shard(group: pa.Table) -> pa.Table:
+def _read(group: pa.Table) -> tuple[list[list[tuple[str, str]]], list[int]]:
+    """Blocks and number of each page of a shard; rows that agree in page id and url have one number."""
     expand = zstandard.ZstdDecompressor()
     pages = [[(line[0], line[1:]) for line in expand.decompress(p).decode("utf-8", "surrogatepass").split("\n") if line] for p in group.column("packed").to_pylist()]
     same: dict = {}
-    owners = [same.setdefault(key, len(same)) for key in zip(group.column("page_id").to_pylist(), group.column("url").to_pylist())]
-    texts = keep(pages, owners)
+    return pages, [same.setdefault(key, len(same)) for key in zip(group.column("page_id").to_pylist(), group.column("url").to_pylist())]
+
+
+def _pack(hashes: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    press = zstandard.ZstdCompressor(level=3)
+    return press.compress(np.diff(hashes, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()), press.compress(counts.astype("<i4").tobytes())
+
+
+def _unpack(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    expand = zstandard.ZstdDecompressor()
+    raw = np.frombuffer(expand.decompress(hashes), np.uint8).reshape(8, -1).T
+    return np.ascontiguousarray(raw).view("<i8").ravel().cumsum(), np.frombuffer(expand.decompress(counts), "<i4").astype(np.int64)
+
+
+WINDOWS = "host string, shard int, bucket int, pages long, hashes binary, counts binary"
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) or [()] * 6
+    types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["host", "shard", "bucket", "pages", "hashes", "counts"])
+
+
+def _windows(group: pa.Table) -> pa.Table:
+    """A shard's windows and on how many of its distinct pages they are, in as many buckets by hash as the host has shards."""
+    pages, owners = _read(group)
+    streams, of = _streams(pages, owners)
+    hashes = window_hashes(streams)
+    place = np.flatnonzero(hashes >= 0)
+    owner = np.repeat(np.array(of, np.int64), [len(s) + 1 for s in streams])[place]
+    own = hashes[place]
+    order = np.lexsort((owner, own))
+    own, owner = own[order], owner[order]
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (owner[1:] != owner[:-1])
+    found, counts = np.unique(own[fresh], return_counts=True)
+    host, shard, buckets = (group.column(k)[0].as_py() for k in ("host", "shard", "shards"))
+    edges = np.searchsorted(found, np.arange(buckets + 1, dtype=np.float64) * (2.0**48 / buckets))
+    return _table([(host, shard, b, len(set(owners)), *_pack(found[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]])) for b in range(buckets)])
+
+
+def _across(group: pa.Table) -> pa.Table:
+    """To each shard, the windows of a bucket that it holds and that may be frame, with the host's distinct pages that hold them."""
+    held = [_unpack(h, c) for h, c in zip(group.column("hashes").to_pylist(), group.column("counts").to_pylist())]
+    pages = sum(group.column("pages").to_pylist())
+    found, at = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([c for _, c in held]), len(found)).astype(np.int64)
+    often = total >= min(frame_pages(pages), frame_pages(pages, "A"))
+    out, start = [], 0
+    for (hashes, _), host, shard, bucket in zip(held, *(group.column(k).to_pylist() for k in ("host", "shard", "bucket"))):
+        own = at[start : start + len(hashes)]
+        own, start = own[often[own]], start + len(hashes)
+        out.append((host, shard, bucket, pages, *_pack(found[own], total[own])))
+    return _table(out)
+
+
+def _shard(group: pa.Table) -> pa.Table:
+    sent, known, n_pages = group.filter(pc.is_valid(group.column("hashes"))), None, None
+    if sent.num_rows:
+        group, n_pages = group.filter(pc.is_valid(group.column("packed"))), sent.column("pages")[0].as_py()
+        each = [_unpack(*x) for _, *x in sorted(zip(*(sent.column(k).to_pylist() for k in ("bucket", "hashes", "counts"))))]
+        known = np.concatenate([h for h, _ in each]), np.concatenate([c for _, c in each])
+    texts = keep(*_read(group), n_pages, known)
     return pa.table([group.column("page_id"), group.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -248,7 +339,16 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), HOST, 1))
     narrow = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).withColumn("host", host)
     large = stored(narrow.groupBy("host").agg(F.ceil(F.sum(F.coalesce(F.length("html"), F.lit(0)).cast("long")) / SHARD_BYTES).cast("int").alias("shards")).where("shards > 1"), "large_hosts")
-    large = F.broadcast(large) if large.count() <= MOST_BROADCAST else large  # beyond that, pages meet it by a shuffle
-    dealt = narrow.join(large, "host", "left").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("shards", F.lit(1))).cast("int")).select("page_id", "url", "host", "shard", "html")
-    packed = dealt.mapInArrow(_pages, "page_id long, url string, host string, shard int, packed binary")
-    return packed.groupBy("host", "shard").applyInArrow(_shard, "page_id long, url string, text string, n_chars long")
+    n_large = large.count()
+    large = F.broadcast(large) if n_large <= MOST_BROADCAST else large  # beyond that, pages meet it by a shuffle
+    shards = F.coalesce("shards", F.lit(1))
+    dealt = narrow.join(large, "host", "left").withColumn("shard", F.pmod(F.xxhash64("page_id", "url"), shards).cast("int")).select("page_id", "url", "host", "shard", shards.alias("shards"), "html")
+    form = "page_id long, url string, host string, shard int, shards int, packed binary"
+    whole = (dealt.where("shards = 1") if n_large else dealt).mapInArrow(_pages, form).withColumns({"bucket": F.lit(None).cast("int"), "pages": F.lit(None).cast("long"), "hashes": F.lit(None).cast("binary"), "counts": F.lit(None).cast("binary")})
+    if n_large:
+        # Pages of large hosts are parsed twice, to count windows across shards and to decide: that takes less disk than to store their blocks.
+        cut = dealt.where("shards > 1").mapInArrow(_pages, form)
+        counted = cut.groupBy("host", "shard").applyInArrow(_windows, WINDOWS)
+        sent = counted.groupBy("host", "bucket").applyInArrow(_across, WINDOWS)
+        whole = whole.unionByName(cut, allowMissingColumns=True).unionByName(sent, allowMissingColumns=True)
+    return whole.groupBy("host", "shard").applyInArrow(_shard, "page_id long, url string, text string, n_chars long")

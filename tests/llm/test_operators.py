@@ -289,6 +289,16 @@ def test_extract(spark, monkeypatch):
     assert mainhtml.extract(df.limit(0)).count() == 0
 
 
+def test_shards_do_not_change_results(spark, monkeypatch):
+    banner, notice = told("banner", 12), told("notice", 40)
+    given_ = [(k, f"http://hot.example/{k}", f"<div>{banner if k % 4 == 0 else told(f'side{k}x', 5)}</div><div>{told(f'own{k}x', 50)}{' ' + notice if k % 5 == 0 else ''}</div>") for k in range(60)] + [(3, "http://cold.example/", f"<div>{banner}</div>")]
+    df = spark.createDataFrame(given_ + given_[:2], "page_id long, url string, html string")
+    whole = mainhtml.extract(df).collect()
+    assert all("banner" not in r["text"] and "notice" not in r["text"] for r in whole if "hot" in r["url"]) and len(whole) == 63
+    monkeypatch.setattr(mainhtml, "SHARD_BYTES", 900)
+    same(mainhtml.extract(df).collect(), whole)
+
+
 # Personal data
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
