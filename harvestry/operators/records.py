@@ -77,11 +77,19 @@ def build_bid(context: DataFrame, site: Site, keep: Sequence[str] = ()) -> DataF
         "releaseTime": F.col("publish_time"), "consultationInfo": contact_struct(F.col("unit"), F.col("contact_name"), F.col("contact_phone")), "fileInfo": F.col("files"), "webSource": F.lit(site.web_source)})
 
 
-def build_win(context: DataFrame, site: Site, keep: Sequence[str] = ()) -> DataFrame:
-    """Win record with the union flag read from the winner's name."""
+def build_win(context: DataFrame, site: Site, keep: Sequence[str] = (), rows: str = "first") -> DataFrame:
+    """Win record with the union flag read from the winner's name.
+
+    ``rows='all'`` gives one record per row of the result tables, with the shared fields copied; a page without rows keeps its one record, and only a
+    single row takes what it lacks from the page's fields. ``'first'`` reads the first row alone.
+    """
     from harvestry.functions.money import normalize_money
     from harvestry.functions.text import announcement_code
 
+    if rows == "all":
+        own = lambda field, shared: F.when(F.size("result_rows") > 1, F.coalesce(F.col(f"_row.{field}"), F.lit(""))).otherwise(F.col(shared))
+        opened = context.select("*", F.explode_outer("result_rows").alias("_row"))
+        context = opened.withColumns({"company": own("relation_company_name", "company"), "money": own("render_money", "money")})
     gate = trade_type_gate(F.col("module"), F.col("trade_type"), words.TRADE_TYPE_MODULES, words.TRADE_TYPES)
     return _record(context, keep, {
         **_shared(site), "tenderTitle": F.col("title"), "tenderNumber": F.col("project_no"), "cityId": F.lit(site.city_id), "cityName": F.lit(site.city_name), "renderMoney": normalize_money("money"),

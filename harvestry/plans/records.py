@@ -56,6 +56,14 @@ def b3(t):
     return r.select("o_orderkey", "tenderTitle", "tenderNumber", "renderMoney", "renderType", "relationCompanyName", "announcementType", "isUnion", F.get("uploadFileUrl", F.lit(0)).alias("first_file"), "cityId")
 
 
+@query("b3_build_win_rows", f"""
+select o_orderkey, '标题 ' || o_orderkey as "tenderTitle", 'JN2-' || o_orderkey as "tenderNumber", case n when 1 then o_orderstatus else '' end as "renderMoney", case n when 1 then '公司 ' || o_custkey else '9' end as "relationCompanyName",
+  case when o_orderkey % 5 = 3 then 1 else 2 end as "announcementType", 0 as "isUnion", '甲' || o_custkey as "procurementUnit" from orders, (values (1), (2)) as v(n) where {BOARD} = '中标公告'""")
+def b3_rows(t):
+    r = rc.build_win(context(t).filter("board = '中标公告'"), SITE, ["o_orderkey"], rows="all")
+    return r.select("o_orderkey", "tenderTitle", "tenderNumber", "renderMoney", "relationCompanyName", "announcementType", "isUnion", "procurementUnit")
+
+
 @query("b4_build_candidate", f"""
 select o_orderkey, '标题 ' || o_orderkey as "tenderTitle", '公司 ' || o_custkey as "relationCompanyName", '第一候选人：公司 ' || o_custkey || '|第二候选人：9' as ranks, 'JN2-' || o_orderkey as number, '中标候选人' as "renderType" from orders where {BOARD} = '候选人公告'""")
 def b4(t):
