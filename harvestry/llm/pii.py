@@ -1,16 +1,18 @@
 """Personal data: generators of high recall, boosted trees over format and context, calibrated thresholds. SQL functions only.
 
 Base patterns (``BASE``) give spans that always count. Generators (``LIKELY``) propose more, which may overlap: spelled-out addresses, numbers with
-other separators or a wrong check digit. A candidate is described by a few small whole numbers: kind, digits, separators, letters, the characters and
-cue words around it. One aggregation over all candidates of all documents counts each description and how many of them are base spans; the trees are
+other separators or a wrong check digit. A candidate is described by a few small whole numbers: kind, digits, separators, the characters and
+cue words around it, and by nothing that only tells it from a base span. It is known if it overlaps a base span of its kind or is valid once written
+in the base form (at and dot as signs, no brackets, no separators, then the kind's own check; a phone needs its +, 0 or bracketed area code). One
+aggregation over all candidates of all documents counts each description and how many of them are known; the trees are
 boosted on those counts, of which there are at most ``MOST_KINDS`` whatever the corpus' size. A kind's threshold is calibrated as the score
-that ``RECALL`` of its base spans reach. Candidates over it are added, unless they overlap a base span or a better candidate.
+that ``RECALL`` of its known ones reach. Candidates over it are added, unless they overlap a base span or a better candidate.
 
 The patterns match what their plain forms match, but never go back: each starts only where a run of its characters starts, and takes whole runs.
 Positions come from the lengths of matches and of the text between them, in code points.
 
-Defined results: a null or empty text has no spans. Rows are judged one by one, so ids may be null and rows may repeat. Without candidates or
-base spans nothing is added. Other columns are ignored by ``find_spans`` and kept by ``redact``.
+Defined results: a null or empty text has no spans. Rows are judged one by one, so ids may be null and rows may repeat. Without known
+candidates nothing is added. Other columns are ignored by ``find_spans`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ LIKELY = {
 }
 CUES = {"email": "mail|contact|write|reach", "ip": "ip|addr|host|server|client", "card": "card|visa|master|amex|credit|debit|pay|konto|tarjeta|carte", "phone": "phone|tel|call|mobile|fax|cell|whatsapp"}
 #: Descriptions of a candidate, and the largest value of each.
-TRAITS = {"kind": 3, "digits": 7, "seps": 4, "letters": 2, "before": 4, "after": 3, "cue": 1, "spelled": 1}
+TRAITS = {"kind": 3, "digits": 7, "seps": 4, "before": 4, "after": 3, "cue": 1}
 
 
 def _luhn(match: Column) -> Column:
@@ -66,6 +68,18 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _valid_form(kind: str, match: Column) -> Column:
+    """Whether a likely match is valid once it is written as the base form of its kind."""
+    dotted = F.regexp_replace(match, r"(?i)\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?", ".")
+    if kind == "email":
+        return F.regexp_replace(dotted, r"(?i)\s?(?:@|[\[({<]\s?at\s?[\])}>])\s?", "@").rlike(r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++$")
+    if kind == "ip":
+        return F.when(match.contains(":"), True).otherwise(_valid("ip", dotted))
+    if kind == "card":
+        return _luhn(F.translate(match, " ._/-", ""))
+    return match.rlike(r"^(?:\+|\(?0|\([0-9]{3}\))") & F.length(F.regexp_replace(match, "[^0-9]", "")).between(9, 15)
+
+
 def _spans(matches: Column, between: Column) -> Column:
     """``start, end, match`` of each match, from the pieces of text around them."""
     def step(state: Column, k: Column) -> Column:
@@ -91,10 +105,10 @@ def _traits(kind: str, text: Column, span: Column) -> list[Column]:
     bare = F.regexp_replace(match, "[^0-9A-Za-z]", "")
     digits = F.length(F.regexp_replace(bare, "[^0-9]", ""))
     return [
-        F.lit(KINDS.index(kind)), _level(digits, 7, 9, 11, 12, 14, 16, 17), _level(F.length(match) - F.length(bare), 1, 2, 3, 4), _level(F.length(bare) - digits, 1, 10),
+        F.lit(KINDS.index(kind)), _level(digits, 7, 9, 11, 12, 14, 16, 17), _level(F.length(match) - F.length(bare), 1, 2, 3, 4),
         F.when(prior.rlike(r"^\s?$"), 0).when(prior.rlike(r"[\"'(\[<{]"), 1).when(prior.rlike(r"\p{L}"), 2).when(prior.rlike("[=:+]"), 3).otherwise(4),
         F.when(after.rlike(r"^\s?$"), 0).when(after.rlike(r"[.,;:!?\"')\]]"), 1).when(after.rlike(r"\p{L}"), 3).otherwise(2),
-        F.lower(before).rlike(CUES[kind]).cast("int"), F.lower(match).rlike(r"[\[({<]\s?(?:at|dot|\.)").cast("int"),
+        F.lower(before).rlike(CUES[kind]).cast("int"),
     ]
 
 
@@ -112,14 +126,14 @@ def _likely_of(kind: str, spans: Column, base: Column, text: Column) -> Column:
     number = KINDS.index(kind)
 
     def described(s: Column) -> Column:
-        known = F.exists(base, lambda b: _overlap(s, b) & (b["kind"] == number))
+        known = F.exists(base, lambda b: _overlap(s, b) & (b["kind"] == number)) | _valid_form(kind, s["match"])
         return F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), known.alias("known"), F.array(*_traits(kind, text, s)).alias("traits"))
 
     return F.transform(spans, described)
 
 
 def candidates(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``base`` spans (start, kind, end) and ``likely`` ones (also their traits and whether they are ``known`` base spans) of every row."""
+    """``base`` spans (start, kind, end) and ``likely`` ones (also their traits and whether they are ``known``: base spans, or valid once normalised) of every row."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     guards = {"email": lambda t: t.rlike(r"@|(?i)[\[({<]\s?at\s?[\])}>]"), "ip": lambda t: t.rlike("[0-9A-Fa-f][.:\\[(]"), "card": lambda t: t.rlike("[0-9]"), "phone": lambda t: t.rlike("[0-9]")}
     patterns = {f"b_{k}": (p, k) for k, p in BASE.items()} | {f"l_{k}": (p, k) for k, p in LIKELY.items()}
@@ -169,7 +183,7 @@ def _best_cut(rows, grads, own, tops) -> tuple[tuple[int, int], float]:
 
 
 def learn(found: DataFrame, trees: int = TREES) -> Model:
-    """Boost trees on how often each description is a base span, and calibrate the thresholds on the same counts."""
+    """Boost trees on how often each description is known, and calibrate the thresholds on the same counts."""
     each = found.select(F.explode("likely").alias("c")).groupBy("c.traits").agg(F.count("*").alias("n"), F.sum(F.col("c.known").cast("long")).alias("known"))
     rows = sorted((tuple(r["traits"]), r["n"], r["known"]) for r in each.orderBy(F.desc("n")).limit(MOST_KINDS).collect())  # all of them: the traits allow fewer
     if not rows or not any(k for _, _, k in rows):

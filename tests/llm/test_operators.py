@@ -344,6 +344,13 @@ def test_redact(spark, docs, no_docs):
     assert pii.redact(no_docs).count() == 0 and pii.redact(docs).count() == docs.count()
 
 
+@pytest.mark.parametrize("n", [20, 2000])
+def test_other_forms_are_found_at_every_size(spark, n):
+    given_ = [(k, f"Write to me{k}@mail.example.org or to you{k} [at] mail{k} [dot] com, host 10[.]2[.]{k % 250}[.]4 is up, so is 2001:db8:0:0:0:0:0:{k % 999}") for k in range(n)]
+    texts = {r["text"] for r in pii.redact(spark.createDataFrame(given_, "doc_id long, text string")).collect()}
+    assert texts == {"Write to [EMAIL] or to [EMAIL], host [IP] is up, so is [IP]"}
+
+
 # Scores
 
 
