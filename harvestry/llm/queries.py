@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, decontam, hostrep, jaccard, linerules, mainhtml, packing, pii, quality, toxicity, twins
+from harvestry.llm import chat, decontam, hostrep, jaccard, linerules, mainhtml, merkle, packing, pii, quality, toxicity, twins
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_ngram_jaccard_join", twins.JACCARD)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)
+
+
+@query("op13_merkle_manifest", twins.MANIFEST)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"))

@@ -84,3 +84,31 @@ links as (select a, b from shared join n p on p.doc_id = a join n q on q.doc_id
 reach(a, b) as (select doc_id, doc_id from d union select r.a, l.b from reach r join links l on r.b = l.a)
 select d.doc_id, coalesce(n.n, 0) as n_shingles, c.component_id from d left join n using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by a) c using (doc_id)
 """
+
+_LEAF = " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}"))
+_RUNS = "partition by {0}, level, pos // 16 order by pos rows between"
+_SIBLINGS = """coalesce(string_agg(digest, '') over ({0} unbounded preceding and 1 preceding), '') as l, coalesce(string_agg(digest, '') over ({0} 1 following and unbounded following), '') as r"""
+
+MANIFEST = f"""
+with recursive crc_table as (select [list_reduce([i] || range(8), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) for i in range(256)] as crc),
+leaves as (select row_number() over () as row, doc_id, source, sha256({_LEAF.format("text")}) as leaf, sha256({_LEAF.format(f"translate(text, '{UPPER}', '{LOWER}')")}) as lowered,
+  xor(list_reduce([4294967295] || [ascii(c)::bigint for c in string_split(doc_id::varchar, '')], lambda c, b: xor(c // 256, crc[xor(c, b) % 256 + 1])), 4294967295) as code from documents, crc_table),
+first as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by source) as n from leaves),
+tree as (select 0 as level, source, pos, leaf as digest, n from first
+  union all select level + 1, source, pos // 16, sha256(string_agg(digest, '' order by pos)), (n + 15) // 16 from tree where n > 1 group by level, source, pos // 16, n),
+subroots as (select source, digest as subroot from tree where n = 1),
+upper_ as (select 0 as level, row_number() over (order by source nulls first) - 1 as pos, subroot as digest, count(*) over () as n from subroots
+  union all select level + 1, pos // 16, sha256(string_agg(digest, '' order by pos)), (n + 15) // 16 from upper_ where n > 1 group by level, pos // 16, n),
+root as (select digest as root from upper_ where n = 1),
+steps as (select source, level, pos, {_SIBLINGS.format(_RUNS.format("source"))} from tree where n > 1),
+above as (select level, pos, {_SIBLINGS.format(_RUNS.format("1"))} from upper_ where n > 1),
+known as (select row, doc_id, f.source, subroot, leaf, case when code % 5 = 0 then lowered else leaf end as start, f.pos,
+  (select count(*) from subroots s where s.source < f.source or (s.source is null and f.source is not null)) as place from first f join subroots s2 on s2.source is not distinct from f.source),
+path as (select row, s.level, l, r from known k join steps s on s.source is not distinct from k.source and s.pos = k.pos // pow(16, s.level)::bigint
+  union all select row, 1000 + a.level, l, r from known k join above a on a.pos = k.place // pow(16, a.level)::bigint),
+listed as (select row, list(struct_pack(l := l, r := r) order by level) as path, string_agg(l || r, '' order by level) as proof from path group by row)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256,
+  list_reduce([start] || coalesce([s.l || '|' || s.r for s in path], []), lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2))) as folded_root,
+  list_reduce([start] || coalesce([s.l || '|' || s.r for s in path], []), lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2))) = root as verified
+from known left join listed using (row), root
+"""
