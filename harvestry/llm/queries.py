@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, decontam, hostrep, jaccard, linerules, mainhtml, merkle, packing, pii, quality, toxicity, twins
+from harvestry.llm import alignment, chat, decontam, hostrep, jaccard, linerules, mainhtml, merkle, packing, pii, quality, toxicity, twins
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,10 +17,10 @@ SEQUENCE_TOKENS = 2048
 TOXIC, GOOD = 0.3, 0.7
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def query(name: str, sql: str | None = None):
@@ -95,6 +95,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)
 
 
+@query("op12_tokenizer_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op13_merkle_manifest", twins.MANIFEST)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
