@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import alignment, chat, decontam, hostrep, jaccard, linerules, mainhtml, merkle, packing, pii, quality, toxicity, twins
+from harvestry.llm import alignment, chat, decontam, hostrep, jaccard, linerules, mainhtml, merkle, packing, pii, quality, simhash, toxicity, twins
 from harvestry.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), size=5, percent=80)
 
 
+@query("op11_simhash_near_duplicates")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), size=3, radius=3)
+
+
 @query("op12_tokenizer_alignment")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
