@@ -19,14 +19,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.llm.common import tidy
+
 WINDOW = 10
 #: Characters of test items in one broadcast; a longer single item makes a block of its own.
 BLOCK_CHARS = 4_000_000
-#: Documents and bytes of a shard.
-SHARD_DOCS, SHARD_BYTES = 4000, 16_000_000
+#: Documents and bytes of a shard; a longer document is a shard of its own.
+SHARD_DOCS, SHARD_BYTES = 4000, 4_000_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 #: Word ids take 21 bits, three to a sort key; four keys hold a window and two words more.
 BITS, KEYS = 21, 4
@@ -93,15 +96,21 @@ def _bounds(keys: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:
     return low
 
 
-def find(texts: list[list[bytes]], block: TestBlock) -> dict[int, tuple[np.ndarray, set[int], int, int]]:
+def numbered(texts: list[str | None], block: TestBlock) -> list[np.ndarray]:
+    """Each text's words as ids of the block's vocabulary, 0 for others; the words of one text are held at a time."""
+    know = block.vocabulary.get
+    return [np.array([know(w, 0) for w in words(t)], np.int32) for t in texts]
+
+
+def find(texts: list[np.ndarray], block: TestBlock) -> dict[int, tuple[np.ndarray, set[int], int, int]]:
     """By document of the shard: hit word places, items found, length and place of the longest match."""
     if not block.windows:
         return {}
     sizes = np.array([len(t) + 1 for t in texts], np.int64)  # one empty word ends each document
-    first, know = np.cumsum(sizes) - sizes, block.vocabulary.get
+    first = np.cumsum(sizes) - sizes
     ids = np.zeros(int(sizes.sum()) + 3 * KEYS, np.int64)
     for at, text in zip(first, texts):
-        ids[at : at + len(text)] = [know(w, 0) for w in text]
+        ids[at : at + len(text)] = text
     n = len(ids) - 3 * KEYS
     may = np.zeros(n, bool)
     for k, table in enumerate(block.starts):
@@ -138,7 +147,7 @@ def find(texts: list[list[bytes]], block: TestBlock) -> dict[int, tuple[np.ndarr
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, sizes = 0, np.cumsum([len(t) if t else 0 for t in batch.column("text").to_pylist()] or [0])
+        at, sizes = 0, np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
         while at < batch.num_rows:
             start = sizes[at - 1] if at else 0
             stop = max(at + 1, min(at + SHARD_DOCS, int(np.searchsorted(sizes, start + SHARD_BYTES, side="right"))))
@@ -150,7 +159,7 @@ def _search(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
     block: TestBlock = shared.value
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64(), pa.int64())
     for shard in _shards(batches):
-        texts = [words(t) for t in shard.column("text").to_pylist()]
+        texts = numbered(shard.column("text").to_pylist(), block)
         found = find(texts, block)
         rows = []
         for k, (doc_id, text_hash) in enumerate(zip(shard.column("doc_id").to_pylist(), shard.column("text_hash").to_pylist())):
@@ -183,7 +192,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     context, found = docs.sparkSession.sparkContext, None
     for block in test_blocks(items):
         shared = context.broadcast(block)
-        own = narrow.mapInArrow(lambda b, shared=shared: _search(b, shared), FOUND)
+        own = narrow.mapInArrow(lambda b, shared=shared: tidy(_search(b, shared)), FOUND)
         found = own if found is None else found.unionByName(own)
     # Rows of one id and text are alike, so they may meet; the first block says how many there are.
     joined = found.groupBy("doc_id", "text_hash").agg(
@@ -195,7 +204,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _clean(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     for shard in _shards(batches):
-        found = find([words(t) for t in shard.column("text").to_pylist()], shared.value)
+        found = find(numbered(shard.column("text").to_pylist(), shared.value), shared.value)
         yield shard.filter(pa.array([k not in found for k in range(shard.num_rows)], pa.bool_()))
 
 
@@ -204,5 +213,5 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     context = docs.sparkSession.sparkContext
     for block in test_blocks(items):
         shared = context.broadcast(block)
-        docs = docs.mapInArrow(lambda b, shared=shared: _clean(b, shared), docs.schema)
+        docs = docs.mapInArrow(lambda b, shared=shared: tidy(_clean(b, shared)), docs.schema)
     return docs

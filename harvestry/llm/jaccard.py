@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import stored
+from harvestry.llm.common import stored, tidy
 
 BUCKETS = 1 << 18
 #: Rows of one n-gram's list that meet in one block.
@@ -58,6 +58,10 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def _forget() -> None:
+    _HASHES.clear()
+
+
 def _scramble(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     return x ^ (x >> np.uint64(27))
@@ -331,7 +335,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
     """Set key, size, parts, id and text hash of every row, and the tasks' bucket counts (where ``bucket`` is not null)."""
-    return stored(_texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: _sign(b, size), SIGNED), "signed")
+    return stored(_texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: tidy(_sign(b, size), _forget), SIGNED), "signed")
 
 
 def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -342,7 +346,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     for bucket, n in signed.where("bucket is not null").groupBy("bucket").agg(F.sum("docs")).collect():  # at most BUCKETS rows
         counts[bucket] = n
     rarity = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-    prefixes = texts.mapInArrow(lambda b: _prefixes(b, rarity, size, percent), "token long, sig long, n int, place int")
+    prefixes = texts.mapInArrow(lambda b: tidy(_prefixes(b, rarity, size, percent), _forget), "token long, sig long, n int, place int")
     live = stored(prefixes.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(_live, "token long, sig long, n int, place int"), "live")
     rows = signed.where("bucket is null and n > 0")
     classes = stored(rows.groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "classes")
@@ -356,7 +360,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
             pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-        made = _sieved(texts, "doc_id", wanted, lambda b: _sets(b, size), "sig long, n int, hashes binary, map binary")
+        made = _sieved(texts, "doc_id", wanted, lambda b: tidy(_sets(b, size), _forget), "sig long, n int, hashes binary, map binary")
         sets = stored(made.dropDuplicates(["sig"]), "sets")
         one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("map").alias("x")), "a")
         both = one.join(sets.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import stored
+from harvestry.llm.common import stored, tidy
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, shard int"
 #: Ranks within a length are counted per shard, so that a frequent length spreads over this many tasks.
@@ -88,6 +88,10 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def _forget() -> None:
+    _ENCODERS.clear()
+
+
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
@@ -107,7 +111,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: in
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of each document's ids and one ``end_id``."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: _cut(b, tokenizer, capacity, end_id), PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lambda b: tidy(_cut(b, tokenizer, capacity, end_id), _forget), PIECES)
 
 
 @dataclass

@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import held_out, stored
+from harvestry.llm.common import held_out, stored, tidy
 from harvestry.llm.quality import labelled
 
 MOST_ROWS, MOST_TERMS, LEAST_DOCS, LEAST_WEIGHT, SURPRISE, STEMS = 20_000, 20_000, 4, 2.0, 0.75, range(4, 7)
+#: Terms whose counts a task holds before it gives them out.
+HELD_TERMS = 200_000
 
 # Look-alikes of Latin letters, digits and signs that stand for letters, and harmless phrases.
 LOOKALIKES = dict(zip("аеорсухіјѕԁһӏԛԝвкмнтαορυνικτεɑɡ", "aeopcyxijsdhlqwbkmhtaopuvikteag"))
@@ -100,13 +102,19 @@ class Lexicon:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def give() -> pa.RecordBatch:
+        names = list(found[0].keys() | found[1].keys())
+        return pa.record_batch([pa.array(names, pa.string()), *(pa.array([found[k][t] for t in names], pa.int64()) for k in (1, 0))], names=["term", "n1", "n0"])
+
+    found: dict[int, Counter] = {0: Counter(), 1: Counter()}
     for batch in batches:
-        found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for at in range(0, batch.num_rows, 500):
-            for label, text in zip(batch.column("label").slice(at, 500).to_pylist(), batch.column("text").slice(at, 500).to_pylist()):
+        for at in range(0, batch.num_rows, 100):
+            for label, text in zip(batch.column("label").slice(at, 100).to_pylist(), batch.column("text").slice(at, 100).to_pylist()):
                 found[label].update(terms(text))
-        names = list(found[0].keys() | found[1].keys())
-        yield pa.record_batch([pa.array(names, pa.string()), *(pa.array([found[k][t] for t in names], pa.int64()) for k in (1, 0))], names=["term", "n1", "n0"])
+            if len(found[0]) + len(found[1]) > HELD_TERMS:
+                yield give()
+                found = {0: Counter(), 1: Counter()}
+    yield give()
 
 
 def _featured(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, column: str) -> Iterator[pa.RecordBatch]:
@@ -140,7 +148,7 @@ def learn(docs: DataFrame, labels: DataFrame, column: str = "toxic", most_rows:
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     lexicon = Lexicon({})
     if n1 and n0:
-        counted = stored(sample.mapInArrow(_count, "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST_DOCS), "terms")
+        counted = stored(sample.mapInArrow(lambda b: tidy(_count(b)), "term string, n1 long, n0 long").groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") + F.col("n0") >= LEAST_DOCS), "terms")
         n, share = F.col("n1") + F.col("n0"), n1 / (n1 + n0)
         weight = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
         # Log likelihood ratio against the common share; at the log of the number of terms, chance alone would yield about one.
@@ -171,4 +179,4 @@ def _spare(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, most: float) ->
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs``, unchanged, whose score is below ``threshold``; ``text`` must be a string column."""
-    return docs.mapInArrow(lambda b: _spare(b, lexicon, threshold), docs.schema)
+    return docs.mapInArrow(lambda b: tidy(_spare(b, lexicon, threshold)), docs.schema)
