@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions.text import is_blank, match_key, safe_key, strip
 from harvestry.operators.ordering import keep_first, keep_last
+from harvestry.session import pinned
 
 
 def merge_detail(rows: DataFrame, details: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -44,26 +45,28 @@ def pending(candidates: DataFrame, name: str, done: DataFrame, columns: Sequence
 def resolve_entity(queries: DataFrame, query: str, reference: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """Exact match on the comparison key first; else the one record whose key ends with the query's; else unresolved.
 
-    The suffix rule is an equi join: each reference key is stacked into its suffixes, and every suffix is
-    reduced to a count and one record before it meets the queries, so a common suffix costs one row.
+    The suffix rule is an equi join of narrow rows: records are numbered, each distinct key is counted and keeps its first record's number, and is stacked into the
+    suffixes whose lengths occur among the queries. Suffixes are counted map-side before they meet the queries, so a suffix that all records share costs
+    one row a task. Whole records are fetched last, by number, one for each key that has a match. ``order`` is unique among records of one key; where it
+    is not, the record with the smallest values counts.
     """
-    whole = F.struct(*[F.col(c) for c in reference.columns])
-    first = F.struct(*[F.col(o) for o in order])
-    keyed = reference.withColumn("_key", match_key(F.col(name))).filter(F.col("_key") != "")
-    exact = keyed.groupBy("_key").agg(F.min_by(whole, first).alias("_exact"))
-    tails = keyed.filter(F.length("_key") > 1).withColumn(
-        "_tail", F.explode(F.transform(F.sequence(F.lit(2), F.length("_key")), lambda i: F.substring(F.col("_key"), i, F.length("_key")))))
-    wanted = queries.select(match_key(F.col(query)).alias("_tail")).filter(F.col("_tail") != "").distinct()
-    suffix = (tails.join(wanted, "_tail", "left_semi").groupBy("_tail")
-              .agg(F.count("*").alias("_n"), F.min_by(whole, first).alias("_only")))
-    asked = queries.withColumn("_key", match_key(F.col(query)))
-    hit = (asked.join(exact, "_key", "left")
-           .join(suffix.withColumnRenamed("_tail", "_key"), "_key", "left"))
-    match = F.coalesce(F.col("_exact"), F.when(F.col("_n") == 1, F.col("_only")))
-    how = F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_n") == 1, "suffix").otherwise("")
-    return (hit.withColumn("_match", match).withColumn("match_kind", how)
-            .select(*queries.columns, *[F.col(f"_match.{c}").alias(c) for c in reference.columns], "match_kind",
-                    F.when(F.col("match_kind") != "", "Y").otherwise("N").alias("resolved")))
+    first = F.struct(*[F.col(o) for o in order], F.xxhash64(*[F.col(c).cast("string") for c in reference.columns]).alias("_hash"))
+    keyed = reference.withColumn("_rkey", match_key(F.col(name))).withColumn("_first", first).filter(F.col("_rkey") != "")
+    keys = pinned(keyed.groupBy("_rkey").agg(F.count("*").alias("_n"), F.min("_first").alias("_least")))
+    wanted = pinned(queries.select(match_key(F.col(query)).alias("_key")).filter(F.col("_key") != "").distinct())
+    # Lengths of names: a handful of numbers, whatever the number of queries.
+    lengths = [r[0] for r in wanted.select(F.length("_key").alias("n")).distinct().collect()]
+    tails = keys.select("_n", "_least", F.explode(F.filter(
+        F.transform(F.lit(sorted(lengths)).cast("array<int>"), lambda n: F.when(n < F.length("_rkey"), F.expr("_rkey").substr(F.length("_rkey") - n + 1, n))), lambda x: x.isNotNull())).alias("_key"))
+    counted = tails.groupBy("_key").agg(F.sum("_n").alias("_n"), F.min("_least").alias("_least")).filter("_n = 1")
+    exact = keys.select(F.col("_rkey").alias("_key"), F.lit("exact").alias("match_kind"), "_least")
+    found = exact.unionByName(counted.select("_key", F.lit("suffix").alias("match_kind"), "_least")).join(wanted, "_key", "left_semi")
+    best = found.groupBy("_key").agg(F.min_by("_least", F.col("match_kind")).alias("_first"), F.min("match_kind").alias("match_kind"))
+    # A record is asked for by its first-row mark; rows that agree in all columns are one.
+    records = keyed.join(best.select("_first").distinct(), "_first", "left_semi").select("_first", *reference.columns).dropDuplicates(["_first"])
+    hits = best.join(records, "_first").drop("_first")
+    joined = queries.withColumn("_key", match_key(F.col(query))).join(hits, "_key", "left")
+    return joined.select(*queries.columns, *reference.columns, F.coalesce("match_kind", F.lit("")).alias("match_kind"), F.when(F.col("match_kind").isNotNull(), "Y").otherwise("N").alias("resolved"))
 
 
 def resolve_exact(queries: DataFrame, query: str, reference: DataFrame, name: str, order: Sequence[str], norm=None) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from harvestry.functions import markup as mk
 from harvestry.functions.text import (classify_board, collapse, encode_body, extract_contact, extract_party, extract_phone, extract_project_no, first_non_empty,
                                       labeled_value, norm_text, pick, strip_tags, trade_type_gate, union_flag, unit_before_year)
+from harvestry.session import scratch_path
+from harvestry.sources.writers import write_routed
 from harvestry.specs import words
 
 
@@ -30,11 +32,11 @@ MODULE_RULE = (words.INTENTION_MODULES, ("需求", "意向"), words.INTENTION)
 RESULT_HEADERS = ("中标供应商名称", "供应商名称", "中标单位", "中标人", "成交供应商")
 
 
-def common_context(pages: DataFrame, selectors: Sequence[str]) -> DataFrame:
+def common_context(pages: DataFrame, selectors: Sequence[str], labels: bool = False) -> DataFrame:
     """One pass over the pages: main block, text, tables and field map, then every field from its candidate list.
 
     ``pages`` carries url, html and the list row (title, publish_time, project_no, module, notice_type, trade_type).
-    Fields come from the labelled map first, then text patterns, then the list row.
+    Fields come from the labelled map first, then text patterns, then the list row. ``labels`` adds the map's labels.
     """
     cut = pages.withColumn("main_html", mk.first_block("html", selectors))
     parsed = mk.parse_tables(cut, "main_html").withColumns({"lines": mk.plain_lines("main_html"), "detail_title": mk.extract_title("main_html"),
@@ -52,6 +54,7 @@ def common_context(pages: DataFrame, selectors: Sequence[str]) -> DataFrame:
         "contact_name": first_non_empty(*field("联系人"), extract_contact("lines")),
         "contact_phone": first_non_empty(*field("联系电话", "联系方式"), extract_phone("lines")),
         "board": classify_board(collapse("notice_type"), BOARD_RULES, words.BID, module=collapse("module"), module_rule=MODULE_RULE),
+        **({"labels": F.map_keys("fields")} if labels else {}),
     }).drop("fields", "detail_title")
 
 
@@ -121,9 +124,16 @@ def build_intention(context: DataFrame, site: Site, keep: Sequence[str] = ()) ->
 BUILDERS = {words.BID: build_bid, words.WIN: build_win, words.CANDIDATE: build_candidate, words.INTENTION: build_intention}
 
 
-def build_standard(context: DataFrame, site: Site, keep: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Four outputs by board. Pin the context first when more than one output is written."""
-    return {board: build(context.filter(F.col("board") == board), site, keep) for board, build in BUILDERS.items()}
+def build_standard(context: DataFrame, site: Site, keep: Sequence[str] = (), **options: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Four outputs by board; ``options`` go to the board's builder. Route the context first when more than one output is written."""
+    return {board: build(context.filter(F.col("board") == board), site, keep, **options.get(board, {})) for board, build in BUILDERS.items()}
+
+
+def routed(context: DataFrame) -> DataFrame:
+    """The context written once, a folder per board, and read back: each output then reads its own board's rows, and pages are parsed once."""
+    path = scratch_path(context.sparkSession, "boards")
+    write_routed(context, path, "board")
+    return context.sparkSession.read.schema(context.schema).parquet(path)
 
 
 def apply_enrichment(records: DataFrame, enriched: DataFrame, key: str, fields: Sequence[str], ok: str, reset: Sequence[str] = ()) -> DataFrame:

@@ -11,11 +11,10 @@ from harvestry.functions.text import any_contains, classify_board, let, strip_ed
 from harvestry.operators import flagships as fl
 from harvestry.operators import pages as pg
 from harvestry.operators import records as rc
-from harvestry.plans.inputs import NOTICE_PAGE
+from harvestry.plans.inputs import NOTICE_PAGE, _fill
 from harvestry.plans.pages import ORIGIN
 from harvestry.plans.registry import query
 from harvestry.plans.text import ENTITIES, squeezed
-from harvestry.session import pinned
 
 SITE = rc.Site("990000", "测试省", "990100", "测试市", "测试平台")
 MODULE = "case o_custkey % 3 when 0 then '政府采购' when 1 then '工程建设' else '国企采购' end"
@@ -80,8 +79,7 @@ def b5(t):
 
 @query("b6_build_standard", f"select o_orderkey, {BOARD} as board, {MODULE} as module, 'http://n.example.com/list/' || o_orderkey as url from orders")
 def b6(t):
-    # Four outputs share one parse of the pages.
-    boards = rc.build_standard(pinned(context(t)), SITE, ["o_orderkey", "board"])
+    boards = rc.build_standard(rc.routed(context(t)), SITE, ["o_orderkey", "board"])
     parts = [df.select("o_orderkey", "board", F.col("parentType").alias("module"), F.col("originalWebsiteAddress").alias("url")) for df in boards.values()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -153,12 +151,69 @@ def b9_counts(t):
     return fl.backfill_counts(backfilled(t))
 
 
-@query("b10_notices", f"""
-select page_id, {squeezed(ENTITIES.format(squeezed('''regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)''')))} as title, len(regexp_extract_all(html, 'href="([^"]+)"', 1)) - len(list_filter(regexp_extract_all(html, 'href="([^"]+)"', 1), lambda x: false)) - 
-  (len(regexp_extract_all(html, 'href="([^"]+)"', 1)) - len(list_distinct(list_transform(regexp_extract_all(html, 'href="([^"]+)"', 1), lambda h: case when h in ('/.', '/..') then '/' else h end)))) as n_links,
-  case when regexp_matches(lower(url), 'casino|bets|pills') then '候选人公告' when url like '%/en/%' then '中标公告' when url like '%/fr/%' then '采购意向' else '招标公告' end as board, length(regexp_extract(html, '(?s)(<article>.*</article>)', 1)) as main_chars from pages""")
+# Five shapes of detail page: one result row; labelled text without tables; several winners; no main block and unclosed tags; nothing but a title and a date.
+SHAPES = [
+    "'<div class=\"wrap\"><h1>标题 {o}</h1><p>项目编号：JN-{o}</p><table><tr><th>序号</th><th>中标单位</th><th>中标金额（元）</th></tr><tr><td>1</td><td>公司<b>{c}</b></td><td>{c}</td></tr></table><table><tr><td>采购人：</td><td>甲{c}</td><td>联系人</td><td>王{c}</td></tr></table><a href=\"/f/{o}.PDF\">文件 {o}</a></div>'",
+    "'<div class=\"wrap\"><h1>标题 {o}</h1><p>项目编号：TX-{o}</p><p>采购单位：乙{c}</p><p>预算金额：{c}元</p><p>采购方式：公开招标</p><p>联系电话：0531-{c}</p></div>'",
+    "'<div class=\"wrap\"><h2>标题 {o}</h2><table><tr><td>招标人</td><td>丙{c}</td></tr></table><table><tr><th>中标单位</th><th>中标金额（元）</th></tr><tr><td>甲{c}公司、乙{c}公司</td><td>{o}</td></tr><tr><td>丁{c}</td><td>7</td></tr></table><a href=\"/f/{o}.doc\">附件</a><a href=\"/f/{o}.doc\">again</a><a href=\"/g/{c}.pdf\">二</a></div>'",
+    "'<p>开头{c}<p>项目编号：BD-{o}<p>中标单位：戊{c}<p>中标金额：{c}.50元'",
+    "'<div class=\"wrap\"><h1>标题 {o}</h1><p>发布日期：2020-01-01</p></div>'",
+]
+SHAPE = "case cast(floor(o_custkey / 4) as int) % 5 " + " ".join(f"when {k} then {_fill(s)}" for k, s in enumerate(SHAPES)) + " end"
+TASK_MODULE = "case o_custkey % 4 when 0 then '政府采购' when 1 then '工程建设' when 2 then '国企采购' else '土地矿产' end"
+TASK_TYPE = "case o_orderkey % 5 when 0 then '采购需求(意向)' when 1 then '中标候选人公示' when 2 then '结果公示' when 3 then '合同及履约' else '招标公告' end"
+
+
+def noticed(t, win_rows="first"):
+    """Cards of all orders met with their pages: one page in seven has not landed, one in eleven was captured twice."""
+    url = F.concat(F.lit("http://n.example.com/list/"), F.col("o_orderkey"))
+    cards = t.orders.select("o_orderkey", url.alias("url"), F.concat(F.lit("列表 "), F.col("o_orderkey")).alias("title"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publish_time"),
+                            F.lit("L1").alias("project_no"), F.expr(TASK_MODULE).alias("module"), F.expr(TASK_TYPE).alias("notice_type"), F.expr(TRADE_TYPE).alias("trade_type"))
+    landed = t.wide("orders").filter("o_orderkey % 7 <> 3")
+    pages = landed.select(url.alias("url"), F.concat(F.lit("<html><body>"), F.expr(SHAPE), F.lit("</body></html>")).alias("html"))
+    again = landed.filter("o_orderkey % 11 = 0").select(url.alias("url"), F.lit("<html>cut").alias("html"))
+    ok = t.orders.filter("o_orderkey % 13 = 0").select("o_orderkey", F.lit(True).alias("ok"), F.concat(F.lit(" 模型 "), F.col("o_orderkey")).alias("tenderTitle"), F.lit("").alias("procurementUnit"))
+    extra = {"中标公告": fl.Enrichment(ok, ["tenderTitle", "procurementUnit"], "ok", ["procurementUnit"])}
+    return fl.notices(cards, pages.unionByName(again), [".wrap", "body"], SITE, "o_orderkey", extra, win_rows)
+
+
+def board_columns(boards):
+    """One table of the four boards; what a board has not is ''."""
+    text = lambda name, **own: F.coalesce(own[name].cast("string"), F.lit("")).alias(name) if name in own else F.lit("").alias(name)
+    names = ("title", "number", "unit", "company", "money", "kind", "code", "is_union", "method", "budget", "date", "ranks", "mix", "contact", "files")
+    own = {
+        "招标公告": {"title": F.col("announcementTitle"), "number": F.col("projectNum"), "unit": F.col("releaseSource"), "kind": F.col("bidType"), "code": F.col("announcementType"), "method": F.col("procurementMethod"),
+                 "budget": F.col("budgetAmount"), "date": F.col("releaseTime"), "contact": F.array_join(F.concat("consultationInfo.purchasing", "consultationInfo.project"), "|"), "files": F.size("fileInfo")},
+        "中标公告": {"title": F.col("tenderTitle"), "number": F.col("tenderNumber"), "unit": F.col("procurementUnit"), "company": F.col("relationCompanyName"), "money": F.col("renderMoney"), "kind": F.col("renderType"),
+                 "code": F.col("announcementType"), "is_union": F.col("isUnion"), "date": F.col("renderDate"), "contact": F.concat_ws("|", "contactName", "contactTelephone"), "files": F.size("uploadFileUrl")},
+        "候选人公告": {"title": F.col("tenderTitle"), "number": F.col("extra.tenderNumber"), "unit": F.col("procurementUnit"), "company": F.col("relationCompanyName"), "kind": F.col("renderType"),
+                  "ranks": F.array_join("extra.candidateSort", "|"), "date": F.col("renderDate"), "files": F.size("uploadFileUrl")},
+        "采购意向": {"title": F.col("procurementTitle"), "unit": F.col("releaseSource"), "kind": F.col("bidType"), "date": F.col("releaseDatetime"),
+                 "mix": F.concat_ws("/", F.array_join("releaseContentMix.head", "|"), F.size("releaseContentMix.body").cast("string")), "files": F.size("fileInfo")},
+    }
+    parts = [df.select("o_orderkey", F.lit(board).alias("board"), *[text(n, **own[board]) for n in names]) for board, df in boards.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+NOTICES_TWIN = f"""
+with p as (select *, cast(floor(o_custkey / 4) as int) % 5 as s, {TASK_MODULE} as module, {TASK_TYPE} as type, {TRADE_TYPE} as trade from orders where o_orderkey % 7 <> 3),
+b as (select *, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as c, strftime(o_orderdate, '%Y-%m-%d') as day, case when module = '工程建设' and o_orderkey % 2 = 1 then '' else trade end as gate,
+  case when o_orderkey % 5 = 0 and module = '政府采购' then '采购意向' when o_orderkey % 5 = 1 then '候选人公告' when o_orderkey % 5 in (2, 3) then '中标公告' else '招标公告' end as board
+  from p where not (s = 4 and module = '土地矿产' and type in ('招标公告', '结果公示'))),
+f as (select *, case when s = 3 then '列表 ' else '标题 ' end || k as heading, case s when 0 then 'JN-' || k when 1 then 'TX-' || k when 3 then 'BD-' || k else 'L1' end as number_,
+  case s when 0 then '甲' || c when 1 then '乙' || c when 2 then '丙' || c else '' end as unit_, case s when 0 then '公司 ' || c when 2 then '甲' || c || '公司、乙' || c || '公司' when 3 then '戊' || c else '' end as company_ from b)
+select o_orderkey, board, case when board = '中标公告' and o_orderkey % 13 = 0 then '模型 ' || k else heading end as title, case when board = '采购意向' then '' else number_ end as number,
+  case when board = '采购意向' then trim(regexp_extract(heading, '^(.*?)20[0-9][0-9]', 1)) when board = '中标公告' and o_orderkey % 13 = 0 then '' else unit_ end as unit, case when board in ('中标公告', '候选人公告') then company_ else '' end as company,
+  case when board <> '中标公告' then '' when s = 0 then c || '元' when s = 2 then k || '元' when s = 3 then c || '.50元' else '' end as money,
+  case board when '招标公告' then gate when '中标公告' then case when module = '工程建设' then gate else '' end when '候选人公告' then '中标候选人' else type end as kind,
+  case board when '招标公告' then type when '中标公告' then case when o_orderkey % 5 = 3 then '1' else '2' end else '' end as code, case when board = '中标公告' then '0' else '' end as is_union,
+  case when board = '招标公告' and s = 1 then '公开招标' else '' end as method, case when board <> '招标公告' then '' when s = 1 then c || '元' when s = 3 then c || '.50元' else '' end as budget, day as date,
+  case when board <> '候选人公告' then '' when s = 0 then '第一候选人：公司 ' || c when s = 2 then '第一候选人：' || company_ || '|第二候选人：丁' || c else '' end as ranks,
+  case when board <> '采购意向' then '' when s = 0 then '序号|中标单位|中标金额（元）/1' when s = 2 then '招标人|丙' || c || '/0' else '0' end as mix,
+  case board when '招标公告' then case s when 0 then '名称：甲' || c || '|项目联系人：王' || c when 1 then '名称：乙' || c || '|电话：0531-' || c when 2 then '名称：丙' || c else '' end
+    when '中标公告' then case s when 0 then '王' || c || '|' when 1 then '|0531-' || c else '|' end else '' end as contact, case s when 0 then '1' when 2 then '2' else '0' end as files from f"""
+
+
+@query("b10_notices", NOTICES_TWIN)
 def b10(t):
-    rules = [(("casino", "bets", "pills"), "候选人公告"), (("/en/",), "中标公告"), (("/fr/",), "采购意向")]
-    found = t.pages.withColumn("_hrefs", mk.hrefs("html"))
-    return found.select("page_id", mk.extract_title("html").alias("title"), F.size(mk.page_links("_hrefs", F.col("url"))).alias("n_links"),
-                        classify_board(F.lower("url"), rules, "招标公告").alias("board"), F.length(mk.first_block("html", ["article", "body"])).alias("main_chars"))
+    return board_columns(noticed(t))
