@@ -21,7 +21,7 @@ def duck():
 
 
 def test_all_are_offered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert {int(k[2:].split("_")[0]) for k in QUERIES} == set(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
