@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.jsonx import get_path
 from harvestry.functions.text import is_blank
+from harvestry.operators.ordering import with_previous
+from harvestry.session import pinned
 
 REPORT_LIMIT = 50
 
@@ -55,36 +58,37 @@ def record_issues(record: Column, checks: Checks) -> Column:
     return F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<rank:int,issue:string,field:string>>")
 
 
-def unique_issues(df: DataFrame, record: str, position: str, paths: Sequence[str]) -> DataFrame:
-    """Incomplete keys, and every occurrence of a key after the first. Nested parts compare by structure."""
-    parts = [get_path(F.col(record), p, "json") for p in paths]
-    keyed = df.select(position, *[p.alias(f"_k{i}") for i, p in enumerate(parts)])
-    names = [f"_k{i}" for i in range(len(paths))]
-    label, rank = F.lit(",".join(paths)).alias("field"), F.lit(1000).alias("rank")
-    complete = F.lit(True)
-    for n in names:
-        complete = complete & F.col(n).isNotNull()
-    # The first position per key is an aggregate, so a key shared by a third of the rows combines map-side.
-    firsts = keyed.filter(complete).groupBy(*names).agg(F.min(position).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-    repeated = keyed.filter(complete).join(firsts, names).filter(F.col(position) != F.col("_first"))
-    out = lambda d, kind: d.select(position, rank, F.lit(kind).alias("issue"), label)
-    return out(keyed.filter(~complete), "key_incomplete").unionByName(out(repeated, "duplicate_key"))
+def _narrow(df: DataFrame, record: str, position: str, checks: Checks) -> DataFrame:
+    """The only pass over the records: position, the issues of each record by itself, and the parts of its key. Nested parts compare by structure."""
+    parts = [get_path(F.col(record), p, "json").alias(f"_k{i}") for i, p in enumerate(checks.unique_by)]
+    rows = df.select(position, record_issues(F.col(record), checks).alias("_issues"), *parts)
+    return pinned(rows) if parts else rows
+
+
+def _issues(narrow: DataFrame, position: str, checks: Checks) -> DataFrame:
+    own = narrow.select(position, F.explode("_issues").alias("i")).select(position, "i.*")
+    if not checks.unique_by:
+        return own
+    names = [f"_k{i}" for i in range(len(checks.unique_by))]
+    complete = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+    # Rows are range-split on (key, position), so a key on a third of the rows spans many tasks; a row that has one of its key before it is a repeat.
+    repeated = with_previous(narrow.filter(complete).select(position, *names), names, [position], position).filter(F.col("previous").isNotNull())
+    out = lambda d, kind: d.select(position, F.lit(1000).alias("rank"), F.lit(kind).alias("issue"), F.lit(",".join(checks.unique_by)).alias("field"))
+    return own.unionByName(out(narrow.filter(~complete), "key_incomplete")).unionByName(out(repeated, "duplicate_key"))
 
 
 def validate(df: DataFrame, record: str, position: str, checks: Checks) -> DataFrame:
-    """All record issues: position, rank, issue, field."""
-    own = (df.select(position, F.explode(record_issues(F.col(record), checks)).alias("i")).select(position, "i.*"))
-    if checks.unique_by:
-        own = own.unionByName(unique_issues(df, record, position, checks.unique_by))
-    return own
+    """All record issues: position (unique), rank, issue, field. Incomplete keys, and every occurrence of a key after the first, are issues, too."""
+    return _issues(_narrow(df, record, position, checks), position, checks)
 
 
 def validation_report(df: DataFrame, record: str, position: str, checks: Checks) -> DataFrame:
     """One row: records, issues, ok flag, the first issues in order and how many more there are."""
-    issues = validate(df, record, position, checks)
+    narrow = _narrow(df, record, position, checks)
+    issues = _issues(narrow, position, checks)
     sample = (issues.orderBy(position, "rank", "issue").limit(checks.report_limit)
               .agg(F.array_sort(F.collect_list(F.struct(position, "rank", "issue", "field"))).alias("first_issues")))
-    totals = df.agg(F.count("*").alias("records"))
+    totals = narrow.agg(F.count("*").alias("records"))
     found = issues.agg(F.count("*").alias("_found"))
     # Three one-row tables meet in an aggregate, not in a join.
     stacked = totals.unionByName(found, allowMissingColumns=True).unionByName(sample, allowMissingColumns=True)
