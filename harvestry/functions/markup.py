@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
+from harvestry.functions.cleaning import clean_page
 from harvestry.functions.text import OTHER_ENTITY, any_contains, basic_entities, canonical_label, col, collapse, join_lines, let, one_of, pick, strip, strip_tags
 from harvestry.functions.urls import url_path
 from harvestry.specs import words
@@ -255,56 +256,26 @@ def plain_lines(html: Column | str, entities: bool = True) -> Column:
     return join_lines(F.regexp_replace(bare, "<[^>]+>", "\n"), entities=entities)
 
 
-NOISE_NODE_TAGS = "p|div|li|span|td"
-GREETING = "尊敬的用户您好！"
-BUTTON_VALUES = ("澄清答疑", "我要参与")
-NOISE_TRACES = tuple(x.lower() for x in (words.NOISE_BREADCRUMB, GREETING, *words.NOISE_EXACT_TEXTS, *words.NOISE_PREFIXES, words.NOISE_HELP_PATH, words.NOISE_LOGIN_PATH))
-
-
-def noise_pattern() -> str:
-    """A small tag whose whole text is page furniture and holds no keep-marker."""
-    starts = "|".join([words.NOISE_BREADCRUMB, GREETING, *[rf"(?i:\Q{p}\E)" for p in words.NOISE_PREFIXES], rf"[^<]*(?i:\Q{words.NOISE_HELP_PATH}\E)",
-                       rf"(?i:http)[^<]*(?i:\Q{words.NOISE_LOGIN_PATH}\E)"])
-    exact = one_of(words.NOISE_EXACT_TEXTS)
-    keep = rf"(?![^<]*(?:{one_of(words.KEEP_TEXT_MARKERS)}))"
-    return rf"<({NOISE_NODE_TAGS})\b[^>]*+>\s*{keep}(?:(?:{starts})[^<]*|(?:{exact})\s*)</\1\s*>"
-
-
-FILE_TRACES = (".pdf", ".doc", ".xls", ".zip", ".rar", ".7z", "download", "attach", "file", "fj")
-FILE_MARKS = r"\.pdf|\.doc|\.docx|\.xls|\.xlsx|\.zip|\.rar|\.7z|download|attach|file|fj"
-# (traces, pattern, replacement): a page that holds none of the lower-case traces skips the step.
-CLEAN_STEPS: tuple[tuple[tuple[str, ...], str, str], ...] = (
-    (("<script", "<style", "<link"), r"(?is)<(script|style)\b.*?</\1\s*>|<link\b[^>]*>", ""),
-    (("关闭本页",), r"(?is)<!--(?:[^-关]|-(?!->)|关(?!闭本页))*+关闭本页(?:[^-]|-(?!->))*+-->|<(\w+)\b[^>]*onclick=['\"]window\.close[^'\"]*['\"][^>]*>\s*关闭本页\s*</\1>", ""),
-    (BUTTON_VALUES, rf"(?is)<input\b[^>]*value=['\"](?:{one_of(BUTTON_VALUES)})['\"][^>]*/?>", ""),
-    (("变更公告",), r"(?is)<li\b[^>]*class=['\"][^'\"]*\bbggg\b[^'\"]*['\"][^>]*>\s*变更公告\s*</li>", ""),
-    (FILE_TRACES, rf"(?is)<a\b[^>]*href\s*=\s*['\"][^'\"]*(?:{FILE_MARKS})[^'\"]*['\"][^>]*>.*?</a\s*>", ""),
-    (("pdf版招标文件",), r"(?is)<a\b[^>]*>\s*PDF版招标文件.*?</a\s*>", ""),
-    (("<a", "</a"), r"(?is)</?a\b[^>]*>", ""),
-    # Twice: a tag emptied by the first pass may leave its parent as a bare furniture tag.
-    (NOISE_TRACES, noise_pattern(), ""),
-    (NOISE_TRACES, noise_pattern(), ""),
-    (("display", "visibility"), r"(?i)(<[^>]*style\s*=\s*(['\"])[^'\"]*?)(?:display\s*:\s*none|visibility\s*:\s*hidden)\s*;?\s*", "$1"),
-    (("style",), r"(?i)\s+style\s*=\s*(['\"])[\s;]*\1", ""),
-    (("hidden",), r"(?i)(<[^>]*?)\s+hidden(?:\s*=\s*['\"][^'\"]*['\"])?(?=[\s/>])", "$1"),
-    (("hide",), r"(?i)(<[^>]*class\s*=\s*['\"](?:[^'\"]*\s)?)hide(?=[\s'\"])", "$1"),
-    (("class",), r"(?i)\s+class\s*=\s*(['\"])\s*\1", ""),
-)
-
-
-def clean_html(html: Column | str, extra: Sequence[tuple[tuple[str, ...], str, str]] = ()) -> Column:
-    """Scripts, attachment anchors and furniture out, other anchors unwrapped, hidden content shown."""
-    steps = (*CLEAN_STEPS, *extra)
-
-    def run(text: Column, low: Column, i: int) -> Column:
-        if i == len(steps):
-            return strip(text)
-        traces, pattern, new = steps[i]
-        done = F.when(any_contains(low, traces), F.regexp_replace(text, pattern, new)).otherwise(text)
-        return let(done, lambda t: run(t, low, i + 1))
-
-    # Steps only take text away, so traces looked up in the untouched page can never miss one.
-    return let(unwrap_nested_document(html), lambda page: let(F.lower(page), lambda low: run(page, low, 0)))
+#: What a page shows that has nodes to remove or to bring to light; others only lose scripts and anchor tags.
+CLEAN_TRACES = tuple(dict.fromkeys(x.lower() for x in (
+    words.NOISE_BREADCRUMB, words.GREETING, *words.NOISE_EXACT_TEXTS, *words.NOISE_PREFIXES, words.NOISE_HELP_PATH, words.NOISE_LOGIN_PATH, *words.BUTTON_VALUES, words.CLOSING_TEXT,
+    words.CHANGES_TEXT, words.POPUP_FRAME_ID, *words.FILE_MARKS, words.FILE_TEXT, "display", "visibility", "hidden", "hide")))
+SCRIPTS = r"(?is)<(script|style)\b.*?</\1\s*>|<link\b[^>]*>"
+
+
+@F.pandas_udf(StringType())
+def _cleaned(pages: pd.Series) -> pd.Series:
+    return pages.map(clean_page, na_action="ignore")
+
+
+def clean_html(html: Column | str) -> Column:
+    """Scripts out, attachment anchors and furniture out as whole nodes, other anchors unwrapped, hidden content shown.
+
+    Pages without a trace of what the node rules look for stay in the JVM.
+    """
+    bare = let(unwrap_nested_document(html), lambda p: F.regexp_replace(p, SCRIPTS, ""))
+    traced = let(F.lower(bare), lambda low: any_contains(low, CLEAN_TRACES))
+    return F.coalesce(_cleaned(F.when(traced, bare)), strip(F.regexp_replace(bare, r"(?is)</?a\b[^>]*>", "")))
 
 
 # --- tables --------------------------------------------------------------------

@@ -65,6 +65,19 @@ def x5_furniture(t):
     return t.wide("orders").select("o_orderkey", F.regexp_replace(cleaned, "<span></span>", "").alias("html"))
 
 
+# Furniture with nested tags, a button of another tag, the popup around its frame, a file known by its text, and hidden content; which of them a page has follows from its keys.
+_DIRTY = """'<html><body><div>当前位置：<b>首页</b> &gt; <a href="/i">建设</a></div>' || case o_orderkey % 3 when 0 then '<button value="我要参与"><b>参与</b></button>' when 1 then '<p>当前位置 <i>发布</i>人：甲</p>' else '<span onclick="window.close()"> 关闭本页 </span>' end
+  || case o_custkey % 4 when 0 then '<div class="shows hide"><p>澄清<iframe id="cqdyifram"></iframe></p></div>' when 1 then '<a href="/n">PDF版招标文件下载</a>' when 2 then '<div hidden>正文' || cast(o_custkey as string) || '</div>' else '<div>相关附件：<div>表' || cast(o_custkey as string) || '</div></div>' end
+  || '<p>正文' || cast(o_orderkey as string) || '<a href="/m">详情</a></p></body></html>'"""
+
+
+@query("x5_clean_nodes", """
+select o_orderkey, '<html><body>' || case o_orderkey % 3 when 1 then '<p>当前位置 <i>发布</i>人：甲</p>' else '' end || case o_custkey % 4 when 2 then '<div>正文' || o_custkey || '</div>' when 3 then '<div>相关附件：<div>表' || o_custkey || '</div></div>' else '' end
+  || '<p>正文' || o_orderkey || '详情</p></body></html>' as html from orders""")
+def x5_nodes(t):
+    return t.wide("orders").select("o_orderkey", mk.clean_html(F.expr(_DIRTY)).alias("html"))
+
+
 @query("x6_plain_text", f"""
 with m as (select page_id, regexp_replace(regexp_extract(html, '(?s)(<article>.*</article>)', 1), '<[^>]+>', chr(10), 'g') as x from pages)
 select page_id, array_to_string(list_filter(list_transform(string_split({ENTITIES.format('x')}, chr(10)), lambda y: {squeezed('y')}), lambda y: y <> ''), chr(10)) as body from m""")

@@ -95,6 +95,14 @@ NOISE_PREFIXES = (
 )
 NOISE_HELP_PATH = "ca/index.jsp#nav-7"
 NOISE_LOGIN_PATH = "/new_flogin/login.do"
+# Fixed values of page cleaning.
+GREETING = "尊敬的用户您好！"
+BUTTON_VALUES = ("澄清答疑", "我要参与")
+CLOSING_CALL, CLOSING_TEXT = "window.close", "关闭本页"
+CHANGES_CLASS, CHANGES_TEXT = "bggg", "变更公告"
+POPUP_CLASSES, POPUP_FRAME_ID = ("shows", "hide"), "cqdyifram"
+FILE_MARKS = (".pdf", ".doc", ".docx", ".xls", ".xlsx", ".zip", ".rar", ".7z", "download", "attach", "file", "fj")
+FILE_TEXT = "PDF版招标文件"
 BLANK_DETAIL_TASKS = (("土地矿产", "招标公告"), ("土地矿产", "结果公示"))
 BOILERPLATE_LINES = (
     r"^公告详情$", r"^当前位置.*$", r"^首页$", r"^>.*$", r"^公共资源交易编号[:：].*$", r"^发布日期[:：].*$",
