@@ -86,7 +86,7 @@ def q5(t):
     log_rows = streamed(t, "events", "event_id").select((F.col("user_id") % 7).alias("city"), F.expr("event_id div 97").alias("run"), "ts", kind.alias("kind"))
     flags = jobs.monitor_flags(log_rows, ["city"], "run", "ts", "kind")
     schema = "city bigint, run bigint, WasSuccessful int, WebsiteError int, HasContent int, HasNewData int, IsValidData int, flushed_at timestamp"
-    writer, log = jobs.stream_updates(flags, folder, schema)
+    writer, log = jobs.stream_updates(flags, folder, schema, ["city", "run"])
     jobs.run_to_end(writer)
     runs = keep_last(log.read(), ["city", "run"], ["batch_id"]).drop("batch_id")
     return keep_last(runs, ["city"], ["flushed_at", "run"]).drop("flushed_at")
@@ -96,7 +96,7 @@ def q5(t):
 def q6(t):
     folder = scratch_path(t.spark, "checkpoints")
     latest = jobs.latest_values(streamed(t, "events", "event_id"), "user_id", "event_type", "value", "event_id")
-    writer, log = jobs.stream_updates(latest, folder, "user_id bigint, event_type string, value double, event_id bigint")
+    writer, log = jobs.stream_updates(latest, folder, "user_id bigint, event_type string, value double, event_id bigint", ["user_id", "event_type"])
     jobs.run_to_end(writer)
     return keep_last(log.read(), ["user_id", "event_type"], ["batch_id"]).drop("batch_id")
 

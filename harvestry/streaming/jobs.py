@@ -1,12 +1,14 @@
 """Queue, retry, status and upsert streams.
 
 State that must survive between micro-batches lives in a batch log: one folder per batch id in the shared
-file system, overwritten when a batch is run again, so a replay after a lost executor or driver changes nothing.
+file system, overwritten when a batch is run again, so a replay after a lost executor or driver changes nothing. Logs that
+later batches read are folded into snapshots, so a batch reads one snapshot and a bounded number of logs.
 Work on hot keys is split by the same range-based operators the batch jobs use.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,23 +21,72 @@ from harvestry.operators.rollups import FLAG_EFFECTS, flag_columns
 from harvestry.specs import words
 
 
+#: Batches after which a log that has a fold is folded into a snapshot.
+FOLD_EVERY = 20
+
+
 class BatchLog:
-    """Append-only table of micro-batch results under ``path/batch_id=N``."""
+    """Table of micro-batch results under ``path/batch_id=N``, with snapshots under ``path/_folded/upto=N`` where it has a ``fold``.
+
+    ``fold`` reduces rows (with ``batch_id``) to fewer rows that mean the same to every reader. When a batch starts, all batches before it are committed and
+    never run again, so every ``every`` batches what came before is folded, written aside and published by one rename. A write that
+    fails leaves nothing that readers see, and a replay finds the snapshot or writes it anew. A reader takes the newest snapshot before its batch and the logs
+    after it. Logs and snapshots that the snapshot before the newest covers are deleted, so a job that still reads them has a whole period to end.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, fold: Callable[[DataFrame], DataFrame] | None = None, every: int | None = None):
+        self.spark, self.path, self.schema, self.fold, self.every = spark, path, f"{schema}, batch_id bigint", fold, every or FOLD_EVERY
+
+    def _path(self, name: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+
+    @property
+    def _files(self):
+        return self._path(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        """Complete tables ``prefix=N`` of a folder."""
+        path, files = self._path(folder), self._files
+        if not files.exists(path):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(path)]
+        return sorted(int(n.partition("=")[2]) for n in names if n.startswith(f"{prefix}=") and files.exists(self._path(f"{folder}/{n}/_SUCCESS")))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if self.fold is not None and batch_id and batch_id % self.every == 0:
+            self.compact(batch_id - 1)
+
+    def compact(self, upto: int) -> None:
+        """Publish the snapshot of all batches up to ``upto``, which are committed, and delete what the snapshot before it covers."""
+        folder = f"{self.path}/_folded"
+        older = [n for n in self._numbers(folder, "upto") if n < upto]
+        if upto not in self._numbers(folder, "upto"):
+            aside = f"{self.path}/_aside-{uuid.uuid4().hex}"
+            self.fold(self.read(upto + 1)).select(*self._empty().columns).write.parquet(aside)
+            self._files.mkdirs(self._path(folder))
+            self._files.rename(self._path(aside), self._path(f"{folder}/upto={upto}"))
+        if older:
+            for n in self._numbers(self.path, "batch_id"):
+                if n <= older[-1]:
+                    self._files.delete(self._path(f"{self.path}/batch_id={n}"), True)
+            for n in older[:-1]:
+                self._files.delete(self._path(f"{folder}/upto={n}"), True)
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
 
     def read(self, before: int | None = None) -> DataFrame:
-        """Rows of all batches, or of those before one batch. Folder pruning keeps later batches unread."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
-            return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
-        rows = self.spark.read.schema(f"{self.schema}, batch_id bigint").option("basePath", self.path).parquet(self.path)
-        return rows if before is None else rows.filter(F.col("batch_id") < before)
+        """Rows of all batches, or of those before one batch: the newest snapshot and the logs after it."""
+        snapshots = [n for n in self._numbers(f"{self.path}/_folded", "upto") if before is None or n < before] if self.fold else []
+        newest = snapshots[-1] if snapshots else -1
+        logs = [n for n in self._numbers(self.path, "batch_id") if n > newest and (before is None or n < before)]
+        rows = self._empty()
+        if snapshots:
+            rows = rows.unionByName(self.spark.read.schema(self.schema).parquet(f"{self.path}/_folded/upto={newest}"))
+        if logs:
+            rows = rows.unionByName(self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*[f"{self.path}/batch_id={n}" for n in logs]))
+        return rows
 
 
 def run_to_end(writer) -> None:
@@ -76,7 +127,8 @@ def retry_batch(failures: DataFrame, url: str, order: Sequence[str], blocked: Co
 def stream_retry(failures: DataFrame, url: str, order: Sequence[str], blocked: Column, max_attempts: int, folder: str, schema: str):
     """Retry decisions as a batch log under ``folder/decisions``."""
     spark = failures.sparkSession
-    counts = BatchLog(spark, f"{folder}/counts", f"{url} {dict(failures.dtypes)[url]}, attempts bigint")
+    total = lambda df: df.groupBy(url).agg(F.sum("attempts").alias("attempts"), F.max("batch_id").alias("batch_id"))
+    counts = BatchLog(spark, f"{folder}/counts", f"{url} {dict(failures.dtypes)[url]}, attempts bigint", total)
     decisions = BatchLog(spark, f"{folder}/decisions", f"{schema}, attempt bigint, decision string")
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -91,7 +143,7 @@ def stream_transitions(history: DataFrame, task: str, order: str, status: str, f
     """Violations as a batch log under ``folder/violations``; the last state per task is kept for the next batch."""
     spark = history.sparkSession
     kinds = dict(history.dtypes)
-    state = BatchLog(spark, f"{folder}/state", f"{task} {kinds[task]}, {order} {kinds[order]}, {status} {kinds[status]}")
+    state = BatchLog(spark, f"{folder}/state", f"{task} {kinds[task]}, {order} {kinds[order]}, {status} {kinds[status]}", lambda df: keep_last(df, [task], [order]))
     violations = BatchLog(spark, f"{folder}/violations", f"{task} {kinds[task]}, {order} {kinds[order]}, {status} {kinds[status]}, previous_status string")
 
     def body(batch: DataFrame, batch_id: int) -> None:
@@ -110,7 +162,7 @@ def stream_transitions(history: DataFrame, task: str, order: str, status: str, f
 
 def stream_upsert(records: DataFrame, key: Sequence[str], order: Sequence[str], folder: str, schema: str, route: Column | None = None):
     """Last write per key. Each batch adds its own winners; reading the log picks the last one over all batches."""
-    log = BatchLog(records.sparkSession, f"{folder}/rows", schema)
+    log = BatchLog(records.sparkSession, f"{folder}/rows", schema, lambda df: keep_last(df, list(key), order))
 
     def body(batch: DataFrame, batch_id: int) -> None:
         tagged = batch if route is None else batch.withColumn("target", route)
@@ -129,9 +181,9 @@ def latest_values(events: DataFrame, task: str, key: str, value: str, order: str
     return events.groupBy(task, key).agg(F.max_by(value, order).alias(value), F.max(order).alias(order))
 
 
-def stream_updates(aggregate: DataFrame, folder: str, schema: str):
-    """Changed aggregate rows per batch as a batch log."""
-    log = BatchLog(aggregate.sparkSession, f"{folder}/rows", schema)
+def stream_updates(aggregate: DataFrame, folder: str, schema: str, keys: Sequence[str] = ()):
+    """Changed aggregate rows per batch as a batch log; with the aggregate's ``keys``, older states of a group are folded away."""
+    log = BatchLog(aggregate.sparkSession, f"{folder}/rows", schema, (lambda df: keep_last(df, list(keys), ["batch_id"])) if keys else None)
     return each_batch(aggregate, f"{folder}/progress", log.write, mode="update"), log
 
 
