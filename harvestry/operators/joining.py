@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions.text import is_blank, match_key, safe_key, strip
 from harvestry.operators.ordering import keep_first, keep_last
-from harvestry.session import pinned
+from harvestry.session import pinned, written
 
 
 def merge_detail(rows: DataFrame, details: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
@@ -70,11 +70,11 @@ def resolve_entity(queries: DataFrame, query: str, reference: DataFrame, name: s
 
 
 def resolve_exact(queries: DataFrame, query: str, reference: DataFrame, name: str, order: Sequence[str], norm=None) -> DataFrame:
-    """Normalised names equal; the first record in order."""
+    """Normalised names equal; the first record in order. The records are reduced and written first, so that a hot name of the queries can be split."""
     from harvestry.functions.text import strip_edge_noise
 
     norm = norm or strip_edge_noise
-    first = keep_first(reference.withColumn("_key", norm(F.col(name))), ["_key"], order)
+    first = written(keep_first(reference.withColumn("_key", norm(F.col(name))), ["_key"], order), "records")
     return queries.withColumn("_key", norm(F.col(query))).join(first, "_key", "left").drop("_key")
 
 
@@ -100,7 +100,7 @@ def fk_distinct(df: DataFrame, fk: str, invalid: Sequence[str] = ("", "0", "None
 def done_gate(tasks: DataFrame, key: str, done: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(detail tasks: every valid row, home tasks: rows whose id is not done yet)."""
     valid = tasks.filter(~is_blank(F.col(key).cast("string")))
-    return valid, valid.join(done.select(key).distinct(), key, "left_anti")
+    return valid, valid.join(written(done.select(key).distinct(), "done"), key, "left_anti")
 
 
 def attach_by_id(rows: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -150,5 +150,5 @@ def checkpoints_as_map(df: DataFrame, task: str, key: str, value: str, order: Se
 
 
 def new_members(batch: DataFrame, existing: DataFrame, member: str) -> DataFrame:
-    """Members of the batch that the set does not hold yet."""
-    return batch.select(member).distinct().join(existing.select(member), member, "left_anti")
+    """Members of the batch that the set does not hold yet. Both sides are reduced map-side, so no member is more than a row a task."""
+    return batch.select(member).distinct().join(existing.select(member).distinct(), member, "left_anti")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.session import written
+
 
 def union_distinct(*members: DataFrame) -> DataFrame:
     """Members of any of the one-column tables, once."""
@@ -18,7 +20,7 @@ def union_distinct(*members: DataFrame) -> DataFrame:
 
 def except_done(df: DataFrame, done: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Rows whose key is not done yet, in order when one is given."""
-    left = df.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    left = df.join(written(done.select(*keys).distinct(), "done"), list(keys), "left_anti")
     return left.orderBy(*order) if order else left
 
 

@@ -8,6 +8,7 @@ from harvestry.functions import text as tx
 from harvestry.functions import urls
 from harvestry.operators import shaping as sh
 from harvestry.plans.registry import query
+from harvestry.session import written
 
 
 @query("p1_project", """
@@ -151,8 +152,8 @@ def p15(t):
 with c as (select conv_id, count(*) as turns from conversations group by 1)
 select v.conv_id, v.turn as child_turn, v.role as child_role from conversations v join c using (conv_id) where c.turns > 2 and v.role = 'assistant'""")
 def p16(t):
-    # A conversation's turns stay rows; only counts are aggregated, so a huge conversation never becomes one value.
-    turns = t.conversations.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+    # A conversation's turns stay rows; only counts are aggregated, and written, so a huge conversation never becomes one value and its rows can be split.
+    turns = written(t.conversations.groupBy("conv_id").agg(F.count("*").alias("n_turns")), "turns")
     rows = t.conversations.join(turns, "conv_id").select("conv_id", "n_turns", F.array(F.struct(F.col("turn").alias("child_turn"), F.col("role").alias("child_role"))).alias("kids"))
     return sh.threshold_expand(rows, "n_turns", 2, "kids", F.col("child.child_role") == "assistant", ["conv_id"])
 

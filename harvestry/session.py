@@ -54,6 +54,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder. A reduced lookup side is written before its join: its size is then known, and adaptive execution may cut
+    a skewed partition of the other side, which it cannot where an aggregate stands between the shuffle and the join."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deal few large splits over all cores, where the session asks for it by ``spark.harvestry.spread``; else ``df`` as it is.
 
