@@ -238,15 +238,20 @@ def attachments(files: Column | str, base: Column | str) -> Column:
 
 # --- text blocks ---------------------------------------------------------------
 def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"), entities: bool = True) -> Column:
-    """Site title node, h1 or h2, ``<title>`` after its first dash."""
+    """Site title node, h1 or h2, ``<title>`` after its first dash; without a ``<title>`` the value of the first labelled item, if its label names a notice."""
     from harvestry.functions.text import norm_text
 
     plain = lambda c: F.nullif(strip_tags(c, " ", entities=False), F.lit(""))
     node = lambda text, c: F.when(text.contains(c), plain(pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2)))
     after_dash = lambda x: F.when(x.contains("-"), pick(x, "(?s)^[^-]*-(.*)$")).otherwise(x)
+    title = rf"""class=["'][^"']*\b{words.ITEM_TITLE}\b[^"']*["'][^>]*>"""
+    label = lambda text: F.rtrim(collapse(pick(text, rf"(?is){title}\s*(?:<[^>]*>\s*)*([^<]*)")), F.lit("：: "))
+    value = rf"""(?is){title}.*?<(\w+)\b[^>]*class=["'][^"']*\b{words.ITEM_VALUE}\b[^"']*["'][^>]*>(.*?)</\1>"""
     hit = let(col(html), lambda text: F.coalesce(
         *[node(text, c) for c in classes], plain(pick(text, r"(?is)<(h[12])\b[^>]*>(.*?)</\1>", 2)),
-        let(strip_tags(pick(text, r"(?is)<title\b[^>]*>(.*?)</title>"), entities=False), lambda x: collapse(after_dash(x)))))
+        F.when(text.rlike(r"(?i)<title\b"), let(strip_tags(pick(text, r"(?is)<title\b[^>]*>(.*?)</title>"), entities=False), lambda x: collapse(after_dash(x)))),
+        F.when(text.contains(words.ITEM_BOX) & label(text).isin(*words.ITEM_LABELS), plain(pick(text, value, 2))),
+        F.lit("")))
     return norm_text(hit) if entities else hit
 
 

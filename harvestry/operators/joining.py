@@ -42,6 +42,18 @@ def pending(candidates: DataFrame, name: str, done: DataFrame, columns: Sequence
     return candidates.join(seen, name, "left_anti")
 
 
+def pending_counts(candidates: DataFrame, name: str, done: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: candidates, those still pending and those skipped because they are done."""
+    seen = written(processed_names(done, columns).select(F.col("name").alias(name), F.lit(True).alias("_done")), "seen")
+    return candidates.join(seen, name, "left").agg(F.count("*").alias("candidates"), F.count_if(F.col("_done").isNull()).alias("pending"), F.count("_done").alias("skipped"))
+
+
+def fk_counts(df: DataFrame, fk: str, invalid: Sequence[str] = ("", "0", "None", "null")) -> DataFrame:
+    """One row: rows, those skipped for an unusable key, and distinct usable keys."""
+    usable = F.coalesce(~strip(F.col(fk).cast("string")).isin(*invalid), F.lit(False))
+    return df.agg(F.count("*").alias("rows"), F.count_if(~usable).alias("skipped"), F.countDistinct(F.when(usable, F.col(fk))).alias("keys"))
+
+
 def resolve_entity(queries: DataFrame, query: str, reference: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
     """Exact match on the comparison key first; else the one record whose key ends with the query's; else unresolved.
 

@@ -151,6 +151,15 @@ def classify_response(status: Column, body: Column) -> Column:
             .when(status == 200, "ok").otherwise("unknown"))
 
 
+def classify_probe(status: Column, body: Column) -> Column:
+    """The second site's reading: captcha before script challenge before block, whatever the status of the first two."""
+    shows = lambda marks: any_contains(F.coalesce(body, F.lit("")), marks)
+    return (F.when(shows([words.PROBE_CAPTCHA]), "captcha")
+            .when(status.eqNullSafe(F.lit(words.PROBE_SCRIPT_STATUS)) | shows(words.PROBE_SCRIPT), "521_js")
+            .when(status.eqNullSafe(F.lit(words.PROBE_BLOCK_STATUS)) & shows(words.PROBE_BLOCK), "403_block")
+            .when(status == 200, "ok").otherwise("other"))
+
+
 def block_event_id(body: Column) -> Column:
     """Id of a firewall event, null when the page shows none."""
     found = strip(F.regexp_extract(body, r'(?i)<span id="wafId">([^<]+)</span>', 1))

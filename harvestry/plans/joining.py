@@ -34,11 +34,21 @@ def j2(t):
 select c_name from customer where c_custkey not in (select o_custkey from orders where o_orderkey % 2 = 0 and o_custkey % 3 <> 0)
   and c_custkey not in (select o_custkey + 1 from orders where o_orderkey % 2 = 1 and o_custkey % 4 = 0)""")
 def j3(t):
-    # Two name columns, each filled on some rows only.
+    return jn.pending(t.customer.select("c_name"), "c_name", processed(t), ["query_name", "entity_name"])
+
+
+@query("j3_pending_counts", """
+with d as (select o_custkey as k from orders where o_orderkey % 2 = 0 and o_custkey % 3 <> 0 union select o_custkey + 1 from orders where o_orderkey % 2 = 1 and o_custkey % 4 = 0)
+select count(*) as candidates, count(*) filter (where c_custkey not in (select k from d)) as pending, count(*) filter (where c_custkey in (select k from d)) as skipped from customer""")
+def j3_counts(t):
+    return jn.pending_counts(t.customer.select("c_name"), "c_name", processed(t), ["query_name", "entity_name"])
+
+
+def processed(t):
+    """Two name columns, each filled on some rows only."""
     name = lambda key: F.concat(F.lit(" Customer#"), F.lpad(key.cast("string"), 9, "0"))
-    done = t.orders.select(F.when((F.col("o_orderkey") % 2 == 0) & (F.col("o_custkey") % 3 != 0), name(F.col("o_custkey"))).alias("query_name"),
+    return t.orders.select(F.when((F.col("o_orderkey") % 2 == 0) & (F.col("o_custkey") % 3 != 0), name(F.col("o_custkey"))).alias("query_name"),
                            F.when((F.col("o_orderkey") % 2 == 1) & (F.col("o_custkey") % 4 == 0), name(F.col("o_custkey") + 1)).otherwise(" ").alias("entity_name"))
-    return jn.pending(t.customer.select("c_name"), "c_name", done, ["query_name", "entity_name"])
 
 
 @query("j4_resolve_entity", """
@@ -91,12 +101,20 @@ def j6(t):
 @query("j7_fk_distinct", """
 select c_custkey, c_name from customer where c_custkey in (select o_custkey from orders where o_orderkey % 4 = 3 and o_custkey <> 0)""")
 def j7(t):
-    k = F.col("o_orderkey") % 4
-    fk = F.when(k == 0, "0").when(k == 1, " None ").when(k == 2, "").otherwise(F.col("o_custkey").cast("string")).alias("fk")
-    keys = jn.fk_distinct(t.orders.select(fk), "fk").select(F.col("fk").cast("bigint").alias("c_custkey"))
+    keys = jn.fk_distinct(foreign_keys(t), "fk").select(F.col("fk").cast("bigint").alias("c_custkey"))
     return keys.join(t.customer, "c_custkey").select("c_custkey", "c_name")
 
 
+@query("j7_fk_counts", "select count(*) as rows, count(*) filter (where o_orderkey % 4 <> 3 or o_custkey = 0) as skipped, count(distinct case when o_orderkey % 4 = 3 and o_custkey <> 0 then o_custkey end) as keys from orders")
+def j7_counts(t):
+    return jn.fk_counts(foreign_keys(t), "fk")
+
+
+def foreign_keys(t):
+    k = F.col("o_orderkey") % 4
+    return t.orders.select(F.when(k == 0, "0").when(k == 1, " None ").when(k == 2, "").otherwise(F.col("o_custkey").cast("string")).alias("fk"))
+
+
 @query("j8_done_gate", """
 select event_id, user_id, 'detail' as stage from events where event_id % 9 <> 0
 union all select event_id, user_id, 'home' from events where event_id % 9 <> 0 and user_id not in (select user_id from events where event_type = 'error')""")

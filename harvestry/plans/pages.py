@@ -100,6 +100,17 @@ def x7_cascade(t):
     return t.wide("orders").select("o_orderkey", mk.extract_title(html).alias("title"))
 
 
+@query("x7_labelled_title", """
+select o_orderkey, case o_orderkey % 5 when 0 then '道路 ' || o_custkey when 1 then '标段' || o_custkey when 2 then '' when 3 then 'T' || o_orderkey else '' end as title from orders""")
+def x7_labelled(t):
+    k, c = F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
+    item = lambda label, value: F.concat(F.lit(f'<div class="box-item"><span class="item-title">{label}</span><div class="a item-msg">'), value, F.lit("</div></div>"))
+    second = item("项目名称", F.lit("later"))
+    html = (F.when(k == 0, F.concat(item("项目名称：", F.concat(F.lit(" <b>道路</b> "), c)), second)).when(k == 1, item("<i>标段名称</i> :", F.concat(F.lit("标段"), c)))
+            .when(k == 2, F.concat(item("编号", F.lit("9")), second)).when(k == 3, F.concat(F.lit("<title>T"), F.col("o_orderkey"), F.lit("</title>"), second)).otherwise(F.concat(F.lit("<title></title>"), second)))
+    return t.wide("orders").select("o_orderkey", mk.extract_title(html).alias("title"))
+
+
 @query("x8_extract_tables", """
 select o_orderkey, 0 as table_no, 0 as row_no, '序号|中标单位|中标金额（元）' as cells from orders union all select o_orderkey, 0, 1, '1|公司 ' || o_custkey || '|' || o_orderstatus from orders
 union all select o_orderkey, 0, 2, '乙|9' from orders union all select o_orderkey, 1, 0, '采购人：|甲' || o_custkey || '|联系人|王' from orders union all select o_orderkey, 1, 1, '项目实施主体基本情况|名称|村' || o_custkey from orders

@@ -170,6 +170,16 @@ def p17(t):
     return t.pages.select("page_id", sh.classify_response(status, body).alias("kind"), sh.block_event_id(body).alias("event_id"))
 
 
+@query("p17_classify_probe", """
+select page_id, case page_id % 8 when 0 then 'ok' when 1 then 'captcha' when 2 then '521_js' when 3 then '521_js' when 4 then '403_block' when 5 then 'other' when 6 then '521_js' else 'captcha' end as kind from pages""")
+def p17_probe(t):
+    k = F.col("page_id") % 8
+    status = F.when(k.isin(4, 5), 403).when(k == 3, 521).when(k == 7, 521).otherwise(200)
+    extra = (F.when(k == 1, "本站开启了验证码保护").when(k == 2, "document.cookie='a'").when(k == 4, '<div class="online-desc-con">').when(k == 6, "__jsl_clearance_s")
+             .when(k == 7, "document.cookie 本站开启了验证码保护").otherwise(""))
+    return t.pages.select("page_id", sh.classify_probe(status, F.concat("html", extra)).alias("kind"))
+
+
 @query("p18_is_noise_text", """
 select doc_id, doc_id % 7 in (0, 1, 2, 5, 6) as noise from documents""")
 def p18(t):

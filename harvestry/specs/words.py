@@ -95,6 +95,11 @@ NOISE_PREFIXES = (
 )
 NOISE_HELP_PATH = "ca/index.jsp#nav-7"
 NOISE_LOGIN_PATH = "/new_flogin/login.do"
+# What the pages of the second site show when they keep a reader out.
+PROBE_CAPTCHA, PROBE_SCRIPT, PROBE_SCRIPT_STATUS = "本站开启了验证码保护", ("__jsl_clearance_s", "document.cookie"), 521
+PROBE_BLOCK, PROBE_BLOCK_STATUS = ("online-desc-con", "禁止访问", "访问过于频繁"), 403
+# The labelled item that names a notice where the page has no title.
+ITEM_BOX, ITEM_TITLE, ITEM_VALUE, ITEM_LABELS = "box-item", "item-title", "item-msg", ("项目名称", "标段名称")
 # Fixed values of page cleaning.
 GREETING = "尊敬的用户您好！"
 BUTTON_VALUES = ("澄清答疑", "我要参与")
