@@ -4,8 +4,8 @@ Method. Each page becomes a stream of text blocks. Structure is one input: scrip
 article element, guessed furniture (forms, class words, all outside an article) and open blocks are judged by their repeats. The token streams of a host's blocks are then laid end to end, with a mark of its own between blocks, and their
 suffixes are sorted by prefix doubling to a depth of ``MIN_RUN`` tokens. Neighbours that agree to that depth and lie on distinct pages make a
 long repeated substring; a shorter block is one as a whole. A substring on ``frame_pages`` of the host's pages or more is frame: its tokens are cut
-out of blocks that structure left open, and the unique runs of each block stay. Inside the article only frames of more pages, of ``LONG_RUN`` tokens or
-whole blocks of ``MIN_RUN``, go; of guessed furniture unique runs of ``FURNITURE_RUN`` tokens stay, and a guess over four fifths of a page is dropped. If that would leave nothing of a page, its least repeated blocks
+out of blocks that structure left open, and the unique runs of each block stay. Inside the article only frames of more pages, of ``LONG_RUN`` tokens or more,
+go, and between the article's own blocks only those of half the host's pages; of guessed furniture unique runs of ``FURNITURE_RUN`` tokens stay, and a guess over four fifths of a page is dropped. If that would leave nothing of a page, its least repeated blocks
 stay; if it would leave less than two windows, the blocks that are at most half as often repeated as the page's frame do, since the page then is
 a copy.
 
@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from harvestry.llm.common import stored
 
 MIN_RUN = 8
-#: A run is frame from this share of a host's distinct pages, but at least and at most from so many.
-FRAME_PERCENT, LEAST_FRAME_PAGES, MOST_FRAME_PAGES = 2, 3, 30
-#: The same inside the article, where copied stories are likelier.
-ARTICLE_PERCENT, LEAST_ARTICLE_PAGES, MOST_ARTICLE_PAGES = 10, 10, 300
-#: Frames inside the article go from this length or as whole blocks; unique runs of guessed furniture stay from that length.
+#: A run is frame from this share of a host's distinct pages, but at least from so many. Shares alone decide, so a host that grows keeps the same blocks.
+FRAME_PERCENT, LEAST_FRAME_PAGES = 2, 3
+#: The same inside the article, where copied sentences are likelier: at its borders, and between its own blocks.
+ARTICLE_PERCENT, MIDDLE_PERCENT, LEAST_ARTICLE_PAGES = 10, 50, 10
+#: Frames inside the article go from this length, since shorter sentences are repeated by nature; unique runs of guessed furniture stay from that length.
 LONG_RUN, FURNITURE_RUN = 24, 50
 #: Fills blocks of fewer tokens than a window.
 END = "\n"
@@ -194,9 +194,20 @@ def _streams(pages: list[list[tuple[str, str]]], owners: list[int]) -> tuple[lis
 
 def frame_pages(n_pages: int, kind: str = "U") -> int:
     """From how many distinct pages a run belongs to the host's frame, in blocks of a kind."""
-    if kind == "A":
-        return min(MOST_ARTICLE_PAGES, max(LEAST_ARTICLE_PAGES, -(-n_pages * ARTICLE_PERCENT // 100)))
-    return min(MOST_FRAME_PAGES, max(LEAST_FRAME_PAGES, -(-n_pages * FRAME_PERCENT // 100)))
+    if kind in "AM":
+        return max(LEAST_ARTICLE_PAGES, -(-n_pages * (ARTICLE_PERCENT if kind == "A" else MIDDLE_PERCENT) // 100))
+    return max(LEAST_FRAME_PAGES, -(-n_pages * FRAME_PERCENT // 100))
+
+
+def _bordering(kinds: list[str], stay: list[np.ndarray]) -> set[int]:
+    """Article blocks at its borders: the first and last one, and those next to a bordering block that goes as a whole."""
+    own, found = [k for k, kind in enumerate(kinds) if kind == "A"], set()
+    for order in (own, own[::-1]):
+        for k in order:
+            found.add(k)
+            if stay[k].any():
+                break
+    return found
 
 
 def _runs(over: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -212,7 +223,7 @@ def _unique(kind: str, over: np.ndarray) -> np.ndarray:
     stay = np.full(len(over), kind == "A")
     if kind == "A" and over.any():
         for a, b in _runs(over):
-            stay[a:b] = not (b - a >= LONG_RUN or b - a == len(over) >= MIN_RUN)
+            stay[a:b] = b - a < LONG_RUN
     elif kind == "G" and len(over) >= FURNITURE_RUN:
         for a, b in _runs(~over):
             stay[a:b] = b - a >= FURNITURE_RUN
@@ -248,10 +259,12 @@ def keep(pages: list[list[tuple[str, str]]], owners: list[int], n_pages: int | N
         at = np.minimum(np.searchsorted(known[0], hashes), len(known[0]) - 1)
         held = np.maximum(held, np.where(known[0][at] == hashes, known[1][at], 0))
     found = iter(_spread(held, first, sizes, MIN_RUN))
-    need, out = {kind: frame_pages(len(set(owners)) if n_pages is None else n_pages, kind) for kind in "AFGU"}, []
+    need, out = {kind: frame_pages(len(set(owners)) if n_pages is None else n_pages, kind) for kind in "AFGMU"}, []
     for page, split in zip(pages, words):
         counts = [next(found)[: len(b)] for b in split]
         stay = [_unique(kind, c >= need[kind]) for (kind, _), c in zip(page, counts)]
+        border = _bordering([kind for kind, _ in page], stay)
+        stay = [_unique(kind, c >= need["M"]) if kind == "A" and k not in border else x for k, ((kind, _), c, x) in enumerate(zip(page, counts, stay))]
         kept = sum(int(x.sum()) for x in stay)
         if kept < 2 * MIN_RUN:  # maybe a copy: its story is repeated, but less than the frame
             often = [float(np.median(c[c >= need[kind]])) if kind in "AU" and not x.any() and (c >= need[kind]).any() else None for (kind, _), c, x in zip(page, counts, stay)]

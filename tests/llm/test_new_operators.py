@@ -257,3 +257,21 @@ def test_later_siblings_extend_open_witnesses():
     places += [tree.append(n) for n in nodes[5:]]
     root = tree.finish(2)
     assert root == plain_tree(nodes)[0] and all(merkle.fold(n, merkle.witness(p, 2)) == root for n, p in zip(nodes, places))
+
+
+# Pages
+
+
+def test_a_growing_host_keeps_the_same_article_blocks():
+    """A sentence on nine of a hundred pages stays whatever the host's size; one between other blocks stays on a third of the pages, a notice at the end goes."""
+    from harvestry.llm import mainhtml
+
+    said = " ".join(f"said{k}" for k in range(30))
+    third = " ".join(f"third{k}" for k in range(30))
+    notice = " ".join(f"notice{k}" for k in range(30))
+    for n in (100, 1000):
+        own = [" ".join(f"own{k}x{j}" for j in range(20)) for k in range(n)]
+        bodies = [[own[k], *([said] if k % 100 < 9 else []), *([third] if k % 3 == 0 else []), f"By author {k}"] for k in range(n)]
+        pages = ["<article>" + "".join(f"<p>{b}</p>" for b in body) + f"<p>{notice}</p></article>" for body in bodies]
+        got = mainhtml.keep([mainhtml.blocks(p) for p in pages], list(range(n)))
+        assert got == ["\n\n".join(body) for body in bodies]
