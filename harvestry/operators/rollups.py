@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions.jsonx import get_path, is_object
 from harvestry.functions.text import collapse, is_blank, strip, strip_edge_noise
-from harvestry.operators.ordering import keep_last, name_order
+from harvestry.operators.ordering import group_ordinal, keep_last, name_order
 from harvestry.operators.shaping import is_viable_entity_name
 from harvestry.specs import words
 
@@ -149,6 +149,17 @@ def checkpoints_as_map(df: DataFrame, task: str, key: str, value: str, order: Se
     return latest.groupBy(task).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("checkpoints"))
 
 
+def checkpoint_pieces(df: DataFrame, task: str, key: str, value: str, order: Sequence[str], size: int = 1000) -> DataFrame:
+    """(task, piece) → map of at most ``size`` latest values, keys ascending over the pieces, so that no value grows with the task.
+
+    Keys are numbered by range-split ordinals: a task's keys span many partitions. Null keys have no place in a map and are left out.
+    """
+    latest = keep_last(df.filter(F.col(key).isNotNull()), [task, key], order).select(task, key, value)
+    placed = group_ordinal(latest, [task], [key], "_n").withColumn("piece", F.floor((F.col("_n") - 1) / size))
+    entries = F.array_sort(F.collect_list(F.struct(key, value)))
+    return placed.groupBy(task, "piece").agg(F.min(key).alias("first_key"), F.count("*").alias("n_keys"), F.map_from_entries(entries).alias("checkpoints"))
+
+
 def new_members(batch: DataFrame, existing: DataFrame, member: str) -> DataFrame:
     """Members of the batch that the set does not hold yet. Both sides are reduced map-side, so no member is more than a row a task."""
     return batch.select(member).distinct().join(existing.select(member).distinct(), member, "left_anti")

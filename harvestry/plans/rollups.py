@@ -118,6 +118,16 @@ def a11(t):
     return maps.select("user_id", shown.alias("checkpoints"))
 
 
+@query("a11_checkpoint_pieces", """
+with l as (select user_id, event_id // 7 as k, arg_max(value, event_id) as v from events group by 1, 2),
+n as (select *, (row_number() over (partition by user_id order by k) - 1) // 4 as piece from l)
+select user_id, piece, min(k) as first_key, count(*) as n_keys, string_agg(k || '=' || printf('%.2f', v), ';' order by k) as checkpoints from n group by 1, 2""")
+def a11_pieces(t):
+    pieces = ru.checkpoint_pieces(t.events.withColumn("k", F.expr("event_id div 7")), "user_id", "k", "value", ["event_id"], size=4)
+    shown = F.array_join(F.transform(F.array_sort(F.map_entries("checkpoints")), lambda e: F.concat_ws("=", e.key.cast("string"), F.format_string("%.2f", e.value))), ";")
+    return pieces.select("user_id", "piece", "first_key", "n_keys", shown.alias("checkpoints"))
+
+
 @query("a12_new_members", "select distinct user_id from events where event_type = 'purchase' and user_id not in (select user_id from events where event_type = 'error' and value > 60)")
 def a12(t):
     return ru.new_members(t.events.filter("event_type = 'purchase'"), t.events.filter("event_type = 'error' and value > 60"), "user_id")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from harvestry.operators import ledger, ordering
+from harvestry.operators import ledger, ordering, rollups
 
 
 def hot(spark, n=4000):
@@ -60,3 +60,18 @@ def test_transitions(spread):
     df = spread.createDataFrame(moves, "task string, n int, status string")
     bad = {(r.task, r.n) for r in ledger.transition_check(df, "task", ["n"], "status").collect()}
     assert bad == {("t", 3), ("u", 3)}
+
+
+def test_checkpoint_pieces_of_a_hot_task(spread):
+    rows = hot(spread).withColumn("key", F.when(F.col("id") == 3, None).otherwise(F.floor(F.col("id") / 2)))
+    want = {}
+    for r in sorted(rows_of(rows), key=lambda r: r["id"]):
+        if r["key"] is not None:
+            want.setdefault(r["k"], {})[r["key"]] = r["v"]
+    got = sorted(rows_of(rollups.checkpoint_pieces(rows, "k", "key", "v", ["id"], size=100)), key=lambda r: (r["k"], r["piece"]))
+    assert all(len(r["checkpoints"]) == r["n_keys"] <= 100 and min(r["checkpoints"]) == r["first_key"] for r in got)
+    for k, values in want.items():
+        own = [r for r in got if r["k"] == k]
+        assert [r["piece"] for r in own] == list(range(-(-len(values) // 100)))
+        assert [e for r in own for e in sorted(r["checkpoints"].items())] == sorted(values.items())
+    assert rollups.checkpoint_pieces(rows.limit(0), "k", "key", "v", ["id"]).count() == 0
