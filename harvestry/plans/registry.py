@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harvestry.session import spread
+from harvestry.session import dealt, spread
 
 TEXT_TABLES = ("documents", "pages", "conversations")
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,8 +29,8 @@ class Tables:
         return spread(table) if name in TEXT_TABLES else table
 
     def wide(self, name: str) -> DataFrame:
-        """A table about to meet costly per-row work."""
-        return spread(getattr(self, name))
+        """A table of narrow rows about to meet costly per-row work."""
+        return dealt(getattr(self, name))
 
 
 def query(name: str, sql: str | None = None):

@@ -72,3 +72,13 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """Deal the narrow rows of ``df`` over several tasks per core, ahead of work that makes pages out of them.
+
+    A small file is one split however many pages its rows become. Tables that have as many splits stay as they are.
+    """
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
