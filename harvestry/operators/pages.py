@@ -38,8 +38,10 @@ def extract_attachments(pages: DataFrame, key: str, url: str = "url", html: str
 def extract_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """(page, table, row, cells): every table's non-blank rows."""
     found = mk.parse_tables(pages.select(key, html), html, "_tables")
-    tables = found.select(key, F.posexplode("_tables").alias("table_no", "_raw")).select(key, "table_no", mk.clean_rows(F.col("_raw")).alias("_rows"))
-    return tables.filter(F.size("_rows") > 0).select(key, "table_no", F.posexplode("_rows").alias("row_no", "cells"))
+    # Outer, since an inner one adds a filter that reads and cleans the tables once more; what it adds are rows without a place.
+    row = lambda r, j, i: F.struct(i.alias("table_no"), j.alias("row_no"), r.alias("cells"))
+    rows = F.flatten(F.transform("_tables", lambda t, i: F.transform(mk.clean_rows(t), lambda r, j: row(r, j, i))))
+    return found.select(key, F.explode_outer(rows).alias("_row")).filter("_row is not null").select(key, "_row.*")
 
 
 def list_cards(pages: DataFrame, key: str, url: str = "url", html: str = "html", id_params: Sequence[str] = ("iid", "pid", "proCode", "code"),
