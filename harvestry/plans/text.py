@@ -264,7 +264,7 @@ union all select doc_id, case when text = '' then '' else array_to_string(list_t
 def h30(t):
     pairs = F.split(F.rtrim(F.regexp_replace(F.hex(F.encode("text", "UTF-8")), "(..)", "$1 ")), " ")
     lines = F.transform(F.filter(pairs, lambda x: x != ""), lambda x: F.conv(x, 16, 10))
-    return t.documents.select("doc_id", tx.decode_numeric_bytes(F.array_join(lines, "\n")).alias("text"))
+    return t.documents.select("doc_id", F.array_join(lines, "\n").alias("listed")).select("doc_id", tx.decode_numeric_bytes("listed").alias("text"))
 
 
 @query("h31_unit_before_year", f"select doc_id, {squeezed('lang || source')} as unit from documents")
