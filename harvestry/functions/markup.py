@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
+from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from harvestry.functions.cleaning import clean_page
-from harvestry.functions.text import OTHER_ENTITY, any_contains, basic_entities, canonical_label, col, collapse, join_lines, let, one_of, pick, strip, strip_tags
+from harvestry.functions.text import OTHER_ENTITY, any_contains, basic_entities, canonical_label, col, collapse, join_lines, let, may_hold_entities, one_of, pick, strip, strip_tags
 from harvestry.functions.urls import url_path
 from harvestry.specs import words
 
@@ -30,36 +32,43 @@ class _Grid(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.tables, self.open, self.chunks, self.seen = [], [], [], False
+        self.count = Counter()  # open elements by tag
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID_TAGS:
             return
-        frame = {"tag": tag, "table": tag == "table", "data": []}
+        frame = {"tag": tag, "data": []}
         if tag == "table":
             self.seen = True
             self.tables.append(frame["data"])
             for outer in self.open:
                 outer["holds"] = True
         kind = {"tr": "table", "td": "tr", "th": "tr"}.get(tag)
-        for outer in self.open if kind else ():
-            if outer["tag"] == kind:
-                outer["data"].append(frame["data"])
+        if kind and self.count[kind]:
+            for outer in self.open:
+                if outer["tag"] == kind:
+                    outer["data"].append(frame["data"])
+        self.count[tag] += 1
         self.open.append(frame)
 
     def handle_endtag(self, tag):
-        if any(f["tag"] == tag for f in self.open):
-            while self.open.pop()["tag"] != tag:
-                pass
+        if self.count[tag]:
+            closed = None
+            while closed != tag:
+                closed = self.open.pop()["tag"]
+                self.count[closed] -= 1
 
     def handle_data(self, data):
         text = data.strip()
-        if not text or any(f["tag"] in ("script", "style") for f in self.open):
+        count = self.count
+        if not text or count["script"] or count["style"]:
             return
-        for frame in self.open:
-            if frame["tag"] in ("td", "th"):
-                frame["data"].append(text)
-        if not any(f["table"] for f in self.open):
-            self.chunks.append((self.seen, list(self.open[1:]), text))
+        if count["td"] or count["th"]:
+            for frame in self.open:
+                if frame["tag"] in ("td", "th"):
+                    frame["data"].append(text)
+        if not count["table"]:
+            self.chunks.append((self.seen, self.open[1:], text))
 
     def result(self):
         # A piece of text is the outermost element under the root that holds no table, or a bare string.
@@ -75,10 +84,40 @@ class _Grid(HTMLParser):
         return {"tables": flat, "parts": parts}
 
 
+#: A tag with quoted attributes, a script or style without tags or comments, or text. The parser library reads pages of nothing else the same way, only slower.
+PLAIN_TOKEN = re.compile(r"""<(script|style)>[^<]*</\1>|</([A-Za-z][A-Za-z0-9]*)[ \t\r\n]*>|<([A-Za-z][A-Za-z0-9]*)(?:[ \t\r\n]+[A-Za-z][\w:-]*(?:=(?:"[^"<>]*"|'[^'<>]*'))?)*[ \t\r\n]*(/?)>|([^<]+)""", re.A)
+#: Elements whose content is not read as tags; scripts and styles in other forms than the above.
+RAW_TAGS = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext svg math".split())
+
+
+def _fed(parser: _Grid, page: str) -> bool:
+    """Feed a page that consists of ``PLAIN_TOKEN`` alone; False, perhaps after some of it, when it holds anything else."""
+    at = 0
+    for m in PLAIN_TOKEN.finditer(page):
+        if m.start() != at:
+            return False
+        at = m.end()
+        raw, closed, opened, alone, text = m.groups()
+        if text:
+            parser.handle_data(unescape(text) if "&" in text else text)
+        elif opened:
+            opened = opened.lower()
+            if opened in RAW_TAGS:
+                return False
+            parser.handle_starttag(opened, None)
+            if alone:
+                parser.handle_endtag(opened)
+        elif closed:
+            parser.handle_endtag(closed.lower())
+    return at == len(page)
+
+
 def _parsed(html: str, what: str):
     parser = _Grid()
-    parser.feed(html)
-    parser.close()
+    if not _fed(parser, html):
+        parser = _Grid()
+        parser.feed(html)
+        parser.close()
     return parser.result()[what]
 
 
@@ -104,7 +143,10 @@ def _opening(selector: str) -> str:
 
 def _balanced(page: Column, selector: str) -> Column:
     """The element from its start tag to the matching end tag, by counting its own tag; null when absent."""
-    start = let(page, lambda p: F.struct(p.alias("page"), F.regexp_extract(p, _opening(selector), 0).alias("head"), F.regexp_extract(p, _opening(selector), 1).alias("tag")))
+    # Most pages without the name need no search for its tag; the tag's name is read off the tag found.
+    named = lambda p: p.contains(selector.lstrip(".#")) | p.rlike("(?i)" + re.escape(selector.lstrip(".#")))
+    head = let(page, lambda p: F.when(named(p), F.struct(p.alias("page"), F.regexp_extract(p, _opening(selector), 0).alias("head"))))
+    start = let(head, lambda r: F.when(r["head"] != "", F.struct(r["page"].alias("page"), r["head"].alias("head"), F.regexp_extract(r["head"], _opening(selector), 1).alias("tag"))))
 
     def cut(r: Column) -> Column:
         rest = F.substring(r["page"], F.call_function("locate", r["head"], r["page"]), F.length(r["page"]))
@@ -123,27 +165,27 @@ def _balanced(page: Column, selector: str) -> Column:
         return let(stop, lambda n: F.when(n > 0, F.concat(F.array_join(F.slice(pieces, 1, n - 1), ""), F.regexp_extract(F.get(pieces, n - 1), "^[^>]*>", 0)))
                    .otherwise(F.array_join(pieces, "")))
 
-    return let(start, lambda r: F.when(r["head"] != "", cut(r)))
+    return let(start, lambda r: F.when(r.isNotNull(), cut(r)))
 
 
 MASK = "\ue000"
-HIDDEN = r"(?is)<!--.*?-->|<(?:script|style)\b.*?</(?:script|style)\s*>"
+HIDDEN = r"(?is)<(?:!--.*?-->|(?:script|style)\b.*?</(?:script|style)\s*>)"
 
 
 def _masked(page: Column) -> Column:
     """Page with the ``<`` of comments, scripts and styles swapped for a private character, so their text cannot pass for tags."""
     def swap(p: Column) -> Column:
         shown, hidden = F.split(p, HIDDEN), F.regexp_extract_all(p, F.lit(HIDDEN), 0)
-        return F.array_join(F.zip_with(shown, hidden, lambda a, b: F.concat(a, F.coalesce(F.translate(b, "<", MASK), F.lit("")))), "")
+        return F.array_join(F.zip_with(shown, hidden, lambda a, b: F.concat(a, F.coalesce(F.replace(b, F.lit("<"), F.lit(MASK)), F.lit("")))), "")
 
-    return let(page, lambda p: F.when(p.rlike(r"(?i)<!--|<script|<style"), swap(p)).otherwise(p))
+    return let(page, lambda p: F.when(p.rlike(r"(?i)<(?:!--|script|style)"), swap(p)).otherwise(p))
 
 
 def first_block(html: Column | str, selectors: Sequence[str]) -> Column:
     """Source of the first element that fits the first fitting selector (``tag``, ``.class``, ``#id``); the whole page when none does."""
     page = col(html)
     found = let(_masked(page), lambda p: F.coalesce(*[_balanced(p, s) for s in selectors]))
-    return F.coalesce(F.translate(found, MASK, "<"), page)
+    return F.coalesce(F.replace(found, F.lit(MASK), F.lit("<")), page)
 
 
 def unwrap_nested_document(html: Column | str, shell_marks: Sequence[str] = ("链接地址", "gtqrlj", 'class="table2"', "class='table2'"),
@@ -241,7 +283,7 @@ def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"
     """Site title node, h1 or h2, ``<title>`` after its first dash; without a ``<title>`` the value of the first labelled item, if its label names a notice."""
     from harvestry.functions.text import norm_text
 
-    plain = lambda c: F.nullif(strip_tags(c, " ", entities=False), F.lit(""))
+    plain = lambda c: let(strip_tags(c, " ", entities=False), lambda x: F.when(x != "", x))
     node = lambda text, c: F.when(text.contains(c), plain(pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2)))
     after_dash = lambda x: F.when(x.contains("-"), pick(x, "(?s)^[^-]*-(.*)$")).otherwise(x)
     title = rf"""class=["'][^"']*\b{words.ITEM_TITLE}\b[^"']*["'][^>]*>"""
@@ -252,13 +294,13 @@ def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"
         F.when(text.rlike(r"(?i)<title\b"), let(strip_tags(pick(text, r"(?is)<title\b[^>]*>(.*?)</title>"), entities=False), lambda x: collapse(after_dash(x)))),
         F.when(text.contains(words.ITEM_BOX) & label(text).isin(*words.ITEM_LABELS), plain(pick(text, value, 2))),
         F.lit("")))
-    return norm_text(hit) if entities else hit
+    return norm_text(hit, suspect=may_hold_entities(html)) if entities else hit
 
 
 def plain_lines(html: Column | str, entities: bool = True) -> Column:
     """Text of a fragment, one line per text node."""
-    bare = F.regexp_replace(col(html), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
-    return join_lines(F.regexp_replace(bare, "<[^>]+>", "\n"), entities=entities)
+    bare = F.regexp_replace(col(html), r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)", "")
+    return join_lines(F.regexp_replace(bare, "<[^>]+>", "\n"), entities=entities, suspect=may_hold_entities(html))
 
 
 #: What a page shows that has nodes to remove or to bring to light; others only lose scripts and anchor tags.
@@ -288,7 +330,7 @@ def flat_tables(html: Column | str) -> Column:
     """Every table as rows of cell texts, read by pattern; null when a table is nested, unclosed or holds rare entities."""
     same = lambda t, a, b: F.regexp_count(t, F.lit(a)) == F.regexp_count(t, F.lit(b))
     flat = lambda t: ((F.regexp_count(t, F.lit(r"(?i)<table\b")) == 1) & same(t, r"(?i)<tr\b", r"(?i)</tr\b") & same(t, r"(?i)<t[dh]\b", r"(?i)</t[dh]\b")
-                      & ~t.rlike("<!--|(?i)<script|" + OTHER_ENTITY))
+                      & ~t.rlike("<(?:!--|(?i:script))|" + OTHER_ENTITY))
     cell = lambda c: basic_entities(F.regexp_replace(c, "<[^>]+>", " "))
     cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1), cell)
     rows = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr\b.*?</tr\s*>"), 0), cells)
@@ -331,8 +373,8 @@ def label_text(c: Column) -> Column:
 
 def first_wins(entries: Column) -> Column:
     """Entry list to a map; the first entry of a key counts."""
-    kept = let(entries, lambda e: F.filter(e, lambda x, i: F.array_position(F.transform(e, lambda y: y["key"]), x["key"]) == i + 1))
-    return F.map_from_entries(kept)
+    named = let(entries, lambda e: F.struct(e.alias("e"), F.transform(e, lambda y: y["key"]).alias("keys")))
+    return F.map_from_entries(let(named, lambda r: F.filter(r["e"], lambda x, i: F.array_position(r["keys"], x["key"]) == i + 1)))
 
 
 def last_wins(entries: Column) -> Column:
@@ -365,7 +407,7 @@ def header_zip(rows: Column, keywords: Sequence[str]) -> Column:
 
         return F.when(hit, F.transform(data, as_map)).otherwise(F.array().cast("array<map<string,string>>"))
 
-    return F.when(F.size(rows) > 0, let(rows, zipped)).otherwise(F.array().cast("array<map<string,string>>"))
+    return let(rows, lambda r: F.when(F.size(r) > 0, zipped(r)).otherwise(F.array().cast("array<map<string,string>>")))
 
 
 def span_entries(html: Column | str, label_class: str = "l_span", value_class: str = "r_span") -> Column:
@@ -411,7 +453,7 @@ def table_section(rows: Column, start: Sequence[str], stop: Sequence[str]) -> Co
         return F.when(begin > 0, cells).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
 
     empty = F.array().cast("array<struct<key:string,value:string>>")
-    return F.when(F.size(rows) > 0, let(rows, cut)).otherwise(empty)
+    return let(rows, lambda r: F.when(F.size(r) > 0, cut(r)).otherwise(empty))
 
 
 def content_mix(tables: Column, parts: Column, title: Column) -> Column:

@@ -94,9 +94,19 @@ def basic_entities(c: Column) -> Column:
     return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), BASIC_ENTITIES.items(), c)
 
 
-def unescape_html(c: Column | str) -> Column:
-    """All HTML5 entities. Rows with everyday entities stay in the JVM and send only a null to Python."""
+def may_hold_entities(page: Column | str) -> Column:
+    """Whether text cut out of the page's markup can hold a rare entity: what follows its ampersand may stand behind a tag or comment."""
+    return col(page).contains("&") & col(page).rlike(OTHER_ENTITY[:-1] + "<]")
+
+
+def unescape_html(c: Column | str, suspect: Column | None = None) -> Column:
+    """All HTML5 entities. Rows with everyday entities stay in the JVM and send only a null to Python.
+
+    ``c`` is evaluated below the Python step and again above it. Where that is costly, ``suspect`` names the rows that can hold rare entities;
+    on others only the second evaluation takes place.
+    """
     rare = let(col(c), lambda x: F.when(x.rlike(OTHER_ENTITY), x))
+    rare = rare if suspect is None else F.when(suspect, rare)
     plain = let(col(c), lambda x: F.when(x.contains("&"), basic_entities(x)).otherwise(x))
     return F.coalesce(_unescape(rare), plain)
 
@@ -106,9 +116,9 @@ def collapse(c: Column | str) -> Column:
     return F.coalesce(strip(F.regexp_replace(col(c), f"[{SPACE}]+", " ")), F.lit(""))
 
 
-def norm_text(c: Column | str, null_words: bool = False, entities: bool = True) -> Column:
+def norm_text(c: Column | str, null_words: bool = False, entities: bool = True, suspect: Column | None = None) -> Column:
     c = col(c)
-    cleaned = collapse(unescape_html(c) if entities else c)
+    cleaned = collapse(unescape_html(c, suspect) if entities else c)
     if not null_words:
         return cleaned
     return F.when(F.lower(strip(c)).isin("none", "null"), F.lit("")).otherwise(cleaned)
@@ -132,10 +142,10 @@ def html_multiline(c: Column | str) -> Column:
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
-def join_lines(c: Column | str, entities: bool = True) -> Column:
+def join_lines(c: Column | str, entities: bool = True, suspect: Column | None = None) -> Column:
     """Every non-blank line, normalised, joined by a line break. Works on the whole text at once, not line by line."""
     text = F.coalesce(col(c), F.lit(""))
-    text = unescape_html(text) if entities else text
+    text = unescape_html(text, suspect) if entities else text
     text = F.regexp_replace(text, r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]", "\n")
     text = F.regexp_replace(text, f"[{SPACE}&&[^\n]]+", " ")
     return F.regexp_replace(F.regexp_replace(text, r" ?\n[\n ]*", "\n"), r"^[\n ]+|[\n ]+$", "")
@@ -196,7 +206,7 @@ def first_pattern(c: Column | str, patterns: Sequence[str]) -> Column:
 
 
 def _non_empty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def section_text(c: Column | str, heading: str, stops: str, number: str = "") -> Column:
@@ -383,11 +393,18 @@ def encode_body(c: Column | str) -> Column:
 
 
 BYTE_RUN_MIN = 50
+BYTE_VALUES = {str(i): i for i in range(256)}
 
 
 @F.pandas_udf(StringType())
 def _from_byte_lines(values: pd.Series) -> pd.Series:
     def one(text):
+        lines = text.split("\n")
+        if len(lines) >= BYTE_RUN_MIN:
+            try:  # nothing but plain byte values
+                return bytes(map(BYTE_VALUES.__getitem__, lines)).decode("utf-8-sig", errors="ignore")
+            except KeyError:
+                pass
         stripped = filter(None, map(str.strip, text.splitlines()))
         run = list(itertools.takewhile(lambda s: s.isdigit() and int(s) < 256, stripped))
         return bytes(map(int, run)).decode("utf-8-sig", errors="ignore") if len(run) >= BYTE_RUN_MIN else text
@@ -398,7 +415,7 @@ def _from_byte_lines(values: pd.Series) -> pd.Series:
 def decode_numeric_bytes(c: Column | str) -> Column:
     """Text that is a list of byte values, one per line, back to the text it stands for.
 
-    Only texts that start with such a line go to Python; all others pass through as they are.
+    Only texts that start with such a line go to Python; all others pass through as they are. ``c`` is read several times: give a costly one as a column.
     """
     raw = col(c)
     listed = raw.rlike(f"^[{SPACE}]*\\d{{1,3}}[{SPACE}]*(?:[\r\n]|$)")
