@@ -38,8 +38,10 @@ from harvestry.llm.common import stored, tidy
 BUCKETS = 1 << 18
 #: Rows of one n-gram's list that meet in one block.
 BLOCK_ROWS = 4000
-#: Word hashes and sets that a task remembers; forgetting costs time only.
+#: Sets that a task remembers; forgetting costs time only.
 REMEMBERED = 150_000
+#: Rows and bytes of text whose sets are made at once; a longer text is alone.
+SLICE_ROWS, SLICE_BYTES = 300, 1 << 20
 #: For each of the first rounds: leaders that a text may meet, and how many rows before its own in the list it meets as well.
 STAR_ROUNDS = ((4, 0), (64, 6), (64, 8))
 #: Bits of the map of wanted ids (8 MB).
@@ -47,36 +49,95 @@ MOST_BITS = 1 << 26
 SIGNED = "sig long, n int, doc_id long, text_hash long, bucket int, docs long"
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        got = self[word] = xxhash.xxh3_64_intdigest(word)
-        return got
-
-
-_HASHES = WordHashes()
-
-
-def _forget() -> None:
-    _HASHES.clear()
-
-
 def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
-    return x ^ (x >> np.uint64(27))
+    """Changes ``x`` itself; different numbers stay different."""
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0x7FB5D329728EA185)
+    x ^= x >> np.uint64(27)
+    return x
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the UTF-8 texts that begin at ``starts`` of ``data``, and where words begin. A-Z are lower-cased, words end at U+0020,
+    U+0009 to U+000D and the ends of texts; they are hashed 8 bytes at a time."""
+    low = np.zeros(len(data) + 8, np.uint8)
+    np.add(data, ((data - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5), out=low[:-8])
+    solid = np.ones(len(data) + 1, bool)  # of the byte before each place, then of the one at it
+    solid[1:] = (data != 32) & ((data - np.uint8(9)) >= 5)
+    begins, ends = solid[1:].copy(), solid[1:].copy()
+    begins[1:] &= ~solid[1:-1]
+    ends[:-1] &= ~solid[2:]
+    inner = starts[(starts > 0) & (starts < len(data))]
+    begins[inner] = solid[inner + 1]
+    ends[inner - 1] = solid[inner]
+    begins, left = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    left -= begins
+    eights = np.ndarray(len(data) + 1, "<u8", low, strides=(1,))
+    hashes = left.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+    masks = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+    hashes ^= eights[begins] & masks[np.minimum(left, 8)]
+    hashes = _scramble(hashes * np.uint64(0x9E3779B97F4A7C15))
+    more, at = np.flatnonzero(left > 8), 8
+    while len(more):
+        own = hashes[more] ^ (eights[begins[more] + at] & masks[np.minimum(left[more] - at, 8)])
+        hashes[more] = _scramble(own * np.uint64(0x9E3779B97F4A7C15))
+        at += 8
+        more = more[left[more] > at]
+    return hashes, begins
+
+
+def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` words; of all of them if they are fewer."""
+    size = min(size, len(hashes))
+    total = np.full(len(hashes) - size + 1, size, np.uint64)
+    for k in range(size):
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += hashes[k : len(hashes) - size + 1 + k]
+        _scramble(total)
+    return total
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    fresh = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=fresh[1:])
+    return hashes if fresh.all() else hashes[fresh]
+
+
+def _sets_of(data: np.ndarray, places: np.ndarray, size: int) -> list[np.ndarray]:
+    """Sorted distinct hashes of the word n-grams of each text; text k is ``data[places[k]:places[k + 1]]``."""
+    hashes, begins = _word_hashes(data, places[:-1])
+    firsts = np.searchsorted(begins, places).tolist()
+    grams = _grams(hashes, size) if len(hashes) >= size else hashes
+    sets = []
+    for first, end in zip(firsts, firsts[1:]):
+        if end - first >= size:
+            sets.append(_distinct(grams[first : end - size + 1]))  # runs over the border of two texts are left out
+        else:
+            sets.append(_grams(hashes[first:end], size) if end > first else np.zeros(0, np.uint64))
+    return sets
+
+
+def _shingled(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of the batches with the sets of their texts: some hundred rows, fewer of long texts."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column(column).fill_null("")
+        _, offsets, data = texts.buffers()
+        places = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(places, places[at] + SLICE_BYTES, "right")) - 1))
+            yield batch.slice(at, end - at), _sets_of(data[places[at] : places[end]], places[at : end + 1] - places[at], size)
+            at = end
 
 
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; bytes.lower() changes A-Z alone, bytes.split() cuts at U+0020 and U+0009 to U+000D."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
-    many, total = min(size, len(words)), np.full(max(1, len(words) - size + 1), min(size, len(words)), np.uint64)
-    for k in range(many):
-        total = _scramble(total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - many + 1 + k])
-    return np.unique(total)
+    """Sorted distinct hashes of the word n-grams of one text."""
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    return _sets_of(data, np.array([0, len(data)]), size)[0]
 
 
 def _signature(hashes: np.ndarray) -> int:
@@ -87,60 +148,50 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 300) -> Iterator[tuple[list, list]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows).column(0).to_pylist(), batch.slice(at, rows).column(1).to_pylist()
-
-
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """A row for each text, and at the end one for each bucket that its task met."""
     names, kinds = ["sig", "n", "doc_id", "text_hash", "bucket", "docs"], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
     counts = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 300):
-            ids, texts, hashes = (batch.slice(at, 300).column(k) for k in range(3))
-            sigs, sizes = [], []
-            for text in texts.to_pylist():
-                own = shingle_set(text, size)
-                np.add.at(counts, _bucket(own), 1)
-                sigs.append(_signature(own))
-                sizes.append(len(own))
-            n = len(sigs)
-            yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), ids, hashes, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=names)
+    for rows, sets in _shingled(batches, 1, size):
+        np.add.at(counts, _bucket(np.concatenate(sets)), 1)
+        n = len(sets)
+        yield pa.record_batch([pa.array([_signature(own) for own in sets], pa.int64()), pa.array([len(own) for own in sets], pa.int32()), rows.column(0), rows.column(2),
+                               pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names=names)
     full = np.flatnonzero(counts)
     known = {"bucket": full, "docs": counts[full]}
     yield pa.record_batch([pa.array(known[c], k) if c in known else pa.nulls(len(full), k) for c, k in zip(names, kinds)], names=names)
 
 
-def _rare_first(own: np.ndarray, rarity: np.ndarray) -> np.ndarray:
-    """By bucket count, then by hash: one sort on both where their leading bits tell all apart."""
-    common = rarity[_bucket(own)]
+def _rare_first(own: np.ndarray, common: np.ndarray, first: int) -> np.ndarray:
+    """The ``first`` of a set by bucket count ``common``, then by hash: those up to the last one's leading bits, in one sort on them where they tell all apart."""
     key = (np.minimum(common, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)) | (own >> np.uint64(24))
+    near = np.flatnonzero(key <= np.partition(key, first - 1)[first - 1])
+    own, common, key = own[near], common[near], key[near]
     order = np.argsort(key)
-    if common.max() >= (1 << 24) - 1 or (key[order[1:]] == key[order[:-1]]).any():
+    key = key[order]
+    if key[-1] >> np.uint64(40) >= (1 << 24) - 1 or (key[1:] == key[:-1]).any():
         order = np.lexsort((own, common))
-    return own[order]
+    return own[order[:first]]
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], shared, size: int, percent: int) -> Iterator[pa.RecordBatch]:
     rarity, seen = shared.value, set()
-    for _, texts in _slices(batches):
-        tokens, sigs, sizes, places = [], [], [], []
-        for text in texts:
-            own = shingle_set(text, size)
+    for _, sets in _shingled(batches, 1, size):
+        tokens, sigs, sizes, firsts = [], [], [], []
+        for own in sets:
             if not len(own) or (sig := _signature(own)) in seen:
                 continue
             if len(seen) >= REMEMBERED:
                 seen.clear()
             seen.add(sig)
             first = len(own) - -(-percent * len(own) // 100) + 1
-            tokens.append(_rare_first(own, rarity)[:first])
-            sigs.append(np.full(first, sig, np.int64))
-            sizes.append(np.full(first, len(own), np.int32))
-            places.append(np.arange(first, dtype=np.int32))
+            tokens.append(_rare_first(own, rarity[_bucket(own)], first))
+            sigs.append(sig)
+            sizes.append(len(own))
+            firsts.append(first)
         if tokens:
-            yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (sigs, sizes, places))], names=["token", "sig", "n", "place"])
+            given = (np.repeat(np.array(sigs, np.int64), firsts), np.repeat(np.array(sizes, np.int32), firsts), np.concatenate([np.arange(k, dtype=np.int32) for k in firsts]))
+            yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(c) for c in given)], names=["token", "sig", "n", "place"])
 
 
 def _may_link(n1, p1, n2, p2, percent: int) -> np.ndarray:
@@ -265,8 +316,8 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     names, kinds = ["sig", "n", "hashes", "map"], (pa.int64(), pa.int32(), pa.binary(), pa.binary())
-    for _, texts in _slices(batches):
-        found = [(_signature(own), len(own), own.tobytes(), _map_of(own)) for own in (shingle_set(t, size) for t in texts)]
+    for _, sets in _shingled(batches, 1, size):
+        found = [(_signature(own), len(own), own.tobytes(), _map_of(own)) for own in sets]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names=names)
 
 
@@ -335,7 +386,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _signed(docs: DataFrame, size: int) -> DataFrame:
     """Set key, size, parts, id and text hash of every row, and the tasks' bucket counts (where ``bucket`` is not null)."""
-    return stored(_texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: tidy(_sign(b, size), _forget), SIGNED), "signed")
+    return stored(_texts(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(lambda b: tidy(_sign(b, size)), SIGNED), "signed")
 
 
 def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -346,7 +397,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
     for bucket, n in signed.where("bucket is not null").groupBy("bucket").agg(F.sum("docs")).collect():  # at most BUCKETS rows
         counts[bucket] = n
     rarity = spark.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
-    prefixes = texts.mapInArrow(lambda b: tidy(_prefixes(b, rarity, size, percent), _forget), "token long, sig long, n int, place int")
+    prefixes = texts.mapInArrow(lambda b: tidy(_prefixes(b, rarity, size, percent)), "token long, sig long, n int, place int")
     live = stored(prefixes.repartition("token").sortWithinPartitions("token", "sig").mapInArrow(_live, "token long, sig long, n int, place int"), "live")
     rows = signed.where("bucket is null and n > 0")
     classes = stored(rows.groupBy("sig").agg(F.min("doc_id").alias("doc_id")), "classes")
@@ -360,7 +411,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame
             pairs = pairs.join(functools.reduce(DataFrame.union, tested), ["a", "b"], "left_anti")
         tested.append(pairs := stored(pairs, "pairs"))
         wanted = stored(pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct().join(classes.select("sig", "doc_id"), "sig"), "wanted")
-        made = _sieved(texts, "doc_id", wanted, lambda b: tidy(_sets(b, size), _forget), "sig long, n int, hashes binary, map binary")
+        made = _sieved(texts, "doc_id", wanted, lambda b: tidy(_sets(b, size)), "sig long, n int, hashes binary, map binary")
         sets = stored(made.dropDuplicates(["sig"]), "sets")
         one = pairs.join(sets.select(F.col("sig").alias("a"), F.col("n").alias("n1"), F.col("map").alias("x")), "a")
         both = one.join(sets.select(F.col("sig").alias("b"), F.col("n").alias("n2"), F.col("map").alias("y")), "b").select("a", "b", "n1", "x", "n2", "y")

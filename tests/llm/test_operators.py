@@ -170,6 +170,68 @@ def test_blocks_and_rounds_lose_no_link(spark, monkeypatch):
     same(jaccard.near_duplicates(spark.createDataFrame(given_, "doc_id long, text string")).collect(), brute.near_duplicates(given_))
 
 
+def grams_of(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + size]) for k in range(max(len(words) - size + 1, 1))} if words else set()
+
+
+def sets_of(texts):
+    import pyarrow as pa
+
+    given_ = pa.record_batch([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    return [own.tolist() for _, sets in jaccard._shingled(iter([given_.slice(1, 0), given_.slice(1)]), 1, 5) for own in sets]
+
+
+def compare_sets(texts):
+    """A hash for each n-gram, in order, and the same ones for the same n-grams, whatever text stands beside them."""
+    got = sets_of(["left out", *texts])
+    assert got == [jaccard.shingle_set(t).tolist() for t in texts]
+    assert all(own == sorted(set(own)) and len(own) == len(grams_of(t)) for own, t in zip(got, texts, strict=True))
+    for one, t in zip(got, texts):
+        for two, u in zip(got, texts):
+            assert len(set(one) & set(two)) == len(grams_of(t) & grams_of(u))
+
+
+ODD_WORDS = ["a b c d E f", "A B C D e F", "a b c d", "a b c", "d e f g h", None, "", " \t", "a\x1cb \xa0c\x85d e\x0bf\x0cg\rh", "12345678 1234567 123456789 12345678 1234567 123456789", "\0 \0\0 a a\0 a\0\0 b",
+             "x" * 16 + " " + "X" * 17 + " " + "x" * 24, "É é İ [ @ ` { z Z", "日本 語 日本 語 日本 語 日本 語", "w " * 40, " lead", "trail "]
+
+
+def test_sets_of_odd_texts(monkeypatch):
+    compare_sets(ODD_WORDS)
+    monkeypatch.setattr(jaccard, "SLICE_BYTES", 20)
+    compare_sets(ODD_WORDS)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet="aAbBzé \t\n\x0b\x1c\xa0\0日", max_size=30), min_size=1, max_size=6))
+def test_sets_property(texts):
+    compare_sets(texts)
+
+
+def test_sets_call_no_function_for_each_word():
+    """Twice the new words make no more calls; a call for each new word took most of the job's time."""
+    import sys
+
+    import pyarrow as pa
+
+    def calls(words):
+        count, texts = [0], [" ".join(f"w{t}x{k}" for k in range(words)) for t in range(10)]
+        given_ = pa.record_batch([pa.array(range(10)), pa.array(texts), pa.array([0] * 10)], names=["doc_id", "text", "text_hash"])
+
+        def counted(frame, event, arg):
+            count[0] += event in ("call", "c_call")
+
+        sys.setprofile(counted)
+        try:
+            list(jaccard._sign(iter([given_]), 5))
+        finally:
+            sys.setprofile(None)
+        return count[0]
+
+    calls(10)
+    assert calls(2000) < calls(1000) + 100
+
+
 # Line rules
 
 
