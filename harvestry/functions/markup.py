@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Sequence
+from functools import lru_cache
 from html import unescape
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
@@ -71,17 +73,21 @@ class _Grid(HTMLParser):
             self.chunks.append((self.seen, self.open[1:], text))
 
     def result(self):
-        # A piece of text is the outermost element under the root that holds no table, or a bare string.
-        parts, last = [], None
-        for after, path, text in self.chunks:
-            owner = next((f for f in path if "holds" not in f), None)
-            if owner is not None and owner is last:
-                parts[-1]["text"] += "\n" + text
-            else:
-                parts.append({"after": after, "text": text})
-            last = owner
         flat = [[[" ".join(c for c in cell if isinstance(c, str)) for cell in row] for row in table] for table in self.tables]
-        return {"tables": flat, "parts": parts}
+        return {"tables": flat, "parts": _pieces(self.chunks)}
+
+
+def _pieces(chunks: list) -> list[tuple[bool, str]]:
+    """Texts with whether they stand after a table. A piece is the outermost element under the root that holds no table, or a bare string."""
+    parts, last = [], None
+    for after, path, text in chunks:
+        owner = next((f for f in path if "holds" not in f), None)
+        if owner is not None and owner is last:
+            parts[-1] = (parts[-1][0], f"{parts[-1][1]}\n{text}")
+        else:
+            parts.append((after, text))
+        last = owner
+    return parts
 
 
 #: A tag with quoted attributes, a script or style without tags or comments, or text. The parser library reads pages of nothing else the same way, only slower.
@@ -112,7 +118,63 @@ def _fed(parser: _Grid, page: str) -> bool:
     return at == len(page)
 
 
+_TAG = re.compile(r"""/([A-Za-z][A-Za-z0-9]*)[ \t\r\n]*|([A-Za-z][A-Za-z0-9]*)(?:[ \t\r\n]+[A-Za-z][\w:-]*(?:=(?:"[^"<>]*"|'[^'<>]*'))?)*[ \t\r\n]*(/?)""", re.A)
+
+
+@lru_cache(maxsize=1 << 14)
+def _tag(source: str) -> tuple[str, bool | None, bool] | None:
+    """Name of a tag of ``PLAIN_TOKEN``, whether it opens and whether it closes; for a script or style its end tag and None; None for anything else."""
+    if source in ("script", "style"):
+        return f"/{source}", None, False
+    m = _TAG.fullmatch(source)
+    if m is None:
+        return None
+    closed, opened, alone = m.groups()
+    name = (opened or closed).lower()
+    if opened and name in RAW_TAGS:
+        return None
+    return name, bool(opened) and name not in VOID_TAGS, bool(closed or alone)
+
+
+def _plain_parts(page: str) -> list[tuple[bool, str]] | None:
+    """The parts that ``_Grid`` finds on a page of ``PLAIN_TOKEN`` alone, without reading its cells; None for other pages."""
+    open_, chunks, count, seen, end = [], [], defaultdict(int), False, ""
+    text, *pieces = page.split("<")
+    if text := unescape(text).strip():
+        chunks.append((False, (), text))
+    for piece in pieces:
+        source, closed, text = piece.partition(">")
+        if end:
+            if not closed or source != end:
+                return None
+            end = ""
+        elif not closed or (tag := _tag(source)) is None:
+            return None
+        else:
+            name, opens, closes = tag
+            if opens:
+                if name == "table":
+                    seen = True
+                    for outer in open_:
+                        outer["holds"] = True
+                count[name] += 1
+                open_.append({"tag": name})
+            elif opens is None:
+                end = name
+                continue
+            if closes and count[name]:
+                last = None
+                while last != name:
+                    last = open_.pop()["tag"]
+                    count[last] -= 1
+        if text and not count["table"] and (text := unescape(text).strip()):
+            chunks.append((seen, open_[1:], text))
+    return None if end else _pieces(chunks)
+
+
 def _parsed(html: str, what: str):
+    if what == "parts" and (parts := _plain_parts(html)) is not None:
+        return parts
     parser = _Grid()
     if not _fed(parser, html):
         parser = _Grid()
@@ -126,9 +188,16 @@ def _tables(values: pd.Series) -> pd.Series:
     return values.map(lambda html: _parsed(html, "tables"), na_action="ignore")
 
 
-@F.pandas_udf(PARTS)
-def _parts(values: pd.Series) -> pd.Series:
-    return values.map(lambda html: _parsed(html, "parts"), na_action="ignore")
+@F.arrow_udf(PARTS)
+def _parts(values: pa.Array) -> pa.Array:
+    starts, after, texts = [], [], []
+    for html in values.to_pylist():
+        starts.append(None if html is None else len(texts))  # no start: a null
+        for place, text in () if html is None else _parsed(html, "parts"):
+            after.append(place)
+            texts.append(text)
+    pieces = pa.StructArray.from_arrays([pa.array(after, pa.bool_()), pa.array(texts, pa.string())], ["after", "text"])
+    return pa.ListArray.from_arrays(pa.array([*starts, len(texts)], pa.int32()), pieces)
 
 
 def _opening(selector: str) -> str:
@@ -172,20 +241,25 @@ MASK = "\ue000"
 HIDDEN = r"(?is)<(?:!--.*?-->|(?:script|style)\b.*?</(?:script|style)\s*>)"
 
 
-def _masked(page: Column) -> Column:
-    """Page with the ``<`` of comments, scripts and styles swapped for a private character, so their text cannot pass for tags."""
+def _masked(page: Column, always: bool = False) -> Column:
+    """Page with the ``<`` of comments, scripts and styles swapped for a private character, so their text cannot pass for tags.
+
+    Where all are scripts and styles without attributes, and without a ``<`` in their text, nothing in them can: such pages stay as they are.
+    """
     def swap(p: Column) -> Column:
         shown, hidden = F.split(p, HIDDEN), F.regexp_extract_all(p, F.lit(HIDDEN), 0)
         return F.array_join(F.zip_with(shown, hidden, lambda a, b: F.concat(a, F.coalesce(F.replace(b, F.lit("<"), F.lit(MASK)), F.lit("")))), "")
 
-    return let(page, lambda p: F.when(p.rlike(r"(?i)<(?:!--|script|style)"), swap(p)).otherwise(p))
+    marks = r"(?i)<(?:!--|script|style)" if always else r"(?i)<(?:!--|(?:script|style)\b(?!>[^<]*</(?:script|style)\s*>))"
+    return let(page, lambda p: F.when(p.rlike(marks), swap(p)).otherwise(p))
 
 
 def first_block(html: Column | str, selectors: Sequence[str]) -> Column:
     """Source of the first element that fits the first fitting selector (``tag``, ``.class``, ``#id``); the whole page when none does."""
     page = col(html)
-    found = let(_masked(page), lambda p: F.coalesce(*[_balanced(p, s) for s in selectors]))
-    return F.coalesce(F.replace(found, F.lit(MASK), F.lit("<")), page)
+    hidden = _masked(page) if not {s.lower() for s in selectors} & {"script", "style"} else _masked(page, always=True)
+    found = let(hidden, lambda p: F.coalesce(*[_balanced(p, s) for s in selectors]))
+    return F.coalesce(let(found, lambda b: F.when(b.contains(MASK), F.replace(b, F.lit(MASK), F.lit("<"))).otherwise(b)), page)
 
 
 def unwrap_nested_document(html: Column | str, shell_marks: Sequence[str] = ("链接地址", "gtqrlj", 'class="table2"', "class='table2'"),
@@ -258,8 +332,11 @@ MANUALS = r"(?i)(?:操作手册|操作说明|供应商下载采购文件)"
 
 
 def file_anchors(html: Column | str, file_link: str = FILE_LINK, file_api: str = FILE_API, manuals: str = MANUALS) -> Column:
-    """Anchors that lead to a file, manuals left out."""
-    return F.filter(anchors(html), lambda a: (a.href != "") & ~F.concat(a.href, a.text).rlike(manuals) & (a.href.rlike(file_link) | a.href.rlike(file_api)))
+    """Anchors that lead to a file, manuals left out. Only theirs are read for title and text."""
+    targets = F.transform(F.regexp_extract_all(col(html), F.lit(ANCHOR), 0), lambda a: F.struct(attr(a, "href").alias("href"), a.alias("tag")))
+    files = F.filter(targets, lambda a: (a.href != "") & (a.href.rlike(file_link) | a.href.rlike(file_api)))
+    read = F.transform(files, lambda a: F.struct(a.href.alias("href"), attr(a.tag, "title").alias("title"), strip_tags(a.tag, entities=False).alias("text")))
+    return F.filter(read, lambda a: ~F.concat(a.href, a.text).rlike(manuals))
 
 
 def attachments(files: Column | str, base: Column | str) -> Column:
@@ -284,7 +361,8 @@ def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"
     from harvestry.functions.text import norm_text
 
     plain = lambda c: let(strip_tags(c, " ", entities=False), lambda x: F.when(x != "", x))
-    node = lambda text, c: F.when(text.contains(c), plain(pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2)))
+    named = lambda text, c: text.contains(c) & text.rlike(rf"""(?i)class=["'][^"']*\b{c}\b""")
+    node = lambda text, c: F.when(named(text, c), plain(pick(text, rf"""(?is)<(\w+)[^>]*class=["'][^"']*\b{c}\b[^"']*["'][^>]*>(.*?)</\1>""", 2)))
     after_dash = lambda x: F.when(x.contains("-"), pick(x, "(?s)^[^-]*-(.*)$")).otherwise(x)
     title = rf"""class=["'][^"']*\b{words.ITEM_TITLE}\b[^"']*["'][^>]*>"""
     label = lambda text: F.rtrim(collapse(pick(text, rf"(?is){title}\s*(?:<[^>]*>\s*)*([^<]*)")), F.lit("：: "))
@@ -300,7 +378,7 @@ def extract_title(html: Column | str, classes: Sequence[str] = ("title_p", "tle"
 def plain_lines(html: Column | str, entities: bool = True) -> Column:
     """Text of a fragment, one line per text node."""
     bare = F.regexp_replace(col(html), r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)", "")
-    return join_lines(F.regexp_replace(bare, "<[^>]+>", "\n"), entities=entities, suspect=may_hold_entities(html))
+    return join_lines(F.regexp_replace(bare, r"(?:<[^>]+>[ \n]*+)++", "\n"), entities=entities, suspect=may_hold_entities(html))
 
 
 #: What a page shows that has nodes to remove or to bring to light; others only lose scripts and anchor tags.
@@ -326,28 +404,33 @@ def clean_html(html: Column | str) -> Column:
 
 
 # --- tables --------------------------------------------------------------------
+#: A table of whole rows of whole cells, whose other tags are neither parts of tables nor scripts. Possessive, so that long tables need no stack.
+FLAT_TABLE = (r"(?i)^<table\b[^<>]*+>(?:[^<]|</?(?:tbody|thead|tfoot)>)*+(?:<tr\b[^<>]*+>[^<]*+(?:<t[dh]\b[^<>]*+>(?:[^<]|<(?!/?t(?:[rdh]|able)\b|!--|script))*+</t[dh]\s*+>[^<]*+)*+</tr\s*+>"
+              r"(?:[^<]|</?(?:tbody|thead|tfoot)>)*+)*+</table\s*+>$")
+
+
 def flat_tables(html: Column | str) -> Column:
     """Every table as rows of cell texts, read by pattern; null when a table is nested, unclosed or holds rare entities."""
     same = lambda t, a, b: F.regexp_count(t, F.lit(a)) == F.regexp_count(t, F.lit(b))
-    flat = lambda t: ((F.regexp_count(t, F.lit(r"(?i)<table\b")) == 1) & same(t, r"(?i)<tr\b", r"(?i)</tr\b") & same(t, r"(?i)<t[dh]\b", r"(?i)</t[dh]\b")
-                      & ~t.rlike("<(?:!--|(?i:script))|" + OTHER_ENTITY))
-    cell = lambda c: basic_entities(F.regexp_replace(c, "<[^>]+>", " "))
+    counted = lambda t: ((F.regexp_count(t, F.lit(r"(?i)<table\b")) == 1) & same(t, r"(?i)<tr\b", r"(?i)</tr\b") & same(t, r"(?i)<t[dh]\b", r"(?i)</t[dh]\b")
+                         & ~t.rlike("<(?:!--|(?i:script))"))
+    closed = lambda t: t.rlike(r"(?i)</table\s*>$")
+    # One pass finds most tables flat without the counts.
+    flat = lambda t: ~(t.contains("&") & t.rlike(OTHER_ENTITY)) & (t.rlike(FLAT_TABLE) | closed(t) & counted(t))
+    bare = lambda c: F.when(c.contains("<"), F.regexp_replace(c, "<[^>]+>", " ")).otherwise(c)
+    cell = lambda c: F.when(c.contains("&"), basic_entities(bare(c))).otherwise(bare(c))
     cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), 1), cell)
     rows = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(?is)<tr\b.*?</tr\s*>"), 0), cells)
 
-    def read(p: Column) -> Column:
-        found = F.regexp_extract_all(p, F.lit(r"(?is)<table\b.*?</table\s*>"), 0)
-        count = F.regexp_count(p, F.lit(r"(?i)<table\b"))
-        return let(found, lambda f: F.when((F.size(f) == count) & F.forall(f, flat), F.transform(f, rows)))
-
-    return let(col(html), read)
+    # An unclosed table is found as its bare beginning, which is not flat.
+    found = F.regexp_extract_all(col(html), F.lit(r"(?is)<table\b(?:.*?</table\s*>)?"), 0)
+    return let(found, lambda f: F.when(F.forall(f, flat), F.transform(f, rows)))
 
 
 def parse_tables(df: DataFrame, html: str, name: str = "tables") -> DataFrame:
     """Add every table of the page as rows of cell texts, blank ones included. Only irregular pages go to the parser."""
-    has = F.col(html).rlike("(?i)<table")
     empty = F.array().cast("array<array<array<string>>>")
-    read = df.withColumn("_flat", F.when(has, flat_tables(html)).otherwise(empty))
+    read = df.withColumn("_flat", flat_tables(html))
     parsed = _tables(F.when(F.col("_flat").isNull(), F.col(html)))
     return read.withColumn(name, F.coalesce("_flat", parsed, empty)).drop("_flat")
 
@@ -400,12 +483,13 @@ def header_zip(rows: Column, keywords: Sequence[str]) -> Column:
         hit = F.exists(header, lambda h: h.rlike(one_of(keywords)))
         data = F.filter(F.slice(all_rows, 2, F.size(all_rows)), lambda r: F.size(r) >= 2)
 
-        def as_map(row: Column) -> Column:
-            used = F.slice(header, 1, F.least(F.size(header), F.size(row)))
-            entry = lambda h, i: F.array(F.struct(canonical_label(h).alias("key"), F.get(row, i).alias("value")), F.struct(h.alias("key"), F.get(row, i).alias("value")))
+        def as_map(names: Column, row: Column) -> Column:
+            used = F.slice(names, 1, F.least(F.size(names), F.size(row)))
+            entry = lambda h, i: F.array(F.struct(h["name"].alias("key"), F.get(row, i).alias("value")), F.struct(h["label"].alias("key"), F.get(row, i).alias("value")))
             return last_wins(F.filter(F.flatten(F.transform(used, entry)), lambda e: e["key"] != ""))
 
-        return F.when(hit, F.transform(data, as_map)).otherwise(F.array().cast("array<map<string,string>>"))
+        names = F.transform(header, lambda h: F.struct(canonical_label(h).alias("name"), h.alias("label")))
+        return F.when(hit, let(names, lambda n: F.transform(data, lambda row: as_map(n, row)))).otherwise(F.array().cast("array<map<string,string>>"))
 
     return let(rows, lambda r: F.when(F.size(r) > 0, zipped(r)).otherwise(F.array().cast("array<map<string,string>>")))
 

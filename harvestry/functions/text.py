@@ -91,7 +91,8 @@ OTHER_ENTITY = "&(?!(?:nbsp|lt|gt|quot|#39|apos|amp);)[A-Za-z#]"
 
 def basic_entities(c: Column) -> Column:
     """The everyday entities only; the ampersand goes last, so nothing is decoded twice."""
-    return reduce(lambda acc, kv: F.replace(acc, F.lit(kv[0]), F.lit(kv[1])), BASIC_ENTITIES.items(), c)
+    decoded = lambda text, name, char: let(text, lambda x: F.when(x.contains(name), F.replace(x, F.lit(name), F.lit(char))).otherwise(x))
+    return reduce(lambda acc, kv: decoded(acc, *kv), BASIC_ENTITIES.items(), c)
 
 
 def may_hold_entities(page: Column | str) -> Column:
@@ -113,7 +114,7 @@ def unescape_html(c: Column | str, suspect: Column | None = None) -> Column:
 
 def collapse(c: Column | str) -> Column:
     """Runs of white space to one blank, ends stripped, null to ''."""
-    return F.coalesce(strip(F.regexp_replace(col(c), f"[{SPACE}]+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(col(c), f"[{SPACE}]+", " ")), F.lit(""))
 
 
 def norm_text(c: Column | str, null_words: bool = False, entities: bool = True, suspect: Column | None = None) -> Column:
@@ -143,12 +144,13 @@ def html_multiline(c: Column | str) -> Column:
 
 
 def join_lines(c: Column | str, entities: bool = True, suspect: Column | None = None) -> Column:
-    """Every non-blank line, normalised, joined by a line break. Works on the whole text at once, not line by line."""
+    """Every non-blank line, normalised, joined by a line break. Works on the whole text at once, not line by line; texts without other white space than single
+    blanks and line breaks skip the replacements."""
     text = F.coalesce(col(c), F.lit(""))
     text = unescape_html(text, suspect) if entities else text
-    text = F.regexp_replace(text, r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]", "\n")
-    text = F.regexp_replace(text, f"[{SPACE}&&[^\n]]+", " ")
-    return F.regexp_replace(F.regexp_replace(text, r" ?\n[\n ]*", "\n"), r"^[\n ]+|[\n ]+$", "")
+    broken = lambda x: F.regexp_replace(x, r"[\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]", "\n")
+    even = let(text, lambda x: F.when(x.rlike(f"[{SPACE}&&[^\n ]]|  "), F.regexp_replace(broken(x), f"[{SPACE}&&[^\n]]+", " ")).otherwise(x))
+    return F.btrim(let(even, lambda x: F.when(x.rlike(r" \n|\n[\n ]"), F.regexp_replace(x, r" ?\n[\n ]*", "\n")).otherwise(x)), F.lit("\n "))
 
 
 def strip_tags(c: Column | str, sep: str = "", entities: bool = True) -> Column:
@@ -188,9 +190,8 @@ def pick(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def first_non_empty(*cols: Column | str, entities: bool = False) -> Column:
-    """First argument with text left after normalising, else ''."""
-    normed = F.array(*[norm_text(c, entities=entities) for c in cols])
-    return F.coalesce(F.try_element_at(F.filter(normed, lambda n: n != ""), F.lit(1)), F.lit(""))
+    """First argument with text left after normalising, else ''. Later ones are not evaluated."""
+    return F.coalesce(*[_non_empty(norm_text(c, entities=entities)) for c in cols], F.lit(""))
 
 
 def labeled_value(c: Column | str, label: str, entities: bool = True) -> Column:
