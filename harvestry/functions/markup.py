@@ -512,12 +512,17 @@ def line_entries(lines: Column | str, labels: Sequence[str] = LINE_LABELS) -> Co
     return let(col(lines), lambda text: F.filter(F.array(*[entry(text, x) for x in labels]), lambda e: e["value"].isNotNull() & (e["value"] != "")))
 
 
-def field_map(html: Column | str, tables: Column, lines: Column, span_rule: str = "last", labels: Sequence[str] = LINE_LABELS) -> Column:
-    """Labels to values: spans (later ones overwrite, or first wins), then table pairs, then text lines; earlier sources win."""
+def field_sources(html: Column | str, rows: Column, lines: Column | str, labels: Sequence[str] = LINE_LABELS) -> Column:
+    """Label/value entries of the spans, the tables' ``clean_rows`` and the text lines. Make it a column: field maps of several rules then share it."""
     spans = F.filter(span_entries(html), lambda e: e["key"] != "")
-    spans = F.reverse(spans) if span_rule == "last" else F.filter(spans, lambda e: e["value"] != "")
-    pairs = F.flatten(F.transform(tables, lambda t: pair_entries(clean_rows(t))))
-    return first_wins(F.concat(spans, pairs, line_entries(lines, labels)))
+    return F.struct(spans.alias("spans"), F.flatten(F.transform(rows, pair_entries)).alias("pairs"), line_entries(lines, labels).alias("lines"))
+
+
+def field_map(sources: Column | str, span_rule: str = "last") -> Column:
+    """Labels to values: spans (later ones overwrite, or first wins), then table pairs, then text lines; earlier ``field_sources`` win."""
+    s = col(sources)
+    spans = F.reverse(s["spans"]) if span_rule == "last" else F.filter(s["spans"], lambda e: e["value"] != "")
+    return first_wins(F.concat(spans, s["pairs"], s["lines"]))
 
 
 def table_section(rows: Column, start: Sequence[str], stop: Sequence[str]) -> Column:

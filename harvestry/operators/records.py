@@ -41,8 +41,9 @@ def common_context(pages: DataFrame, selectors: Sequence[str], labels: bool = Fa
     cut = pages.withColumn("main_html", mk.first_block("html", selectors))
     parsed = mk.parse_tables(cut, "main_html").withColumns({"lines": mk.plain_lines("main_html"), "detail_title": mk.extract_title("main_html"),
                               "_files": mk.file_anchors("html")})
-    mapped = parsed.withColumns({"files": mk.attachments("_files", F.col("url")), "fields": mk.field_map("main_html", F.col("tables"), F.col("lines"))}).drop("_files")
-    rows = mapped.withColumn("result_rows", F.flatten(F.transform("tables", lambda t: mk.header_zip(mk.clean_rows(t), RESULT_HEADERS))))
+    cleaned = parsed.withColumns({"files": mk.attachments("_files", F.col("url")), "_rows": F.transform("tables", lambda t: mk.clean_rows(t))}).drop("_files")
+    rows = cleaned.withColumns({"fields": mk.field_map(mk.field_sources("main_html", F.col("_rows"), "lines")),
+                                "result_rows": F.flatten(F.transform("_rows", lambda r: mk.header_zip(r, RESULT_HEADERS)))}).drop("_rows")
     field = lambda *names: [F.col("fields")[n] for n in names]
     result = lambda name: F.try_element_at("result_rows", F.lit(1))[name]
     return rows.withColumns({

@@ -145,7 +145,8 @@ def x10(t):
 select o_orderkey, 'JN2-' || o_orderkey as last_number, 'JN-' || o_orderkey as first_number, '甲' || o_custkey as unit, '0531-' || o_custkey as phone, '王' as contact from orders""")
 def x11(t):
     g = grids(t).select("o_orderkey", "tables", "html", mk.plain_lines("html").alias("lines"))
-    m = g.select("o_orderkey", mk.field_map("html", F.col("tables"), F.col("lines")).alias("a"), mk.field_map("html", F.col("tables"), F.col("lines"), "first").alias("b"))
+    s = g.select("o_orderkey", mk.field_sources("html", F.transform("tables", lambda r: mk.clean_rows(r)), "lines").alias("s"))
+    m = s.select("o_orderkey", mk.field_map("s").alias("a"), mk.field_map("s", "first").alias("b"))
     return m.select("o_orderkey", F.col("a")["项目编号"].alias("last_number"), F.col("b")["项目编号"].alias("first_number"), F.col("a")["采购人"].alias("unit"),
                     F.col("a")["联系电话"].alias("phone"), F.col("a")["联系人"].alias("contact"))
 

@@ -45,6 +45,12 @@ def test_parts_of_pages_in_order(spark):
     assert got == {1: [(False, "a"), (True, "b")], 2: [], 3: [], 4: [(False, "c"), (True, "d")]}
 
 
+def test_field_maps_share_their_sources(tables):
+    """Spans, cells and lines are read once for both rules."""
+    assert plan(pages.x11(tables)).count("regexp_extract_all(html") == 2  # tables and spans
+    assert [tuple(r) for r in pages.x11(tables).filter("o_orderkey = 3").collect()] == [(3, "JN2-3", "JN-3", "甲3", "0531-3", "王")]
+
+
 def test_irregular_tables_go_to_the_parser(spark):
     cases = {"<table><tr><td>a</td></tr></table>": True, "<TABLE a='b'><tbody>\n<tr><th>a<b>c</b></th> <td></td></tr></tbody></TABLE >": True, "<table><caption>x</caption><tr><td>a</td></tr></table>": True,
              "<table><tr><td>a</td></tr>": False, "<table><tr><td><table><tr><td>a</td></tr></table></td></tr></table>": False, "<table><tr><td>a</tr></table>": False, "<table><tr><td>&hellip;</td></tr></table>": False,
