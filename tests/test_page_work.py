@@ -67,7 +67,20 @@ def test_first_block_with_and_without_hidden_tags(one):
     assert block('<script class="w">a</script><p class="w">b</p>', ".w") == '<p class="w">b</p>'
 
 
+def test_files_are_read_for_title_and_text_alone(one):
+    html = '<a href="/q" title="t">f</a><a title="u" href="/a.PDF">b <b>c</b></a><a href="/操作手册.doc">d</a><a href="">e</a>'
+    assert [tuple(x) for x in one(mk.file_anchors("h"), h=html)] == [("/a.PDF", "u", "b c")]
+
+
+def test_values_after_the_first_are_not_evaluated(one):
+    assert one(first_non_empty(F.lit(" "), F.lit(" a "), F.raise_error(F.lit("evaluated")))) == "a"
+
+
 def test_white_space(one):
     assert one(collapse("h"), h="　a\x1c\t b\xa0") == "a b"
     assert one(join_lines("h"), h=" \n a  b　c \r\n\n  d e\x85") == "a b c\nd e"
     assert one(mk.plain_lines("h"), h="<p> a</p> <p>b</p>c <b>d</b>") == "a\nb\nc\nd"
+
+
+def test_context_cleans_tables_once(tables):
+    assert plan(records.b1(tables)).count("transform(coalesce(_flat#") == 1
