@@ -79,7 +79,7 @@ def b5(t):
 
 @query("b6_build_standard", f"select o_orderkey, {BOARD} as board, {MODULE} as module, 'http://n.example.com/list/' || o_orderkey as url from orders")
 def b6(t):
-    boards = rc.build_standard(rc.routed(context(t)), SITE, ["o_orderkey", "board"])
+    boards = rc.build_standard(rc.routed(context(t).drop("html")), SITE, ["o_orderkey", "board"])
     parts = [df.select("o_orderkey", "board", F.col("parentType").alias("module"), F.col("originalWebsiteAddress").alias("url")) for df in boards.values()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 

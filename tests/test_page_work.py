@@ -84,3 +84,10 @@ def test_white_space(one):
 
 def test_context_cleans_tables_once(tables):
     assert plan(records.b1(tables)).count("transform(coalesce(_flat#") == 1
+
+
+def test_context_is_written_without_the_raw_page(tables, monkeypatch):
+    written, write = [], rc.write_routed
+    monkeypatch.setattr(rc, "write_routed", lambda df, *rest: written.extend(df.columns) or write(df, *rest))
+    assert records.b6(tables).count() == 10
+    assert "main_html" in written and "html" not in written
